@@ -20,11 +20,21 @@ def norm(v) -> Column:
     return F.sqrt(sq_norm(v))
 
 
+def _normalize_bound(a: Column) -> Column:
+    """Normalise a vector bound to a lambda variable: the squared norm is
+    the accumulator of one pass and the division runs in its finish step,
+    so nothing is recomputed per element."""
+    return F.aggregate(a, F.lit(0.0).cast("double"), lambda s, x: s + x.cast("double") * x.cast("double"),
+                       lambda s: F.transform(a, lambda x: x.cast("double") / F.when(s == 0, F.lit(1.0)).otherwise(F.sqrt(s))))
+
+
 def l2_normalize(v) -> Column:
-    """Divide by the L2 norm; a zero vector is divided by 1 (stays zero)."""
-    n = norm(v)
-    d = F.when(n == 0, F.lit(1.0)).otherwise(n)
-    return F.transform(_c(v), lambda x: x.cast("double") / d)
+    """Divide by the L2 norm; a zero vector is divided by 1 (stays zero).
+
+    ``v`` may be an expensive expression: it is evaluated once (bound to a
+    lambda variable through a one-element array), never once per element.
+    """
+    return F.element_at(F.transform(F.array(_c(v)), _normalize_bound), 1)
 
 
 def dot(a, b) -> Column:
