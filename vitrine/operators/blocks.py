@@ -36,7 +36,7 @@ def _block_count(n: Column, block_rows: int, min_blocks: int, min_rows: int) ->
     return F.greatest(by_size, by_par, F.lit(1)).cast("bigint")
 
 
-def pack_blocks(df: DataFrame, group: Column, id_col: str, vec_col: str, codes: list[str],
+def pack_blocks(df: DataFrame, group: Column | None, id_col: str, vec_col: str, codes: list[str],
                 block_rows: int = config.MAX_BLOCK_ROWS, min_blocks: int = 1,
                 min_rows: int = 64, prefix: str = "") -> DataFrame:
     """Pack rows into blocks: ``(_g, _b, _nb, ids, vecs, <codes>)``.
@@ -45,11 +45,17 @@ def pack_blocks(df: DataFrame, group: Column, id_col: str, vec_col: str, codes:
     ``codes`` are BIGINT columns carried along (e.g. hashed categories).
     The group key may be skewed: a group of n rows gets
     ``ceil(n / block_rows)`` blocks, so no block exceeds ~block_rows.
+    Without a group, the block count is a scalar subquery (no join).
     """
-    d = df.select(group.alias(_G), F.col(id_col).cast("bigint").alias("_id"),
+    d = df.select((group if group is not None else F.lit(0)).alias(_G), F.col(id_col).cast("bigint").alias("_id"),
                   F.col(vec_col).alias("_v"), *[F.col(c).cast("bigint").alias(c) for c in codes])
-    counts = d.groupBy(_G).agg(_block_count(F.count(F.lit(1)), block_rows, min_blocks, min_rows).alias(_NB))
-    d = d.join(counts, _G).withColumn(_B, F.pmod(F.xxhash64("_id"), F.col(_NB)))
+    if group is None:
+        n = df.agg(F.count(F.lit(1))).scalar()
+        d = d.withColumn(_NB, _block_count(n, block_rows, min_blocks, min_rows))
+    else:
+        counts = d.groupBy(_G).agg(_block_count(F.count(F.lit(1)), block_rows, min_blocks, min_rows).alias(_NB))
+        d = d.join(counts, _G)
+    d = d.withColumn(_B, F.pmod(F.xxhash64("_id"), F.col(_NB)))
     packed = d.groupBy(_G, _B, _NB).agg(
         F.sort_array(F.collect_list(F.struct("_id", "_v", *codes))).alias("_rows"))
     out = [F.col(_G), F.col(_B), F.col(_NB),
@@ -179,22 +185,24 @@ def topk_join(left: DataFrame, right: DataFrame, k: int, *, left_group: Column |
     lcodes = sorted({lc for lc, _, _ in bonus})
     rcodes = sorted({rc for _, rc, _ in bonus})
     grouped = left_group is not None
-    lg = left_group if grouped else F.lit(0)
-    rg = right_group if grouped else F.lit(0)
     mb = 1 if grouped else _parallel_blocks(spark, min_pairs)
-    lb = pack_blocks(left, lg, id_col, vec_col, lcodes, block_rows, mb, prefix="l_")
-    rb = pack_blocks(right, rg, id_col, vec_col, rcodes, block_rows, mb, prefix="r_")
-    if not grouped:
-        group_pairs = spark.range(1).select(F.lit(0).alias("lg"), F.lit(0).alias("rg"))
-    # Pair map: the right groups a left group meets, with their block counts.
-    r_nb = rb.select(F.col(_G).alias("rg"), F.col(_NB).alias("r_nb")).distinct()
-    pm = group_pairs.select("lg", "rg").distinct().join(r_nb, "rg")
+    lb = pack_blocks(left, left_group, id_col, vec_col, lcodes, block_rows, mb, prefix="l_")
+    rb = pack_blocks(right, right_group, id_col, vec_col, rcodes, block_rows, mb, prefix="r_")
     lcols = ["l_ids", "l_vecs"] + [f"l_{c}" for c in lcodes]
     rcols = ["r_ids", "r_vecs"] + [f"r_{c}" for c in rcodes]
-    lrows = (lb.join(pm, lb[_G] == pm["lg"])
-               .select(*lcols, "rg", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("r_nb") - 1)).alias("r_b")))
-    rrows = rb.select(F.col(_G).alias("rg"), F.col(_B).alias("r_b"), *rcols)
-    pairs = lrows.join(rrows, ["rg", "r_b"]).select(*lcols, *rcols)
+    if grouped:
+        # Pair map: the right groups a left group meets, with their block counts.
+        r_nb = rb.select(F.col(_G).alias("rg"), F.col(_NB).alias("r_nb")).distinct()
+        pm = group_pairs.select("lg", "rg").distinct().join(r_nb, "rg")
+        lrows = (lb.join(pm, lb[_G] == pm["lg"])
+                   .select(*lcols, "rg", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("r_nb") - 1)).alias("r_b")))
+        rrows = rb.select(F.col(_G).alias("rg"), F.col(_B).alias("r_b"), *rcols)
+        pairs = lrows.join(rrows, ["rg", "r_b"]).select(*lcols, *rcols)
+    else:
+        r_nb = _block_count(right.agg(F.count(F.lit(1))).scalar(), block_rows, mb, 64)
+        lrows = lb.select(*lcols, F.explode(F.sequence(F.lit(0).cast("bigint"), r_nb - 1)).alias("r_b"))
+        rrows = rb.select(F.col(_B).alias("r_b"), *rcols)
+        pairs = lrows.join(rrows, "r_b").select(*lcols, *rcols)
     kb = [(f"l_{lc}", f"r_{rc}", w) for lc, rc, w in bonus]
     cand = pairs.mapInArrow(_topk_kernel(k, exclude_self, clip_bonus, kb, cap), TOPK_SCHEMA)
     return rank_topk(cand, k)
@@ -218,8 +226,8 @@ def threshold_self_join(vecs: DataFrame, threshold: float, id_col: str = "id", v
     """
     spark = vecs.sparkSession
     mb = _parallel_blocks(spark, min_pairs)
-    lb = pack_blocks(vecs, F.lit(0), id_col, vec_col, [], block_rows, mb, prefix="l_")
-    rb = pack_blocks(vecs, F.lit(0), id_col, vec_col, [], block_rows, mb, prefix="r_")
+    lb = pack_blocks(vecs, None, id_col, vec_col, [], block_rows, mb, prefix="l_")
+    rb = lb.select(F.col(_B), F.col("l_ids").alias("r_ids"), F.col("l_vecs").alias("r_vecs"))
     lrows = lb.select(F.col(_B).alias("l_b"), "l_ids", "l_vecs",
                       F.explode(F.sequence(F.col(_B), F.col(_NB) - 1)).alias("r_b"))
     rrows = rb.select(F.col(_B).alias("r_b"), "r_ids", "r_vecs")

@@ -79,10 +79,13 @@ def recommend(catalog: DataFrame, sources: DataFrame | None = None, top_k: int =
 
     # Fallback path: source types none of whose targets exist -> other master categories.
     fb_src = src.join(has_cand, "type_lower", "left_anti")
-    mcs = meta.select(F.col("masterCategory").alias("mc")).where(F.col("mc").isNotNull()).distinct()
-    # Both sides are the distinct master-category list (category vocabulary).
-    mc_pairs = mcs.alias("a").join(mcs.alias("b"), F.col("a.mc") != F.col("b.mc")).select(
-        F.col("a.mc").alias("lg"), F.col("b.mc").alias("rg"))
+    # "Every other master category": the category vocabulary (a handful of
+    # values) as one scalar array, exploded per source category - an
+    # equi-join plan with no cross product.
+    all_mc = meta.where(F.col("masterCategory").isNotNull()).agg(
+        F.sort_array(F.collect_set("masterCategory"))).scalar()
+    mc_pairs = (fb_src.select(F.col("masterCategory").alias("lg")).where(F.col("lg").isNotNull()).distinct()
+                      .select("lg", F.explode(F.array_remove(all_mc, F.col("lg"))).alias("rg")))
     fb_hits = topk_join(fb_src, cand, top_k, left_group=F.col("masterCategory"), right_group=F.col("masterCategory"),
                         group_pairs=mc_pairs, bonus=bonus, clip_bonus=True, cap=config.SCORE_CAP,
                         exclude_self=True)
