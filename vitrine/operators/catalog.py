@@ -8,10 +8,24 @@ from pyspark.sql import functions as F
 from ..functions.text import strip
 
 
+MAX_PROBES = 10_000
+
+
 def _pos(df: DataFrame) -> str:
     return "src_pos" if "src_pos" in df.columns else "id"
 
 
+def bounded_probes(names: DataFrame, query_col: str, max_rows: int = MAX_PROBES) -> DataFrame:
+    """User-supplied probe texts, checked to be small enough to broadcast
+    (substring containment has no equi-join form, so every product row is
+    tested against every probe)."""
+    q = names.select(F.col(query_col).alias("q")).distinct()
+    n = q.count()
+    if n > max_rows:
+        raise ValueError(f"{n} probe texts exceed the broadcast bound of {max_rows}")
+    return F.broadcast(q)
+
+
 def products_by_id(catalog: DataFrame, ids: DataFrame) -> DataFrame:
     """Batch id lookup (P10): one catalog row per requested id (first by position)."""
     return catalog.join(ids.select("id").distinct(), "id", "left_semi")
@@ -43,14 +57,13 @@ def name_match(catalog: DataFrame, names: DataFrame, query_col: str = "query") -
     """For each query text: the first product (by position) whose lower-cased
     name contains the lower-cased, stripped text (P16; literal, never regex).
 
-    Equality and containment are tested per (query, product) only where the
-    lower-cased name contains the needle, so a product row is compared with
-    the distinct query list - kept small by construction (user queries)."""
+    The probe list is user input with a checked size bound; it is broadcast
+    and every product row is tested against it in one pass."""
     pos = _pos(catalog)
-    q = names.select(F.col(query_col).alias("q"), F.lower(strip(F.col(query_col))).alias("needle")).distinct()
+    q = bounded_probes(names, query_col).withColumn("needle", F.lower(strip(F.col("q"))))
     c = catalog.select("id", F.col(pos).alias("_pos"), F.lower(F.col("productDisplayName")).alias("lname"),
                        F.col("productDisplayName").alias("pname"))
-    m = F.broadcast(q).join(c, F.contains(F.col("lname"), F.col("needle")))
+    m = q.join(c, F.contains(F.col("lname"), F.col("needle")))
     return m.groupBy("q").agg(F.min_by(F.struct("id", "pname"), F.col("_pos")).alias("m")).select(
         F.col("q").alias(query_col), F.col("m.id").alias("id"), F.col("m.pname").alias("productDisplayName"))
 
@@ -65,6 +78,18 @@ def display_lookup(catalog: DataFrame, name: str) -> DataFrame:
     return m.orderBy("_pri", pos).limit(1).drop("_pri")
 
 
+def display_lookup_batch(catalog: DataFrame, names: DataFrame, query_col: str = "query") -> DataFrame:
+    """Batch form of :func:`display_lookup`: per query, the exact name match
+    first, else the first containing match (by position)."""
+    pos = _pos(catalog)
+    q = bounded_probes(names, query_col)
+    c = catalog.select("id", F.col(pos).alias("_pos"), F.col("productDisplayName").alias("pname"))
+    m = q.join(c, F.contains(F.col("pname"), F.col("q")))
+    pri = F.when(F.col("pname") == F.col("q"), 0).otherwise(1)
+    return m.groupBy("q").agg(F.min_by(F.struct("id", "pname"), F.struct(pri, F.col("_pos"))).alias("m")).select(
+        F.col("q").alias(query_col), F.col("m.id").alias("id"), F.col("m.pname").alias("productDisplayName"))
+
+
 def filter_categories(df: DataFrame, category: str | None, col: str = "masterCategory") -> DataFrame:
     """"All" or empty means no filter."""
     if not category or category == "All":

@@ -99,3 +99,19 @@ def knn_by_product(index: DataFrame, product_ids: DataFrame, k: int = 5, catalog
 
 def unknown_ids(index: DataFrame, product_ids: DataFrame, id_col: str = "id") -> DataFrame:
     return product_ids.select(id_col).distinct().join(index.select(id_col), id_col, "left_anti")
+
+
+def centroid(index: DataFrame, vec_col: str = "embedding") -> DataFrame:
+    """Mean vector of an index as a one-row ``(id=-1, embedding)`` frame:
+    a per-dimension average (partial aggregation), then the D values
+    (bounded by the dimension) gathered in dimension order."""
+    per_dim = (index.select(F.posexplode(vec_col).alias("dim", "x"))
+                    .groupBy("dim").agg(F.avg(F.col("x").cast("double")).alias("mu")))
+    return per_dim.agg(F.sort_array(F.collect_list(F.struct("dim", "mu"))).alias("s")).select(
+        F.lit(-1).cast("bigint").alias("id"), F.transform("s", lambda e: e["mu"]).alias("embedding"))
+
+
+def knn_by_query_frame(query: DataFrame, index: DataFrame, k: int = 5, catalog: DataFrame | None = None) -> DataFrame:
+    """Top-k for query vectors held in a (small or large) frame ``(id, embedding)``
+    without moving them through the driver."""
+    return knn_batch(query.withColumnRenamed("id", "qid"), index, k, catalog)

@@ -460,3 +460,35 @@ ORACLE["freq_article_type_top20"] = freq("articleType", config.TOP_ARTICLE_TYPES
 ORACLE["freq_usage"] = freq("usage", None)
 ORACLE["freq_colour_top15"] = freq("baseColour", config.TOP_COLOURS)
 ORACLE["chart_article_types"] = f"SELECT * FROM ({freq('articleType', config.TOP_ARTICLE_TYPES)}) ORDER BY n DESC, value LIMIT {config.CHART_TOP_TYPES}"
+
+ORACLE["knn_centroid"] = f"""WITH {CATALOG},
+  v AS (SELECT id, embedding::DOUBLE[] AS e FROM catalog WHERE embedding IS NOT NULL),
+  d AS (SELECT unnest(generate_series(1, len(e))) AS dim, unnest(e) AS x FROM v),
+  c AS (SELECT list(mu ORDER BY dim) AS e FROM (SELECT dim, avg(x) AS mu FROM d GROUP BY dim)),
+  s AS (SELECT v.id AS product_id, list_dot_product(c.e, v.e) AS raw FROM v, c),
+  r AS (SELECT *, row_number() OVER (ORDER BY raw DESC, product_id) AS rank FROM s)
+SELECT CAST(rank AS BIGINT) AS rank, product_id, round({clip('raw')}, 6) AS similarity FROM r WHERE rank <= 10"""
+
+ORACLE["product_by_id"] = f"""WITH {CATALOG}
+SELECT id, productDisplayName FROM catalog WHERE id IN (SELECT l_partkey FROM lineitem)"""
+
+ORACLE["display_lookup"] = f"""WITH {CATALOG},
+  probes AS (SELECT DISTINCT query FROM {_values(list(NAME_PROBES) + [('q5', 'red ring'), ('q6', 'Ring')], ['pid', 'query'])}),
+  m AS (SELECT p.query, c.id, c.productDisplayName,
+               row_number() OVER (PARTITION BY p.query ORDER BY CASE WHEN c.productDisplayName = p.query THEN 0 ELSE 1 END, c.id) AS rn
+        FROM probes p JOIN catalog c ON contains(c.productDisplayName, p.query))
+SELECT query, id, productDisplayName FROM m WHERE rn = 1"""
+
+ORACLE["rejected_queries"] = f"""SELECT CAST(qid AS BIGINT) AS qid, query FROM {_values(FIXTURE_QUERIES, ['qid', 'query', 'relevant'])}
+WHERE {trim('query')} = ''"""
+
+ORACLE["mean_precision"] = f"""WITH {CATALOG}, {NAMEQ},
+  hits AS (SELECT res.query, count(*) AS hits FROM res JOIN qv ON qv.query = res.query
+           WHERE lower(res.base_colour) = lower(qv.relevant) GROUP BY res.query),
+  p AS (SELECT coalesce(hits, 0) / 5.0 AS precision FROM qv LEFT JOIN hits ON hits.query = qv.query WHERE qv.relevant IS NOT NULL)
+SELECT count(*) AS n_queries, round(avg(precision), 6) AS mean_precision FROM p"""
+
+ORACLE["metrics_series"] = f"""WITH {CATALOG}, {NAMEQ},
+  agg AS (SELECT query, avg(similarity) AS av FROM res GROUP BY query)
+SELECT left(qv.query, {config.QUERY_LABEL_CHARS}) AS label, round(coalesce(round(av, 4), 0.0) * 100, 6) AS avg_similarity_pct
+FROM qv LEFT JOIN agg ON agg.query = qv.query"""

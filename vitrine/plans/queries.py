@@ -365,6 +365,41 @@ def q_chart_article_types(spark, sf):
     return prof.chart_article_types(_final(spark, sf))
 
 
+def q_knn_centroid(spark, sf):
+    idx = _index(spark, sf)
+    r = knn.knn_by_query_frame(knn.centroid(idx), idx, 10)
+    return r.select("rank", "product_id", F.round("similarity", R6).alias("similarity"))
+
+
+def q_product_by_id(spark, sf):
+    """Batch id lookup: catalog rows of every part that appears in an order line."""
+    ids = td.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("id"))
+    return cat_ops.products_by_id(_catalog(spark, sf), ids).select("id", "productDisplayName")
+
+
+def q_display_lookup(spark, sf):
+    probes = spark.createDataFrame(list(NAME_PROBES) + [("q5", "red ring"), ("q6", "Ring")], "pid STRING, query STRING")
+    return cat_ops.display_lookup_batch(_catalog(spark, sf), probes).select("query", "id", "productDisplayName")
+
+
+def q_rejected_queries(spark, sf):
+    _, rej = srch.split_queries(td.fixture_queries(spark))
+    return rej.select("qid", "query")
+
+
+def q_mean_precision(spark, sf):
+    qs = _name_queries(spark, sf)
+    p = srch.precision_at_k(_name_search(spark, sf), qs.select("qid", "relevant"), 5, attr="base_colour")
+    m = srch.mean_precision(p)
+    return m.select(F.col("n_queries").cast("bigint").alias("n_queries"), F.round("mean_precision", R6).alias("mean_precision"))
+
+
+def q_metrics_series(spark, sf):
+    m = srch.search_metrics(_name_queries(spark, sf), _name_search(spark, sf), 5)
+    return m.select(ft.prefix("query", config.QUERY_LABEL_CHARS).alias("label"),
+                    F.round(F.col("avg_similarity") * 100, R6).alias("avg_similarity_pct"))
+
+
 # ---------------------------------------------------------------- rows-only (no SQL oracle)
 def q_lsh_pairs(spark, sf):
     _, vec, _ = _planted(spark, sf)
