@@ -105,3 +105,12 @@ def test_components_match_union_find(spark, seed):
     want = _union_find(edges)
     # union-find root is the minimum here (we always attach to the smaller root)
     assert got == {k: min(n for n in want if want[n] == v) for k, v in want.items()}
+
+
+def test_ordinal_matches_global_order(spark):
+    from vitrine.operators.ordinal import ordinal
+    rng = np.random.default_rng(9)
+    keys = rng.permutation(5000)[:997]
+    df = spark.createDataFrame([(int(k),) for k in keys], "k BIGINT")
+    got = {r.k: r.ordinal for r in ordinal(df, "k", partitions=7).collect()}
+    assert got == {int(k): i for i, k in enumerate(sorted(int(x) for x in keys))}

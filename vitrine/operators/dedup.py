@@ -20,6 +20,7 @@ from ..functions.text import or_unknown
 from ..functions.vectors import sq_norm
 from .blocks import threshold_self_join
 from .components import connected_components
+from .ordinal import ordinal
 
 
 def _pos(df: DataFrame) -> str:
@@ -77,9 +78,9 @@ def clusters(members: DataFrame, vectors: DataFrame | None = None, id_col: str =
         F.min_by(F.struct(F.col("id").alias("rid"), F.col("name").alias("rname"), F.col("image_path").alias("rimg")),
                  F.struct(-F.coalesce(F.col("image_bytes"), F.lit(-1)), F.col("pos"))).alias("r"),
         F.first("size").alias("size"), F.first("first_pos").alias("first_pos"))
-    # Dense numbering by first appearance: one row per cluster, not per product.
-    w = Window.orderBy("first_pos")
-    out = rep.select("component", (F.row_number().over(w) - 1).cast("bigint").alias("cluster_id"),
+    # Dense numbering by first appearance (distributed: range partitions + offsets).
+    rep = ordinal(rep, "first_pos", "cluster_id")
+    out = rep.select("component", "cluster_id",
                      F.col("r.rid").alias("representative_id"), F.col("r.rname").alias("representative_name"),
                      F.col("r.rimg").alias("representative_image"), F.col("size").cast("bigint").alias("size"),
                      "first_pos")
