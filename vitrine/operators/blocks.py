@@ -99,7 +99,7 @@ TOPK_SCHEMA = "l_id BIGINT, r_id BIGINT, raw DOUBLE, score DOUBLE"
 PAIR_SCHEMA = "id_a BIGINT, id_b BIGINT, sim DOUBLE"
 
 
-def _topk_kernel(k: int, exclude_self: bool, clip_bonus: bool, bonus: list[tuple[str, str, float]], cap: float):
+def _topk_kernel(k: int, exclude_self, clip_bonus: bool, bonus: list[tuple[str, str, float]], cap: float):
     out_schema = pa.schema([("l_id", pa.int64()), ("r_id", pa.int64()), ("raw", pa.float64()), ("score", pa.float64())])
 
     def run(batches):
@@ -122,8 +122,11 @@ def _topk_kernel(k: int, exclude_self: bool, clip_bonus: bool, bonus: list[tuple
                     score = np.minimum(score + b, cap)
                 else:
                     score = raw.copy()
-                if exclude_self:
+                if exclude_self is True:
                     score[lid[:, None] == rid[None, :]] = -np.inf
+                elif exclude_self:  # name of a per-left-row 0/1 flag
+                    flag = _np(cols[exclude_self][i]).astype(bool)
+                    score[(lid[:, None] == rid[None, :]) & flag[:, None]] = -np.inf
                 li, ri = _topk_mask(score, k)
                 res_l.append(lid[li]); res_r.append(rid[ri])
                 res_raw.append(raw[li, ri]); res_s.append(score[li, ri])
@@ -168,7 +171,7 @@ def _parallel_blocks(spark, min_pairs: int | None) -> int:
 
 def topk_join(left: DataFrame, right: DataFrame, k: int, *, left_group: Column | None = None,
               right_group: Column | None = None, group_pairs: DataFrame | None = None,
-              id_col: str = "id", vec_col: str = "embedding", exclude_self: bool = False,
+              id_col: str = "id", vec_col: str = "embedding", exclude_self: bool | str = False,
               bonus: list[tuple[str, str, float]] | None = None, clip_bonus: bool = False,
               cap: float = 1.0, block_rows: int = config.MAX_BLOCK_ROWS,
               min_pairs: int | None = None) -> DataFrame:
@@ -178,11 +181,13 @@ def topk_join(left: DataFrame, right: DataFrame, k: int, *, left_group: Column |
     ``min(clip(ip, 0, 1) + sum(w * [left.code == right.code]), cap)``.
     Order: score desc, right id asc.  Rows meet only when their groups are
     paired in ``group_pairs`` (columns ``lg``, ``rg``); without groups every
-    left row meets every right row.  Returns ``(l_id, r_id, raw, score, rank)``.
+    left row meets every right row.  ``exclude_self`` may name a 0/1 column
+    of ``left`` to exclude a row's own id only where the flag is set.
+    Returns ``(l_id, r_id, raw, score, rank)``.
     """
     spark = left.sparkSession
     bonus = bonus or []
-    lcodes = sorted({lc for lc, _, _ in bonus})
+    lcodes = sorted({lc for lc, _, _ in bonus} | ({exclude_self} if isinstance(exclude_self, str) else set()))
     rcodes = sorted({rc for _, rc, _ in bonus})
     grouped = left_group is not None
     mb = 1 if grouped else _parallel_blocks(spark, min_pairs)
@@ -204,7 +209,8 @@ def topk_join(left: DataFrame, right: DataFrame, k: int, *, left_group: Column |
         rrows = rb.select(F.col(_B).alias("r_b"), *rcols)
         pairs = lrows.join(rrows, "r_b").select(*lcols, *rcols)
     kb = [(f"l_{lc}", f"r_{rc}", w) for lc, rc, w in bonus]
-    cand = pairs.mapInArrow(_topk_kernel(k, exclude_self, clip_bonus, kb, cap), TOPK_SCHEMA)
+    xs = f"l_{exclude_self}" if isinstance(exclude_self, str) else exclude_self
+    cand = pairs.mapInArrow(_topk_kernel(k, xs, clip_bonus, kb, cap), TOPK_SCHEMA)
     return rank_topk(cand, k)
 
 

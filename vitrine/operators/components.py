@@ -45,14 +45,27 @@ def _fingerprint(e: DataFrame) -> tuple:
 
 
 def connected_components(edges: DataFrame, src: str = "id_a", dst: str = "id_b", max_rounds: int = 64) -> DataFrame:
-    """``(id, component)`` for every node that appears in ``edges``."""
+    """``(id, component)`` for every node that appears in ``edges``.
+
+    Every round is written with a reliable checkpoint (lineage never spans
+    more than one round; a lost executor recomputes at most that round).
+    The round is persisted first so the checkpoint write reads it from
+    cache instead of recomputing it.
+    """
+    from pyspark import StorageLevel
     spark = edges.sparkSession
     ensure_checkpoint_dir(spark)
-    e = _canon(edges.select(F.col(src).cast("bigint").alias("a"), F.col(dst).cast("bigint").alias("b")))
-    e = e.checkpoint(eager=True)
+
+    def cut(df: DataFrame) -> DataFrame:
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = cached.checkpoint(eager=True)
+        cached.unpersist()
+        return out
+
+    e = cut(_canon(edges.select(F.col(src).cast("bigint").alias("a"), F.col(dst).cast("bigint").alias("b"))))
     prev = _fingerprint(e)
     for _ in range(max_rounds):
-        e = _small_star(_large_star(e)).checkpoint(eager=True)
+        e = cut(_small_star(_large_star(e)))
         cur = _fingerprint(e)
         if cur == prev:
             break

@@ -42,59 +42,63 @@ def _cand_codes(df: DataFrame) -> DataFrame:
               .withColumn("us_code", F.when(F.col("usage").isNull(), F.lit(-2)).otherwise(F.col("us_code"))))
 
 
+def _combo_key(type_col: str, mc_col: str):
+    # Group key of a (type, master category) combination; \x1f / \x1e never occur in labels.
+    return F.concat(F.col(type_col), F.lit("\x1f"), F.coalesce(F.col(mc_col), F.lit("\x1e")))
+
+
 def recommend(catalog: DataFrame, sources: DataFrame | None = None, top_k: int = config.TOP_K_RECOMMENDATIONS,
               rules: DataFrame | None = None, exclude_self: bool = False) -> DataFrame:
     """Recommendations for ``sources`` (ids; default: every product).
 
     ``catalog`` needs id, articleType, masterCategory, usage, embedding and
     the display columns.  Sources without a vector produce no rows.
+
+    Both paths run in one grouped kernel call.  Groups are (type, master
+    category) combinations; the pair map holds the rule edges (source type
+    -> live target type) and the fallback edges (source combination -> every
+    candidate combination of another master category; a null category
+    differs from everything, as in the reference).
     """
     spark = catalog.sparkSession
     rules = rules if rules is not None else rule_table(spark)
-    meta = _prepare(catalog)
+    meta = _prepare(catalog).withColumn("gkey", _combo_key("type_lower", "masterCategory"))
     with_vec = meta.where(F.col("embedding").isNotNull())
-    src = with_vec if sources is None else with_vec.join(sources.select("id").distinct(), "id", "left_semi")
 
     types = meta.select("type_lower").distinct()
     resolved = resolve_types(types, rules)
-    edges = resolved.select(F.col("type_lower").alias("lg"), F.explode(F.array_distinct("targets")).alias("rg"))
-    present = types.select(F.col("type_lower").alias("rg"))
-    live = edges.join(present, "rg", "left_semi")                    # target types that exist in the catalog
-    has_cand = live.select(F.col("lg").alias("type_lower")).distinct()
+    edges = resolved.select(F.col("type_lower").alias("lt"), F.explode(F.array_distinct("targets")).alias("rt"))
+    live = edges.join(types.select(F.col("type_lower").alias("rt")), "rt", "left_semi")  # targets present in the catalog
+    has_cand = live.select(F.col("lt").alias("type_lower")).distinct().withColumn("rule_path", F.lit(1))
+
+    src = with_vec if sources is None else with_vec.join(sources.select("id").distinct(), "id", "left_semi")
+    src = (src.join(has_cand, "type_lower", "left")
+              .withColumn("rule_path", F.coalesce(F.col("rule_path"), F.lit(0)))
+              .withColumn("fb_self", (1 - F.col("rule_path")) if not exclude_self else F.lit(1)))
+
+    # Combination vocabulary (types x master categories present), small by construction.
+    src_combos = src.select(F.col("type_lower").alias("lt"), F.col("masterCategory").alias("lmc"),
+                            F.col("gkey").alias("lg"), "rule_path").distinct()
+    cand_combos = with_vec.select(F.col("type_lower").alias("rt"), F.col("masterCategory").alias("rmc"),
+                                  F.col("gkey").alias("rg")).distinct()
+    rule_pairs = (src_combos.where(F.col("rule_path") == 1).join(live, "lt")
+                            .join(cand_combos, "rt").select("lg", "rg"))
+    vocab = cand_combos.agg(F.collect_list(F.struct("rmc", "rg"))).scalar()
+    fb_pairs = (src_combos.where(F.col("rule_path") == 0)
+                          .select("lg", "lmc", F.explode(vocab).alias("c"))
+                          .where(F.coalesce(F.col("c.rmc") != F.col("lmc"), F.lit(True)))
+                          .select("lg", F.col("c.rg").alias("rg")))
+    pairs = rule_pairs.unionByName(fb_pairs)
 
     bonus = [("mc_code", "mc_code", config.BONUS_SAME_MASTER_CATEGORY),
              ("us_code", "us_code", config.BONUS_SAME_USAGE)]
-    cand = _cand_codes(with_vec)
-
-    # Rule path: source type -> each live target type.
-    rule_src = src.join(has_cand, "type_lower", "left_semi")
-    rule_hits = topk_join(rule_src, cand, top_k, left_group=F.col("type_lower"), right_group=F.col("type_lower"),
-                          group_pairs=live, bonus=bonus, clip_bonus=True, cap=config.SCORE_CAP,
-                          exclude_self=exclude_self)
-    rule_hits = (rule_hits.join(src.select(F.col("id").alias("l_id"), F.col("type_lower").alias("s_type")), "l_id")
-                          .join(meta.select(F.col("id").alias("r_id"), F.col("type_lower").alias("c_type")), "r_id")
-                          .withColumn("reason", rule_reason(F.col("s_type"), F.col("c_type")))
-                          .withColumn("path", F.lit("rule"))
-                          .drop("s_type", "c_type"))
-
-    # Fallback path: source types none of whose targets exist -> other master categories.
-    fb_src = src.join(has_cand, "type_lower", "left_anti")
-    # "Every other master category": the category vocabulary (a handful of
-    # values) as one scalar array, exploded per source category - an
-    # equi-join plan with no cross product.
-    all_mc = meta.where(F.col("masterCategory").isNotNull()).agg(
-        F.sort_array(F.collect_set("masterCategory"))).scalar()
-    mc_pairs = (fb_src.select(F.col("masterCategory").alias("lg")).where(F.col("lg").isNotNull()).distinct()
-                      .select("lg", F.explode(F.array_remove(all_mc, F.col("lg"))).alias("rg")))
-    fb_hits = topk_join(fb_src, cand, top_k, left_group=F.col("masterCategory"), right_group=F.col("masterCategory"),
-                        group_pairs=mc_pairs, bonus=bonus, clip_bonus=True, cap=config.SCORE_CAP,
-                        exclude_self=True)
-    fb_hits = (fb_hits.join(src.select(F.col("id").alias("l_id"), F.col("type_lower").alias("s_type")), "l_id")
-                      .withColumn("reason", fallback_reason(F.col("s_type")))
-                      .withColumn("path", F.lit("fallback"))
-                      .drop("s_type"))
-
-    hits = rule_hits.unionByName(fb_hits)
+    hits = topk_join(src, _cand_codes(with_vec), top_k, left_group=F.col("gkey"), right_group=F.col("gkey"),
+                     group_pairs=pairs, bonus=bonus, clip_bonus=True, cap=config.SCORE_CAP, exclude_self="fb_self")
+    hits = (hits.join(src.select(F.col("id").alias("l_id"), F.col("type_lower").alias("s_type"), "rule_path"), "l_id")
+                .join(meta.select(F.col("id").alias("r_id"), F.col("type_lower").alias("c_type")), "r_id")
+                .withColumn("reason", F.when(F.col("rule_path") == 1, rule_reason(F.col("s_type"), F.col("c_type")))
+                                        .otherwise(fallback_reason(F.col("s_type"))))
+                .withColumn("path", F.when(F.col("rule_path") == 1, "rule").otherwise("fallback")))
     disp = catalog.select(
         F.col("id").alias("r_id"),
         F.coalesce(F.col("image_path").cast("string"), F.lit("")).alias("image_path"),
