@@ -112,5 +112,5 @@ def test_ordinal_matches_global_order(spark):
     rng = np.random.default_rng(9)
     keys = rng.permutation(5000)[:997]
     df = spark.createDataFrame([(int(k),) for k in keys], "k BIGINT")
-    got = {r.k: r.ordinal for r in ordinal(df, "k", partitions=7).collect()}
+    got = {r.k: r.ordinal for r in ordinal(df, "k", partitions=7, small_rows=None).collect()}
     assert got == {int(k): i for i, k in enumerate(sorted(int(x) for x in keys))}

@@ -50,7 +50,7 @@ def connected_components(edges: DataFrame, src: str = "id_a", dst: str = "id_b",
     Every round is written with a reliable checkpoint (lineage never spans
     more than one round; a lost executor recomputes at most that round).
     The round is persisted first so the checkpoint write reads it from
-    cache instead of recomputing it.
+    cache instead of computing it a second time.
     """
     from pyspark import StorageLevel
     spark = edges.sparkSession

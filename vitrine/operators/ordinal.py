@@ -13,9 +13,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def ordinal(df: DataFrame, order_col: str, out_col: str = "ordinal", partitions: int | None = None) -> DataFrame:
+SMALL_ROWS = 1_000_000
+
+
+def ordinal(df: DataFrame, order_col: str, out_col: str = "ordinal", partitions: int | None = None,
+            small_rows: int | None = SMALL_ROWS) -> DataFrame:
     """Add ``out_col`` = 0-based position of each row in ``order_col`` order
-    (``order_col`` must be unique for a deterministic numbering)."""
+    (``order_col`` must be unique for a deterministic numbering).
+
+    Size-checked: when the frame has at most ``small_rows`` rows (counted
+    first), one ordered window suffices; beyond that the range-partition +
+    offsets form is used, so no single task ever numbers an unbounded set.
+    """
+    if small_rows is not None and df.count() <= small_rows:
+        w = Window.orderBy(order_col)
+        return df.withColumn(out_col, (F.row_number().over(w) - 1).cast("bigint"))
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
     r = df.repartitionByRange(n, F.col(order_col)).withColumn("_pid", F.spark_partition_id())
