@@ -18,6 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = (
     "knn_by_product",        # every product's top-5 neighbours (batch kNN join)
     "text_search",           # encode every distinct name, top-5 over the catalog
+    "doc_search",            # whole-document index, every benchmark passage as a query
     "recommend_all",         # rule join + scoring + top-5 for every product
     "dup_pairs_chain",       # exact all-pairs similarity >= 0.40
     "dup_clusters",          # pairs -> connected components -> clusters

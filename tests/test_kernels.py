@@ -114,3 +114,13 @@ def test_ordinal_matches_global_order(spark):
     df = spark.createDataFrame([(int(k),) for k in keys], "k BIGINT")
     got = {r.k: r.ordinal for r in ordinal(df, "k", partitions=7, small_rows=None).collect()}
     assert got == {int(k): i for i, k in enumerate(sorted(int(x) for x in keys))}
+
+
+def test_lsh_pairs_subset_of_exact_with_high_recall(spark, sf):
+    from vitrine.operators import dedup as dd
+    from vitrine.sources import testdata as td
+    vec = td.planted_vectors(spark, sf).select("id", "embedding")
+    exact = {(r.id_a, r.id_b) for r in dd.duplicate_pairs(vec, 0.92).collect()}
+    approx = {(r.id_a, r.id_b) for r in dd.lsh_pairs(vec, 0.92, bucket_length=1.0, num_tables=8).collect()}
+    assert approx <= exact
+    assert len(approx) >= 0.95 * len(exact)

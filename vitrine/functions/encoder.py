@@ -13,7 +13,7 @@ from __future__ import annotations
 from typing import Callable
 
 import numpy as np
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
@@ -46,6 +46,26 @@ def hashed_text_vector(text, dim: int = config.HASH_DIM) -> Column:
     return l2_normalize(bucket_counts(text, dim))
 
 
+def hashed_text_vectors(df: DataFrame, id_col: str, text_col: str, dim: int = config.HASH_DIM) -> DataFrame:
+    """Same vectors as :func:`hashed_text_vector`, built in tall form for long
+    texts: explode tokens -> bucket -> ``(id, bucket)`` counts (combined
+    map-side, so at most ``dim`` rows per text leave a task) -> one array per
+    id.  Every input row gets a vector (all-zero when it has no tokens).
+    Hashing runs in generated code; no per-element lambda is interpreted."""
+    from ..session import spread
+    toks = spread(df.select(id_col, text_col), id_col).select(
+        F.col(id_col).alias("_id"), F.explode(tokens(F.col(text_col))).alias("_t"))
+    counts = (toks.groupBy("_id", token_bucket(F.col("_t"), dim).alias("_b"))
+                  .agg(F.count(F.lit(1)).cast("double").alias("_n")))
+    per_id = counts.groupBy("_id").agg(F.map_from_entries(F.collect_list(F.struct("_b", "_n"))).alias("_m"))
+    dense = F.transform(F.sequence(F.lit(0).cast("bigint"), F.lit(dim - 1).cast("bigint")),
+                        lambda b: F.coalesce(F.element_at(F.col("_m"), b), F.lit(0.0)))
+    vecs = per_id.select(F.col("_id").alias(id_col), l2_normalize(dense).alias("embedding"))
+    zero = F.array_repeat(F.lit(0.0).cast("double"), dim)
+    return (df.select(id_col).join(vecs, id_col, "left")
+              .select(id_col, F.coalesce(F.col("embedding"), zero).alias("embedding")))
+
+
 def model_encoder(make_predict_fn: Callable, dim: int, batch_size: int = 32,
                   input_type: str = "string") -> Callable[[Column], Column]:
     """Wrap a user model factory as a batched Arrow UDF.

@@ -492,3 +492,24 @@ ORACLE["metrics_series"] = f"""WITH {CATALOG}, {NAMEQ},
   agg AS (SELECT query, avg(similarity) AS av FROM res GROUP BY query)
 SELECT left(qv.query, {config.QUERY_LABEL_CHARS}) AS label, round(coalesce(round(av, 4), 0.0) * 100, 6) AS avg_similarity_pct
 FROM qv LEFT JOIN agg ON agg.query = qv.query"""
+
+def staged_hvec(name: str, table: str, id_col: str, text_col: str) -> str:
+    """Hashed vectors of a long-text column, one materialised step at a time
+    (tokens -> buckets -> counts -> norm), so nothing is re-evaluated per bucket."""
+    toks = f"list_filter(string_split(lower({text_col}), ' '), lambda t: t <> '')"
+    return f"""{name}_b AS MATERIALIZED (SELECT {id_col}, list_transform({toks}, lambda t: {bucket('t')}) AS bks FROM {table}),
+  {name}_c AS MATERIALIZED (SELECT {id_col}, list_transform(range({config.HASH_DIM}), lambda b: len(list_filter(bks, lambda x: x = b))::DOUBLE) AS c FROM {name}_b),
+  {name}_n AS MATERIALIZED (SELECT {id_col}, c, sqrt(list_sum(list_transform(c, lambda x: x * x))) AS n FROM {name}_c),
+  {name} AS (SELECT {id_col}, list_transform(c, lambda x: x / (CASE WHEN n = 0 THEN 1.0 ELSE n END)) AS e FROM {name}_n)"""
+
+
+_DOCS = f"""{staged_hvec('dv', 'documents', 'doc_id', 'text')},
+  {staged_hvec('bq', 'benchmark', 'item_id', 'text')}"""
+
+ORACLE["doc_search"] = f"""WITH {_DOCS},
+  s AS (SELECT bq.item_id, dv.doc_id, list_dot_product(bq.e, dv.e) AS raw FROM bq, dv),
+  r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY raw DESC, doc_id) AS rank FROM s)
+SELECT item_id, CAST(rank AS BIGINT) AS rank, doc_id, round({clip('raw')}, 6) AS similarity FROM r WHERE rank <= 5"""
+
+ORACLE["doc_embed"] = f"""WITH {_DOCS}, t AS (SELECT doc_id AS id, e FROM dv)
+SELECT id AS doc_id, dim, value FROM ({tall('t')})"""

@@ -126,6 +126,28 @@ def q_embed_incremental(spark, sf):
     return t.select("id", "dim", F.round("value", R6).alias("value"))
 
 
+def _doc_search(spark, sf):
+    """Text search over whole documents: every benchmark passage is a query,
+    every document (whole text, tall-encoded) is a searchable item."""
+    docs = td.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    idx = enc.hashed_text_vectors(docs, "id", "text")
+    qs = td.table(spark, sf, "benchmark").select(F.col("item_id").alias("id"), "text")
+    qv = enc.hashed_text_vectors(qs, "id", "text")
+    return knn.knn_batch(qv.withColumnRenamed("id", "qid"), idx, 5)
+
+
+def q_doc_search(spark, sf):
+    r = _doc_search(spark, sf)
+    return r.select(F.col("qid").alias("item_id"), "rank", F.col("product_id").alias("doc_id"),
+                    F.round("similarity", R6).alias("similarity"))
+
+
+def q_doc_embed(spark, sf):
+    docs = td.table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text")
+    t = fv.vector_tall(enc.hashed_text_vectors(docs, "id", "text"), "id", "embedding")
+    return t.select(F.col("id").alias("doc_id"), "dim", F.round("value", R6).alias("value"))
+
+
 # ---------------------------------------------------------------- vectors
 def q_l2_normalize(spark, sf):
     pv = td.planted_vectors(spark, sf)

@@ -63,3 +63,15 @@ def default_parallelism(spark: SparkSession) -> int:
         return max(int(spark.sparkContext.defaultParallelism), 1)
     except Exception:  # pragma: no cover - connect sessions
         return int(spark.conf.get("spark.sql.shuffle.partitions", "8"))
+
+
+def spread(df, key: str):
+    """Hash-repartition by ``key`` only when the input has fewer partitions
+    than the session's parallelism (e.g. one large file read by one task),
+    so CPU-heavy per-row work is spread; a no-op for well-split inputs."""
+    want = default_parallelism(df.sparkSession)
+    try:
+        have = df.rdd.getNumPartitions()
+    except Exception:  # pragma: no cover - connect sessions
+        return df
+    return df.repartition(want, key) if have < want else df
