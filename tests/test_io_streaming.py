@@ -80,3 +80,17 @@ def test_streaming_duplicate_check(spark, sf):
     got = spark.read.parquet(d + "/dups")
     assert got.count() == planted.count()
     assert got.where(F.col("existing_id") + 1000000 != F.col("new_id")).count() == 0
+
+
+def test_missing_csv_and_schema_checks(spark):
+    import pytest
+    from vitrine.functions.encoder import embed_text
+    from vitrine.operators.clean import missing_required
+    with pytest.raises(io.CatalogNotFound):
+        io.read_catalog_csv(spark, "/nonexistent/vitrine/styles.csv")
+    df = spark.createDataFrame([(1, "a")], "id BIGINT, articleType STRING")
+    assert "productDisplayName" in missing_required(df) and "id" not in missing_required(df)
+    with pytest.raises(ValueError):
+        embed_text(spark, "   ")
+    v = embed_text(spark, "Blue casual shirt")
+    assert abs(sum(x * x for x in v) - 1.0) < 1e-12

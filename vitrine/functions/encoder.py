@@ -46,6 +46,14 @@ def hashed_text_vector(text, dim: int = config.HASH_DIM) -> Column:
     return l2_normalize(bucket_counts(text, dim))
 
 
+def embed_text(spark, text: str, dim: int = config.HASH_DIM) -> list[float]:
+    """One text -> unit vector (E3); a blank text is an error."""
+    if text is None or not text.strip():
+        raise ValueError("text to embed must not be empty")
+    row = spark.range(1).select(hashed_text_vector(F.lit(text.strip()), dim).alias("v")).first()
+    return list(row["v"])
+
+
 def hashed_text_vectors(df: DataFrame, id_col: str, text_col: str, dim: int = config.HASH_DIM) -> DataFrame:
     """Same vectors as :func:`hashed_text_vector`, built in tall form for long
     texts: explode tokens -> bucket -> ``(id, bucket)`` counts (combined
