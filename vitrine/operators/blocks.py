@@ -192,7 +192,11 @@ def topk_join(left: DataFrame, right: DataFrame, k: int, *, left_group: Column |
     grouped = left_group is not None
     mb = 1 if grouped else _parallel_blocks(spark, min_pairs)
     lb = pack_blocks(left, left_group, id_col, vec_col, lcodes, block_rows, mb, prefix="l_")
-    rb = pack_blocks(right, right_group, id_col, vec_col, rcodes, block_rows, mb, prefix="r_")
+    if right is left and not grouped and not lcodes and not rcodes:
+        # Self join: one packing serves both sides (one scan, one shuffle).
+        rb = lb.select(F.col(_G), F.col(_B), F.col(_NB), F.col("l_ids").alias("r_ids"), F.col("l_vecs").alias("r_vecs"))
+    else:
+        rb = pack_blocks(right, right_group, id_col, vec_col, rcodes, block_rows, mb, prefix="r_")
     lcols = ["l_ids", "l_vecs"] + [f"l_{c}" for c in lcodes]
     rcols = ["r_ids", "r_vecs"] + [f"r_{c}" for c in rcodes]
     if grouped:

@@ -77,9 +77,12 @@ def knn_batch(queries: DataFrame, index: DataFrame, k: int = 5, catalog: DataFra
     """Top-k of ``index`` for every row of ``queries``.
 
     Returns ``query_id, rank, product_id, raw, similarity`` (+ metadata with a catalog).
+    Passing the same frame as queries and index packs its blocks once.
     """
-    q = queries.where(F.col(query_vec).isNotNull()).select(F.col(query_id).alias("id"), F.col(query_vec).alias("embedding"))
+    same = queries is index and query_id == id_col and query_vec == vec_col
     idx = index.where(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("embedding"))
+    q = idx if same else queries.where(F.col(query_vec).isNotNull()).select(
+        F.col(query_id).alias("id"), F.col(query_vec).alias("embedding"))
     hits = topk_join(q, idx, k, exclude_self=exclude_self)
     hits = hits.select(F.col("l_id").alias(query_id), F.col("rank").cast("bigint").alias("rank"), "r_id", "raw",
                        clip01("raw").alias("similarity"))
@@ -88,11 +91,12 @@ def knn_batch(queries: DataFrame, index: DataFrame, k: int = 5, catalog: DataFra
     return hits.withColumnRenamed("r_id", "product_id")
 
 
-def knn_by_product(index: DataFrame, product_ids: DataFrame, k: int = 5, catalog: DataFrame | None = None,
-                   id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
-    """Neighbours of given products, each excluding itself (J4).  Ids without
-    a vector produce no rows; ``unknown_ids`` reports them."""
-    q = index.join(product_ids.select(id_col).distinct(), id_col, "left_semi")
+def knn_by_product(index: DataFrame, product_ids: DataFrame | None = None, k: int = 5,
+                   catalog: DataFrame | None = None, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
+    """Neighbours of given products (default: every product), each excluding
+    itself (J4).  Ids without a vector produce no rows; ``unknown_ids``
+    reports them."""
+    q = index if product_ids is None else index.join(product_ids.select(id_col).distinct(), id_col, "left_semi")
     return knn_batch(q, index, k, catalog, exclude_self=True, id_col=id_col, vec_col=vec_col,
                      query_id=id_col, query_vec=vec_col).withColumnRenamed(id_col, "source_id")
 

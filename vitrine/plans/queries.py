@@ -43,7 +43,7 @@ def _index(spark, sf):
 def q_knn_by_product(spark, sf):
     c = _catalog(spark, sf)
     idx = c.where(F.col("embedding").isNotNull()).select("id", "embedding")
-    r = knn.knn_by_product(idx, idx.select("id"), 5, c)
+    r = knn.knn_by_product(idx, None, 5, c)
     return r.select("source_id", "rank", "product_id", F.round("similarity", R6).alias("similarity"),
                     "product_name", "article_type")
 
