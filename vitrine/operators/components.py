@@ -27,8 +27,9 @@ def _large_star(e: DataFrame) -> DataFrame:
     both = e.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
         e.select(F.col("b").alias("u"), F.col("a").alias("v")))
     m = both.groupBy("u").agg(F.min("v").alias("mv")).select("u", F.least("u", "mv").alias("m"))
-    out = both.join(m, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
-    return _canon(out)
+    # No distinct here: duplicates are harmless to the small-star step,
+    # which ends the round with a canonical distinct edge set.
+    return both.join(m, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(e: DataFrame) -> DataFrame:
