@@ -42,9 +42,7 @@ def _cand_codes(df: DataFrame) -> DataFrame:
               .withColumn("us_code", F.when(F.col("usage").isNull(), F.lit(-2)).otherwise(F.col("us_code"))))
 
 
-def _combo_key(type_col: str, mc_col: str):
-    # Group key of a (type, master category) combination; \x1f / \x1e never occur in labels.
-    return F.concat(F.col(type_col), F.lit("\x1f"), F.coalesce(F.col(mc_col), F.lit("\x1e")))
+_NULL = "\x1e"   # stands for a null category inside group keys (never occurs in labels)
 
 
 def recommend(catalog: DataFrame, sources: DataFrame | None = None, top_k: int = config.TOP_K_RECOMMENDATIONS,
@@ -54,15 +52,16 @@ def recommend(catalog: DataFrame, sources: DataFrame | None = None, top_k: int =
     ``catalog`` needs id, articleType, masterCategory, usage, embedding and
     the display columns.  Sources without a vector produce no rows.
 
-    Both paths run in one grouped kernel call.  Groups are (type, master
-    category) combinations; the pair map holds the rule edges (source type
-    -> live target type) and the fallback edges (source combination -> every
-    candidate combination of another master category; a null category
-    differs from everything, as in the reference).
+    Both paths run in one grouped kernel call.  Candidates are packed under
+    two keys, ``T:<type>`` and ``M:<master category>``; rule-path sources
+    (key ``T:<own type>``) meet the live target types, fallback sources (key
+    ``M:<own category>``) meet every other category (a null category differs
+    from everything, as in the reference).  The pair map therefore has at
+    most (rule edges + categories^2) rows, whatever the catalog size.
     """
     spark = catalog.sparkSession
     rules = rules if rules is not None else rule_table(spark)
-    meta = _prepare(catalog).withColumn("gkey", _combo_key("type_lower", "masterCategory"))
+    meta = _prepare(catalog)
     with_vec = meta.where(F.col("embedding").isNotNull())
 
     types = meta.select("type_lower").distinct()
@@ -71,28 +70,30 @@ def recommend(catalog: DataFrame, sources: DataFrame | None = None, top_k: int =
     live = edges.join(types.select(F.col("type_lower").alias("rt")), "rt", "left_semi")  # targets present in the catalog
     has_cand = live.select(F.col("lt").alias("type_lower")).distinct().withColumn("rule_path", F.lit(1))
 
+    mc_key = F.coalesce(F.col("masterCategory"), F.lit(_NULL))
     src = with_vec if sources is None else with_vec.join(sources.select("id").distinct(), "id", "left_semi")
     src = (src.join(has_cand, "type_lower", "left")
               .withColumn("rule_path", F.coalesce(F.col("rule_path"), F.lit(0)))
-              .withColumn("fb_self", (1 - F.col("rule_path")) if not exclude_self else F.lit(1)))
-
-    # Combination vocabulary (types x master categories present), small by construction.
-    src_combos = src.select(F.col("type_lower").alias("lt"), F.col("masterCategory").alias("lmc"),
-                            F.col("gkey").alias("lg"), "rule_path").distinct()
-    cand_combos = with_vec.select(F.col("type_lower").alias("rt"), F.col("masterCategory").alias("rmc"),
-                                  F.col("gkey").alias("rg")).distinct()
-    rule_pairs = (src_combos.where(F.col("rule_path") == 1).join(live, "lt")
-                            .join(cand_combos, "rt").select("lg", "rg"))
-    vocab = cand_combos.agg(F.collect_list(F.struct("rmc", "rg"))).scalar()
-    fb_pairs = (src_combos.where(F.col("rule_path") == 0)
-                          .select("lg", "lmc", F.explode(vocab).alias("c"))
-                          .where(F.coalesce(F.col("c.rmc") != F.col("lmc"), F.lit(True)))
-                          .select("lg", F.col("c.rg").alias("rg")))
+              .withColumn("fb_self", (1 - F.col("rule_path")) if not exclude_self else F.lit(1))
+              .withColumn("gkey", F.when(F.col("rule_path") == 1, F.concat(F.lit("T:"), F.col("type_lower")))
+                                   .otherwise(F.concat(F.lit("M:"), mc_key))))
+    cand = _cand_codes(with_vec)
+    cand = (cand.withColumn("gkey", F.concat(F.lit("T:"), F.col("type_lower")))
+                .unionByName(cand.withColumn("gkey", F.concat(F.lit("M:"), mc_key))))
+
+    rule_pairs = live.select(F.concat(F.lit("T:"), F.col("lt")).alias("lg"), F.concat(F.lit("T:"), F.col("rt")).alias("rg"))
+    # Category vocabulary (a handful of values) as one scalar array.
+    mcs = with_vec.select(mc_key.alias("mc"), F.col("masterCategory").alias("raw_mc")).distinct()
+    vocab = mcs.agg(F.collect_list(F.struct("mc", "raw_mc"))).scalar()
+    fb_pairs = (src.where(F.col("rule_path") == 0).select(mc_key.alias("lmc"), F.col("masterCategory").alias("raw_lmc"))
+                   .distinct().select("lmc", "raw_lmc", F.explode(vocab).alias("c"))
+                   .where(F.coalesce(F.col("c.raw_mc") != F.col("raw_lmc"), F.lit(True)))
+                   .select(F.concat(F.lit("M:"), F.col("lmc")).alias("lg"), F.concat(F.lit("M:"), F.col("c.mc")).alias("rg")))
     pairs = rule_pairs.unionByName(fb_pairs)
 
     bonus = [("mc_code", "mc_code", config.BONUS_SAME_MASTER_CATEGORY),
              ("us_code", "us_code", config.BONUS_SAME_USAGE)]
-    hits = topk_join(src, _cand_codes(with_vec), top_k, left_group=F.col("gkey"), right_group=F.col("gkey"),
+    hits = topk_join(src, cand, top_k, left_group=F.col("gkey"), right_group=F.col("gkey"),
                      group_pairs=pairs, bonus=bonus, clip_bonus=True, cap=config.SCORE_CAP, exclude_self="fb_self")
     hits = (hits.join(src.select(F.col("id").alias("l_id"), F.col("type_lower").alias("s_type"), "rule_path"), "l_id")
                 .join(meta.select(F.col("id").alias("r_id"), F.col("type_lower").alias("c_type")), "r_id")
