@@ -513,3 +513,21 @@ SELECT item_id, CAST(rank AS BIGINT) AS rank, doc_id, round({clip('raw')}, 6) AS
 
 ORACLE["doc_embed"] = f"""WITH {_DOCS}, t AS (SELECT doc_id AS id, e FROM dv)
 SELECT id AS doc_id, dim, value FROM ({tall('t')})"""
+
+ORACLE["knn_by_vector"] = f"""WITH {CATALOG},
+  idx AS (SELECT id, {norm_list(hvec('productDisplayName'))} AS e FROM catalog),
+  q AS (SELECT {norm_list(hvec("'red ring'"))} AS e),
+  s AS (SELECT idx.id AS product_id, list_dot_product(q.e, idx.e) AS raw FROM idx, q),
+  r AS (SELECT *, row_number() OVER (ORDER BY raw DESC, product_id) AS rank FROM s)
+SELECT CAST(r.rank AS BIGINT) AS rank, r.product_id, round({clip('r.raw')}, 6) AS similarity,
+       c.productDisplayName AS product_name FROM r JOIN catalog c ON c.id = r.product_id WHERE r.rank <= 5"""
+
+ORACLE["recommend_one"] = f"""WITH {CATALOG}, {RECS}
+SELECT {REC_COLS} FROM recs WHERE source_id = (SELECT min(id) FROM catalog WHERE embedding IS NOT NULL)"""
+
+ORACLE["dup_representatives"] = f"""{_PLANT_CL}
+SELECT clus.cluster_id, clus.representative_id, m.image_bytes AS representative_bytes, clus.size
+FROM clus JOIN mem2 m ON m.component = clus.component AND m.id = clus.representative_id"""
+
+ORACLE["format_score"] = f"""WITH {CATALOG}, {KNN}
+SELECT source_id, CAST(rank AS BIGINT) AS rank, printf('%.1f%%', {clip('raw')} * 100) AS similarity_pct FROM r WHERE rank <= 5"""

@@ -393,6 +393,36 @@ def q_knn_centroid(spark, sf):
     return r.select("rank", "product_id", F.round("similarity", R6).alias("similarity"))
 
 
+def q_knn_by_vector(spark, sf):
+    """One query vector (the encoded text "red ring", computed once on the
+    driver) against the whole name index: a bounded top-k, no shuffle of rows."""
+    c = _catalog(spark, sf)
+    qv = enc.embed_text(spark, "red ring")
+    r = knn.knn_by_vector(srch.text_index(c), qv, 5, c)
+    return r.select("rank", "product_id", F.round("similarity", R6).alias("similarity"), "product_name")
+
+
+def q_recommend_one(spark, sf):
+    """Recommendations for one product: the first product (lowest id) that has a vector."""
+    c = _catalog(spark, sf)
+    first = c.where(F.col("embedding").isNotNull()).agg(F.min("id").alias("id"))
+    return _rec_cols(rec.recommend(c, first, 5))
+
+
+def q_dup_representatives(spark, sf):
+    _, m, clus = _dedup(spark, sf, "planted")
+    reps = clus.select("component", "cluster_id", "representative_id")
+    return (m.join(reps, "component").where(F.col("id") == F.col("representative_id"))
+             .select("cluster_id", "representative_id", F.col("image_bytes").alias("representative_bytes"), "size"))
+
+
+def q_format_score(spark, sf):
+    c = _catalog(spark, sf)
+    idx = c.where(F.col("embedding").isNotNull()).select("id", "embedding")
+    r = knn.knn_by_product(idx, None, 5)
+    return r.select("source_id", "rank", ft.format_score("similarity").alias("similarity_pct"))
+
+
 def q_product_by_id(spark, sf):
     """Batch id lookup: catalog rows of every part that appears in an order line."""
     ids = td.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("id"))
