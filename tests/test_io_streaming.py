@@ -94,3 +94,21 @@ def test_missing_csv_and_schema_checks(spark):
         embed_text(spark, "   ")
     v = embed_text(spark, "Blue casual shirt")
     assert abs(sum(x * x for x in v) - 1.0) < 1e-12
+
+
+def test_unreadable_images_become_zero_or_raise(spark):
+    import pytest
+    d = tempfile.mkdtemp(prefix="vitrine-bad-")
+    for n, b in {"1.jpg": b"GOODabc", "2.jpg": b"BROKEN", "3.png": b"GOODxyz"}.items():
+        with open(os.path.join(d, n), "wb") as f:
+            f.write(b)
+
+    def decode(b):
+        b = bytes(b)
+        if not b.startswith(b"GOOD"):
+            raise ValueError("not an image")
+        return b[4:]
+    got = {r.id: r.embedding for r in io.embed_images(spark, d, byte_histogram_model(8), 8, decode=decode).collect()}
+    assert set(got) == {1, 2, 3} and not any(got[2]) and abs(np.linalg.norm(got[1]) - 1) < 1e-6
+    with pytest.raises(Exception):
+        io.embed_images(spark, d, byte_histogram_model(8), 8, decode=decode, on_error="raise").collect()

@@ -75,25 +75,47 @@ def hashed_text_vectors(df: DataFrame, id_col: str, text_col: str, dim: int = co
 
 
 def model_encoder(make_predict_fn: Callable, dim: int, batch_size: int = 32,
-                  input_type: str = "string") -> Callable[[Column], Column]:
+                  input_type: str = "string", decode: Callable | None = None,
+                  on_error: str = "null") -> Callable[[Column], Column]:
     """Wrap a user model factory as a batched Arrow UDF.
 
     ``make_predict_fn()`` returns ``predict(inputs: np.ndarray) -> np.ndarray``
-    of shape ``(n, dim)``.  Null inputs (unreadable images, missing text)
-    reach the function as ``None``; the wrapper maps them to zero vectors,
-    and every output row is L2-normalised (zero stays zero).
+    of shape ``(n, dim)``.  ``decode`` (optional) turns one raw input (e.g.
+    image bytes) into a model input and may raise for unreadable content:
+    with ``on_error="null"`` such items (and null inputs) become zero
+    vectors, with ``on_error="raise"`` the task fails.  Every output row is
+    L2-normalised (zero stays zero).
     """
     from pyspark.ml.functions import predict_batch_udf
     from pyspark.sql.types import ArrayType, FloatType
 
+    if on_error not in ("null", "raise"):
+        raise ValueError("on_error must be 'null' or 'raise'")
+
     def factory():
         predict = make_predict_fn()
 
         def run(x: np.ndarray) -> np.ndarray:
-            ok = np.array([v is not None for v in x], dtype=bool)
-            out = np.zeros((len(x), dim), dtype=np.float32)
+            items = list(x)
+            if decode is not None:
+                dec = []
+                for v in items:
+                    if v is None:
+                        dec.append(None)
+                        continue
+                    try:
+                        dec.append(decode(v))
+                    except Exception:
+                        if on_error == "raise":
+                            raise
+                        dec.append(None)
+                items = dec
+            ok = np.array([v is not None for v in items], dtype=bool)
+            out = np.zeros((len(items), dim), dtype=np.float32)
             if ok.any():
-                out[ok] = np.asarray(predict(x[ok]), dtype=np.float32)
+                good = np.empty(int(ok.sum()), dtype=object)
+                good[:] = [v for v in items if v is not None]
+                out[ok] = np.asarray(predict(good), dtype=np.float32)
             n = np.linalg.norm(out, axis=1, keepdims=True)
             n[n == 0] = 1.0
             return out / n

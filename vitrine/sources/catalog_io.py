@@ -91,7 +91,8 @@ def vectors_to_refresh(catalog: DataFrame, cache: DataFrame, key_cols=("id",)) -
     return catalog.join(cache.select(*key_cols), list(key_cols), "left_anti")
 
 
-def embed_images(spark: SparkSession, image_dir: str, make_predict_fn, dim: int, batch_size: int = 32) -> DataFrame:
+def embed_images(spark: SparkSession, image_dir: str, make_predict_fn, dim: int, batch_size: int = 32,
+                 decode=None, on_error: str = "null") -> DataFrame:
     """Batch image embedding (E1): file content -> model -> unit vector.
     Only files named ``<id><ext>`` with a known extension are embedded;
     unreadable content (NULL) becomes a zero vector."""
@@ -103,5 +104,5 @@ def embed_images(spark: SparkSession, image_dir: str, make_predict_fn, dim: int,
     keyed = files.select(F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1).try_cast("bigint").alias("id"),
                          F.regexp_extract(name, r"(\.[^.]*)$", 1).alias("ext"), "content")
     best = inv.where(pri > 0).groupBy("id").agg(F.min_by("ext", pri).alias("ext"))
-    udf = model_encoder(make_predict_fn, dim, batch_size, "binary")
+    udf = model_encoder(make_predict_fn, dim, batch_size, "binary", decode=decode, on_error=on_error)
     return keyed.join(best, ["id", "ext"]).select("id", udf(F.col("content")).alias("embedding"))
