@@ -164,9 +164,13 @@ def dq_counters(raw: DataFrame, images: DataFrame | None = None) -> DataFrame:
         ann = ann.join(images.select(F.col("id").alias("vid"), F.lit(True).alias("img")), "vid", "left")
     else:
         ann = ann.withColumn("img", F.lit(True))
-    a = ann.agg(F.count(F.lit(1)).alias("raw"), F.count_if("nn").alias("non_null"), F.count_if("valid").alias("id_ok"),
-                F.count_distinct("vid").alias("unique_ids"),
-                F.count_distinct(F.when(F.col("img"), F.col("vid"))).alias("with_image"))
+    # One shuffle on the id (partial aggregation), then plain sums: no
+    # distinct aggregates, so no Expand that multiplies the rows.
+    per_id = ann.groupBy("vid").agg(F.count(F.lit(1)).alias("rows"), F.count_if("nn").alias("nn"),
+                                    F.count_if("valid").alias("ok"), F.max(F.coalesce("img", F.lit(False))).alias("img"))
+    a = per_id.agg(F.sum("rows").alias("raw"), F.sum("nn").alias("non_null"), F.sum("ok").alias("id_ok"),
+                   F.count_if(F.col("vid").isNotNull()).alias("unique_ids"),
+                   F.count_if(F.col("vid").isNotNull() & F.col("img")).alias("with_image"))
     return a.select(F.expr(
         "stack(4, 'drop_null_required', raw, non_null, 'coerce_id', non_null, id_ok, "
         "'first_per_id', id_ok, unique_ids, 'keep_with_image', unique_ids, with_image) AS (stage, rows_in, rows_out)")
