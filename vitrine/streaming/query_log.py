@@ -57,13 +57,15 @@ def run_available(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "pa
 def duplicate_check(new_listings: DataFrame, index: DataFrame, sink_path: str, checkpoint: str,
                     threshold: float = config.DUPLICATE_SIMILARITY_THRESHOLD, available_now: bool = True) -> StreamingQuery:
     """For each arriving listing ``(id, embedding)``: its most similar stored
-    product, kept when similarity >= threshold; appended to ``sink_path``."""
+    product, kept when similarity >= threshold; written to
+    ``sink_path/epoch=<batch id>`` (idempotent per micro-batch)."""
     def batch(df: DataFrame, epoch_id: int) -> None:
         hits = topk_join(df.select("id", "embedding"), index.select("id", "embedding"), 1, exclude_self=True)
         out = hits.where(F.col("raw") >= threshold).select(
-            F.col("l_id").alias("new_id"), F.col("r_id").alias("existing_id"), F.col("raw").alias("similarity"),
-            F.lit(epoch_id).cast("bigint").alias("epoch"))
-        out.write.mode("append").parquet(sink_path)
+            F.col("l_id").alias("new_id"), F.col("r_id").alias("existing_id"), F.col("raw").alias("similarity"))
+        # One directory per epoch, overwritten on replay: a retried batch
+        # replaces its own output instead of appending it twice.
+        out.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/epoch={epoch_id}")
     w = new_listings.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     q = w.start()
