@@ -473,6 +473,20 @@ def q_csv_ingest(spark, sf):
     return read_catalog_csv(spark, base)
 
 
+def q_stream_history(spark, sf):
+    """Structured Streaming over the query log (events): per 1-day event-time
+    window and query, count / avg / max latency, watermark 1 hour; run with an
+    availableNow trigger into the shared checkpoint folder and read back."""
+    from ..streaming import query_log as ql
+    log = ql.read_log(spark, f"{sf.rstrip('/')}/events*.parquet")
+    ck = ql.checkpoint_location(spark, "history")
+    ql.run_available(ql.windowed_summary(log, "1 day", "1 hour"), ck + "-sink", ck)
+    out = spark.read.parquet(ck + "-sink")
+    return out.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "query",
+                      "total_queries", F.round("avg_latency_ms", 2).alias("avg_latency_ms"),
+                      F.round("max_latency_ms", 2).alias("max_latency_ms"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }
