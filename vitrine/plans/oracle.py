@@ -531,3 +531,9 @@ FROM clus JOIN mem2 m ON m.component = clus.component AND m.id = clus.representa
 
 ORACLE["format_score"] = f"""WITH {CATALOG}, {KNN}
 SELECT source_id, CAST(rank AS BIGINT) AS rank, printf('%.1f%%', {clip('raw')} * 100) AS similarity_pct FROM r WHERE rank <= 5"""
+
+ORACLE["vector_by_id"] = f"""WITH v AS (SELECT vec_id AS id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE vec_id IN (SELECT l_partkey FROM lineitem))
+{tall('v', keep_zeros=True)}"""
+
+ORACLE["product_ids"] = f"WITH {CATALOG} SELECT id FROM catalog"

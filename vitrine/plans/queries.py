@@ -423,6 +423,18 @@ def q_format_score(spark, sf):
     return r.select("source_id", "rank", ft.format_score("similarity").alias("similarity_pct"))
 
 
+def q_vector_by_id(spark, sf):
+    """Vector lookup by id (V5) for every part that appears in an order line."""
+    ids = td.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("id")).distinct()
+    v = td.vectors(spark, sf).join(ids, "id", "left_semi")
+    t = fv.vector_tall(v, "id", "embedding", keep_zeros=True)
+    return t.select("id", "dim", F.round("value", R6).alias("value"))
+
+
+def q_product_ids(spark, sf):
+    return cat_ops.product_ids(_catalog(spark, sf))
+
+
 def q_product_by_id(spark, sf):
     """Batch id lookup: catalog rows of every part that appears in an order line."""
     ids = td.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("id"))
