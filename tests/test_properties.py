@@ -32,3 +32,20 @@ def test_dedup_partitions_catalog(spark, sf):
     assert all(0.0 < s <= 1.0 + 1e-9 for s in scores)
     ids = sorted(r.cluster_id for r in res["clusters"].collect())
     assert ids == list(range(len(ids)))
+
+
+def test_probe_broadcast_is_bounded(spark):
+    import pytest
+    from vitrine.operators.catalog import bounded_probes
+    probes = spark.range(50).selectExpr("cast(id as string) AS query")
+    assert bounded_probes(probes, "query", max_rows=50) is not None
+    with pytest.raises(ValueError):
+        bounded_probes(probes, "query", max_rows=49)
+
+
+def test_spread_only_splits_under_partitioned_inputs(spark):
+    from vitrine.session import default_parallelism, spread
+    one = spark.range(100).coalesce(1)
+    assert spread(one, "id").rdd.getNumPartitions() == default_parallelism(spark)
+    many = spark.range(100).repartition(default_parallelism(spark) + 3)
+    assert spread(many, "id") is many
