@@ -5,16 +5,42 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import jaccard
+from . import bpe, jaccard, langid, packing, quality
 from .common import table
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op4_bpe_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    model = quality.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
+    return quality.judged(docs, model).drop("text")
+
+
 def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    model = langid.train(docs.where(~langid.held_out(F.col("doc_id"))))
+    found = langid.predicted(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_bpe_forced_boundaries": op4_bpe_forced_boundaries,
+    "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
+    "op10_language_id": op10_language_id,
 }
 ORACLE: dict[str, str] = {}

@@ -101,14 +101,18 @@ def spans(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
     return starts, ends, np.searchsorted(starts, off)
 
 
-def word_keys(data: np.ndarray, off: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
-    """``(keys, first)``: one key per word, and per text the index of its first word (one more entry than texts)."""
-    starts, ends, first = spans(data, off)
+def span_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool) -> np.ndarray:
+    """One key per byte span (any spans of ``data``)."""
     power, inverse = _power_tables(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((_LOWER if lower else _RAW)[data] * power[: len(data)], out=total[1:])
-    keys = mix((total[ends] - total[starts]) * inverse[starts])
-    return keys, first
+    return mix((total[ends] - total[starts]) * inverse[starts])
+
+
+def word_keys(data: np.ndarray, off: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    """``(keys, first)``: one key per word, and per text the index of its first word (one more entry than texts)."""
+    starts, ends, first = spans(data, off)
+    return span_keys(data, starts, ends, lower), first
 
 
 def shingles(keys: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
