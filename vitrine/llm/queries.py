@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, jaccard, langid, packing, quality
+from . import bpe, fingerprint, jaccard, langid, packing, quality
 from .common import table
 
 
+def op1_multiset_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -37,6 +41,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_multiset_fingerprints": op1_multiset_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_bpe_forced_boundaries": op4_bpe_forced_boundaries,
     "op8_quality_rules": op8_quality_rules,
