@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, jaccard, langid, packing, quality
+from . import bpe, fingerprint, jaccard, langid, packing, quality, sharding, urls
 from .common import table
 
 
@@ -23,6 +23,20 @@ def op4_bpe_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op5_minimax_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+#: The rules of the query (host, path, verdict).
+URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+             ("net", "/es/", "block"), ("net", "/fr/", "block")]
+
+
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.judged(table(spark, sf_dir, "pages", "page_id", "url"), rules)
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
@@ -44,8 +58,24 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_multiset_fingerprints": op1_multiset_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op4_bpe_forced_boundaries": op4_bpe_forced_boundaries,
+    "op5_minimax_sharding": op5_minimax_sharding,
+    "op6_url_rules": op6_url_rules,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_language_id": op10_language_id,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op6_url_rules": r"""
+WITH part AS (
+  SELECT page_id, translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 1, 's'),
+                            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)([^?#]*)', 2, 's') AS path
+  FROM pages),
+rules(h, p, v) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                          ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fit AS (
+  SELECT page_id, host, path, h || p AS rule, v,
+         row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(h) DESC NULLS LAST, length(p) DESC) AS n
+  FROM part LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
+SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM fit WHERE n = 1""",
+}
