@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, jaccard, langid, packing, quality, sharding, urls
+from . import bpe, chat, fingerprint, jaccard, langid, packing, quality, sharding, urls
 from .common import table
 
 
@@ -37,6 +37,16 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged(table(spark, sf_dir, "pages", "page_id", "url"), rules)
 
 
+#: Fixed value: a conversation whose texts are control strings.
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
+    control = spark.createDataFrame([(-1, 0, "user", CONTROL_TEXT), (-1, 1, "assistant", CONTROL_TEXT)], "conv_id long, turn long, role string, text string")
+    return chat.digests(chat.formatted(turns.unionByName(control)))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
     model = quality.train(docs, table(spark, sf_dir, "labels", "doc_id", "quality"))
@@ -60,6 +70,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe_forced_boundaries": op4_bpe_forced_boundaries,
     "op5_minimax_sharding": op5_minimax_sharding,
     "op6_url_rules": op6_url_rules,
+    "op7_chat_formatting": op7_chat_formatting,
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_language_id": op10_language_id,
