@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprint, jaccard, langid, packing, quality, sharding, urls
+from . import bpe, chat, fingerprint, jaccard, langid, lm, packing, quality, sharding, urls
 from .common import table
 
 
@@ -19,6 +19,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.scored(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op4_bpe_forced_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -67,6 +71,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_multiset_fingerprints": op1_multiset_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_bpe_forced_boundaries": op4_bpe_forced_boundaries,
     "op5_minimax_sharding": op5_minimax_sharding,
     "op6_url_rules": op6_url_rules,
