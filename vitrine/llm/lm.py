@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 from . import words as W
 from .common import binary_column, crc32_of_id, shared, shuffle_partitions, total_bytes, unpack
 
-BASES = (1.05, 1.5)             # quantisation bases of words and of pairs
+BASES = (1.2, 1.5)              # quantisation bases of words and of pairs
 HASHES = 4                      # bits set for a member
 MAX_FILTER_BYTES = 128 << 20    # broadcast at once
-CHUNK_TOKENS = 4 << 20
+CHUNK_TOKENS = 3 << 19
 BUCKET_TOKENS = 2 << 20
-LEVELS = 400
+LEVELS = 256                    # a level fits a byte; 1.2**255 is beyond any count
 
 _END, _START = (W.mix(np.array([x], np.uint64))[0] for x in (0xE17D, 0x57A7))
 _LOW = W.U64(0xFFFFFFFF)
@@ -83,11 +83,12 @@ def counts_of_levels(base: float) -> np.ndarray:
     return out
 
 
-def _positions(identity: np.ndarray, level: int, bits: np.ndarray | int) -> Iterator[np.ndarray]:
+def _positions(identity: np.ndarray, level: int, bits: np.ndarray | np.uint64) -> Iterator[np.ndarray]:
+    """The bit positions of ``(n-gram, level)`` in segments of ``bits`` bits (fewer than 2**32)."""
     x = W.mix(identity + W.U64(level * 0xD1B54A32D192ED03 % 2**64))
     a, b = x & _LOW, (x >> W.U64(32)) | W.U64(1)
     for i in range(HASHES):
-        yield (a + W.U64(i) * b) % bits
+        yield (((a + W.U64(i) * b) & _LOW) * bits) >> W.U64(32)
 
 
 def build_segment(identity: np.ndarray, levels: np.ndarray) -> bytes:
@@ -117,18 +118,18 @@ class Filter:
         """Level of every key, read by probes; 0 where a key is absent or its segment is not here."""
         keys, back = np.unique(keys, return_inverse=True)
         bucket = _bucket(keys, self.buckets)
-        identity = (bucket << W.U64(32)) | (keys & _LOW)
-        bits, start = self.bits[bucket], self.start[bucket]
-        out = np.zeros(len(keys), np.int64)
-        live = np.flatnonzero(bits)
+        out = np.zeros(len(keys), np.uint8)
+        live = np.flatnonzero(self.bits[bucket])
+        bucket = bucket[live]
+        identity, bits, start = (bucket << W.U64(32)) | (keys[live] & _LOW), self.bits[bucket], self.start[bucket]
         for level in range(1, LEVELS):
             if not len(live):
                 break
             member = np.ones(len(live), bool)
-            for at in _positions(identity[live], level, bits[live]):
-                at += start[live]
+            for at in _positions(identity, level, bits):
+                at += start
                 member &= (self.data[at >> W.U64(3)] >> (at & W.U64(7)).astype(np.uint8)) & 1 == 1
-            live = live[member]
+            live, identity, bits, start = (x[member] for x in (live, identity, bits, start))
             out[live] = level
         return out[back]
 
@@ -157,6 +158,18 @@ def _blob(*rows: bytes) -> pa.Array:
     return pa.array(list(rows), pa.binary())
 
 
+def _terms(words: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``(distinct words by text, how often each occurs, distinct words of each text)``."""
+    words, end = words.copy(), np.cumsum(counts)
+    for a, b in zip((end - counts).tolist(), end.tolist()):
+        words[a:b].sort()
+    new = np.ones(len(words), bool)
+    np.not_equal(words[1:], words[:-1], out=new[1:])
+    new[end - counts] = True  # every text has its end token
+    at = np.flatnonzero(new)
+    return words[at], np.diff(np.append(at, len(words))), np.diff(np.searchsorted(at, np.append(0, end)))
+
+
 def _emit_words(buckets: int):
     def emit(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk, ids, tokens, counts in _chunks(batches):
@@ -164,7 +177,7 @@ def _emit_words(buckets: int):
             keys, which = np.unique(tokens, return_inverse=True)
             doc = np.repeat(np.arange(len(counts)), counts)
             trained = np.bincount(which[~held[doc]], minlength=len(keys)).astype(np.uint32)
-            term, times = np.unique(doc * len(keys) + which, return_counts=True)
+            term, times, per_doc = _terms(which.astype(np.uint32), counts)
             here, at = np.unique(_bucket(keys, buckets), return_index=True)
             bounds = np.append(at, len(keys))
             m = len(here)
@@ -172,8 +185,8 @@ def _emit_words(buckets: int):
                 pa.array(np.append(np.zeros(m, np.int32), 1).astype(np.int32)), pa.array(np.append(here.astype(np.int64), -1 - chunk % buckets)),
                 pa.array(np.full(m + 1, chunk)),
                 pa.concat_arrays([binary_column(keys, bounds), _blob(np.stack([ids["id"].to_numpy(), ids["h"].to_numpy(), held.astype(np.int64),
-                                                                              np.bincount(term // len(keys), minlength=len(counts))]).tobytes())]),
-                pa.concat_arrays([binary_column(trained, bounds), _blob((term % len(keys)).astype(np.uint32).tobytes())]),
+                                                                              per_doc]).tobytes())]),
+                pa.concat_arrays([binary_column(trained, bounds), _blob(term.tobytes())]),
                 pa.concat_arrays([_blob(*[b""] * m), _blob(times.astype(np.uint32).tobytes())])], names=_NAMES)
     return emit
 
@@ -268,8 +281,8 @@ def _read_levels(docs: DataFrame, filters) -> DataFrame:
                 found = []
                 for column, levels in ((3, one.levels(tokens)), (4, two.levels(pair_keys(tokens, counts)[1]))):
                     if rows.column(column).null_count < len(rows):
-                        levels = levels + np.frombuffer(b"".join(rows.column(column).to_pylist()), np.uint16)
-                    found.append(binary_column(levels.astype(np.uint16), bounds))
+                        levels = levels + np.frombuffer(b"".join(rows.column(column).to_pylist()), np.uint8)
+                    found.append(binary_column(levels, bounds))
                 yield pa.RecordBatch.from_arrays([*rows.columns[:3], *found, rows.column(5)], names=["id", "h", "held", "words", "pairs", "text"])
     return docs.mapInArrow(run, "id long, h long, held boolean, words binary, pairs binary, text string")
 
@@ -287,8 +300,8 @@ def _with_levels(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple]:
         for lo in range(0, batch.num_rows, 500):
             rows = batch.slice(lo, 500)
             raw = [rows.column(i).to_pylist() for i in (3, 4)]
-            counts = np.array([len(x) // 2 for x in raw[0]], np.int64)
-            yield rows, counts, *(np.frombuffer(b"".join(x), np.uint16).astype(np.int64) for x in raw)
+            counts = np.array([len(x) for x in raw[0]], np.int64)
+            yield rows, counts, *(np.frombuffer(b"".join(x), np.uint8).astype(np.int64) for x in raw)
 
 
 def _votes(levelled: DataFrame, n: int, start: int) -> np.ndarray:
