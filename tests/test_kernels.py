@@ -112,10 +112,20 @@ def test_ordinal_matches_global_order(spark):
     rng = np.random.default_rng(9)
     keys = rng.permutation(5000)[:997]
     df = spark.createDataFrame([(int(k),) for k in keys], "k BIGINT")
-    got = {r.k: r.ordinal for r in ordinal(df, "k", partitions=7, small_rows=None).collect()}
+    got = {r.k: r.ordinal for r in ordinal(df, "k", partitions=7).collect()}
     assert got == {int(k): i for i, k in enumerate(sorted(int(x) for x in keys))}
 
 
+def test_ordinal_is_dense_beyond_a_million_rows(spark):
+    from vitrine.operators.ordinal import ordinal
+    df = spark.range(1_500_000).select(F.xxhash64("id").alias("k"), F.col("id").alias("v"), F.lit("text").alias("t"))
+    out = ordinal(df, "k")
+    r = out.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("ordinal").alias("d"), F.min("ordinal").alias("a"), F.max("ordinal").alias("b")).first()
+    assert tuple(r) == (1_500_000, 1_500_000, 0, 1_499_999)
+    some = out.where("ordinal between 700000 and 700999").orderBy("ordinal").collect()
+    assert [x.k for x in some] == sorted(x.k for x in some)
+
+
 def test_lsh_pairs_subset_of_exact_with_high_recall(spark, sf):
     from vitrine.operators import dedup as dd
     from vitrine.sources import testdata as td

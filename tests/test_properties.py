@@ -34,13 +34,16 @@ def test_dedup_partitions_catalog(spark, sf):
     assert ids == list(range(len(ids)))
 
 
-def test_probe_broadcast_is_bounded(spark):
-    import pytest
-    from vitrine.operators.catalog import bounded_probes
-    probes = spark.range(50).selectExpr("cast(id as string) AS query")
-    assert bounded_probes(probes, "query", max_rows=50) is not None
-    with pytest.raises(ValueError):
-        bounded_probes(probes, "query", max_rows=49)
+def test_containment_join_matches_brute_force(spark):
+    import random
+    from vitrine.operators.catalog import containing
+    rng = random.Random(6)
+    texts = ["".join(rng.choice("abc ") for _ in range(rng.randint(0, 12))) for _ in range(300)] + [None]
+    needles = ["", "a", "bc", "abc", "c a", "abca", "zz", "abcabcabcabcabc", None] + [t for t in texts[:40]]
+    left = spark.createDataFrame([(x,) for x in needles], "q string").distinct()
+    right = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    got = {(r.q, r.id) for r in containing(left, "q", right, "t").collect()}
+    assert got == {(q, i) for q in set(needles) if q is not None for i, t in enumerate(texts) if t is not None and q in t}
 
 
 def test_spread_only_splits_under_partitioned_inputs(spark):

@@ -2,28 +2,40 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import strip
 
 
-MAX_PROBES = 10_000
+GRAM = 3
 
 
 def _pos(df: DataFrame) -> str:
     return "src_pos" if "src_pos" in df.columns else "id"
 
 
-def bounded_probes(names: DataFrame, query_col: str, max_rows: int = MAX_PROBES) -> DataFrame:
-    """User-supplied probe texts, checked to be small enough to broadcast
-    (substring containment has no equi-join form, so every product row is
-    tested against every probe)."""
-    q = names.select(F.col(query_col).alias("q")).distinct()
-    n = q.count()
-    if n > max_rows:
-        raise ValueError(f"{n} probe texts exceed the broadcast bound of {max_rows}")
-    return F.broadcast(q)
+def _grams(text: str, n: Column) -> Column:
+    """Distinct substrings of length ``n`` of a column (one empty string for n = 0)."""
+    size = F.length(text)
+    return F.when(n == 0, F.array(F.lit(""))).when(size < n, F.array().cast("array<string>")).otherwise(
+        F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(size - n + 1, F.lit(1))), lambda i: F.substring(text, i, n))))
+
+
+def containing(needles: DataFrame, needle: str, texts: DataFrame, text: str) -> DataFrame:
+    """Rows of ``needles`` joined to the rows of ``texts`` whose ``text`` contains ``needle``.
+
+    An equi-join on one substring (of up to ``GRAM`` characters) per needle
+    finds the candidates, so neither side has to be small; the containment
+    itself is checked on them.  Both sides are joined on distinct values.
+    """
+    n = F.least(F.length(needle), F.lit(GRAM))
+    wanted = (needles.select(needle).distinct().withColumn("_n", n)
+              .withColumn("_gram", F.element_at(F.array_sort(_grams(needle, F.col("_n"))), -1)))
+    sizes = F.explode(F.array(*[F.lit(i) for i in range(GRAM + 1)]))
+    found = (texts.select(text).distinct().select(text, sizes.alias("_n")).withColumn("_gram", F.explode(_grams(text, F.col("_n"))))
+             .join(wanted, ["_n", "_gram"]).where(F.contains(F.col(text), F.col(needle))).select(needle, text))
+    return needles.join(found, needle).join(texts, text)
 
 
 def products_by_id(catalog: DataFrame, ids: DataFrame) -> DataFrame:
@@ -57,34 +69,28 @@ def name_match(catalog: DataFrame, names: DataFrame, query_col: str = "query") -
     """For each query text: the first product (by position) whose lower-cased
     name contains the lower-cased, stripped text (P16; literal, never regex).
 
-    The probe list is user input with a checked size bound; it is broadcast
-    and every product row is tested against it in one pass."""
+    A query without a match gives no row (``unmatched`` lists them)."""
     pos = _pos(catalog)
-    q = bounded_probes(names, query_col).withColumn("needle", F.lower(strip(F.col("q"))))
+    q = names.select(F.col(query_col).alias("q")).distinct().withColumn("needle", F.lower(strip(F.col("q"))))
     c = catalog.select("id", F.col(pos).alias("_pos"), F.lower(F.col("productDisplayName")).alias("lname"),
                        F.col("productDisplayName").alias("pname"))
-    m = q.join(c, F.contains(F.col("lname"), F.col("needle")))
+    m = containing(q, "needle", c, "lname")
     return m.groupBy("q").agg(F.min_by(F.struct("id", "pname"), F.col("_pos")).alias("m")).select(
         F.col("q").alias(query_col), F.col("m.id").alias("id"), F.col("m.pname").alias("productDisplayName"))
 
 
-def display_lookup(catalog: DataFrame, name: str) -> DataFrame:
-    """Display row for a chosen name (P17): exact match first, else the first
-    containing match (literal)."""
-    pos = _pos(catalog)
-    pn = F.col("productDisplayName")
-    pri = F.when(pn == F.lit(name), 0).when(F.contains(pn, F.lit(name)), 1)
-    m = catalog.where(pri.isNotNull()).withColumn("_pri", pri)
-    return m.orderBy("_pri", pos).limit(1).drop("_pri")
+def unmatched(names: DataFrame, matches: DataFrame, query_col: str = "query") -> DataFrame:
+    """Queries that matched no product: the batch form of a "not found" error."""
+    return names.select(query_col).distinct().join(matches.select(query_col), query_col, "left_anti")
 
 
 def display_lookup_batch(catalog: DataFrame, names: DataFrame, query_col: str = "query") -> DataFrame:
-    """Batch form of :func:`display_lookup`: per query, the exact name match
+    """Display row for chosen names (P17): per query, the exact name match
     first, else the first containing match (by position)."""
     pos = _pos(catalog)
-    q = bounded_probes(names, query_col)
+    q = names.select(F.col(query_col).alias("q")).distinct()
     c = catalog.select("id", F.col(pos).alias("_pos"), F.col("productDisplayName").alias("pname"))
-    m = q.join(c, F.contains(F.col("pname"), F.col("q")))
+    m = containing(q, "q", c, "pname")
     pri = F.when(F.col("pname") == F.col("q"), 0).otherwise(1)
     return m.groupBy("q").agg(F.min_by(F.struct("id", "pname"), F.struct(pri, F.col("_pos"))).alias("m")).select(
         F.col("q").alias(query_col), F.col("m.id").alias("id"), F.col("m.pname").alias("productDisplayName"))

@@ -137,8 +137,8 @@ def sample_key(seed: int, id_col: str = "id") -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(id_col).cast("string")))
 
 
-def cap_rows(df: DataFrame, n: int | None = config.MAX_PRODUCTS, seed: int = config.SAMPLE_SEED) -> DataFrame:
-    """Deterministic uniform sample of exactly min(n, N) rows (P8): hash order,
+def cap_rows(df: DataFrame, n: int | None = None, seed: int = config.SAMPLE_SEED) -> DataFrame:
+    """Deterministic uniform sample of exactly min(n, N) rows (P8; ``None``: all rows): hash order,
     executed as a bounded top-n (TakeOrderedAndProject), not a sort of all rows."""
     if n is None:
         return df
@@ -160,14 +160,15 @@ def dq_counters(raw: DataFrame, images: DataFrame | None = None) -> DataFrame:
     idv = numeric_id(F.col("id"))
     valid = nn & idv.isNotNull()
     ann = df.select(nn.alias("nn"), valid.alias("valid"), F.when(valid, idv).alias("vid"))
+    # One shuffle on the id (partial aggregation, so all invalid rows are one
+    # row a task), the image join on the aggregated rows, then plain sums: no
+    # distinct aggregates, so no Expand that multiplies the rows.
+    per_id = ann.groupBy("vid").agg(F.count(F.lit(1)).alias("rows"), F.count_if("nn").alias("nn"), F.count_if("valid").alias("ok"))
     if images is not None:
-        ann = ann.join(images.select(F.col("id").alias("vid"), F.lit(True).alias("img")), "vid", "left")
+        per_id = per_id.join(images.select(F.col("id").alias("vid"), F.lit(True).alias("img")), "vid", "left")
+        per_id = per_id.withColumn("img", F.coalesce("img", F.lit(False)))
     else:
-        ann = ann.withColumn("img", F.lit(True))
-    # One shuffle on the id (partial aggregation), then plain sums: no
-    # distinct aggregates, so no Expand that multiplies the rows.
-    per_id = ann.groupBy("vid").agg(F.count(F.lit(1)).alias("rows"), F.count_if("nn").alias("nn"),
-                                    F.count_if("valid").alias("ok"), F.max(F.coalesce("img", F.lit(False))).alias("img"))
+        per_id = per_id.withColumn("img", F.lit(True))
     a = per_id.agg(F.sum("rows").alias("raw"), F.sum("nn").alias("non_null"), F.sum("ok").alias("id_ok"),
                    F.count_if(F.col("vid").isNotNull()).alias("unique_ids"),
                    F.count_if(F.col("vid").isNotNull() & F.col("img")).alias("with_image"))
@@ -178,7 +179,7 @@ def dq_counters(raw: DataFrame, images: DataFrame | None = None) -> DataFrame:
              (F.col("rows_in") - F.col("rows_out")).cast("bigint").alias("dropped"))
 
 
-def load_catalog(raw: DataFrame, inventory: DataFrame, cap: int | None = config.MAX_PRODUCTS,
+def load_catalog(raw: DataFrame, inventory: DataFrame, cap: int | None = None,
                  image_dir: str = "images") -> DataFrame:
-    """Clean -> keep products with an image -> cap."""
+    """Clean -> keep products with an image -> optional cap."""
     return cap_rows(keep_with_image(clean(raw), resolve_images(inventory, image_dir=image_dir)), cap)

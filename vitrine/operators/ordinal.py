@@ -1,10 +1,11 @@
 """Dense 0-based numbering of rows in a global order without a
 single-partition window.
 
-Rows are range-partitioned on the order key; each range partition is
-numbered locally; the per-partition counts (one row per partition) are
-prefix-summed and added as offsets.  Only the count table (bounded by the
-number of partitions) is broadcast.
+Rows are put into range buckets between literal cut values (approximate
+quantiles, found once), numbered inside their bucket, and offset by the
+counts of the buckets before.  The cuts are literals, so the counts and
+the rows agree on the buckets however often either is computed.  Only the
+offsets (one row a bucket) are broadcast.
 """
 
 from __future__ import annotations
@@ -12,29 +13,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranges import quantile_cuts, range_bucket
 
-SMALL_ROWS = 1_000_000
 
+def ordinal(df: DataFrame, order_col: str, out_col: str = "ordinal", partitions: int | None = None) -> DataFrame:
+    """Add ``out_col`` = 0-based position of each row in ``order_col`` order.
 
-def ordinal(df: DataFrame, order_col: str, out_col: str = "ordinal", partitions: int | None = None,
-            small_rows: int | None = SMALL_ROWS) -> DataFrame:
-    """Add ``out_col`` = 0-based position of each row in ``order_col`` order
-    (``order_col`` must be unique for a deterministic numbering).
-
-    Size-checked: when the frame has at most ``small_rows`` rows (counted
-    first), one ordered window suffices; beyond that the range-partition +
-    offsets form is used, so no single task ever numbers an unbounded set.
+    ``order_col`` is numeric; it must be unique for a deterministic
+    numbering.  Null keys come first.
     """
-    if small_rows is not None and df.count() <= small_rows:
-        w = Window.orderBy(order_col)
-        return df.withColumn(out_col, (F.row_number().over(w) - 1).cast("bigint"))
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
-    r = df.repartitionByRange(n, F.col(order_col)).withColumn("_pid", F.spark_partition_id())
-    counts = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    w_all = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # over <= n rows
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w_all), F.lit(0)).alias("_off"))
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy(order_col))
-    return (r.withColumn("_rn", local).join(F.broadcast(offsets), "_pid")
-             .withColumn(out_col, (F.col("_off") + F.col("_rn") - 1).cast("bigint"))
-             .drop("_pid", "_rn", "_off"))
+    n = partitions or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    bucket = F.when(F.col(order_col).isNull(), -1).otherwise(range_bucket(F.col(order_col), quantile_cuts(df, order_col, n)))
+    rows = df.withColumn("_bucket", bucket)
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)  # over at most n + 1 rows
+    counts = rows.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = F.row_number().over(Window.partitionBy("_bucket").orderBy(order_col))
+    return (rows.withColumn("_rn", inside).join(F.broadcast(offsets), "_bucket")
+                .withColumn(out_col, (F.col("_off") + F.col("_rn") - 1).cast("bigint"))
+                .drop("_bucket", "_rn", "_off"))

@@ -3,33 +3,42 @@ All are single aggregates (partial + final, map-side combined)."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config
+from ..functions.text import strip
+from .clean import null_tokens_to_null, numeric_id, strip_column_names
 
 
-def scalars(raw: DataFrame, clean: DataFrame, final: DataFrame | None = None, approx: bool = False) -> DataFrame:
+def scalars(raw: DataFrame, images: DataFrame) -> DataFrame:
     """One row (A1, A2): raw / clean / final counts, removed counts split by
-    cause, and the reference's combined figure, plus distinct counts."""
-    final = final if final is not None else clean
-    cd = F.approx_count_distinct if approx else F.count_distinct
-    nul = F.lit(None).cast("string")
-
-    def part(df, r, c, f, cols):
-        return df.select(F.lit(r).alias("r"), F.lit(c).alias("c"), F.lit(f).alias("f"),
-                         *[(F.col(x) if cols else nul).alias(a) for x, a in
-                           (("masterCategory", "mc"), ("articleType", "at"), ("season", "se"))])
-    # One aggregate over the three inputs stacked (no join of one-row frames).
-    u = part(raw, 1, 0, 0, False).unionByName(part(clean, 0, 1, 0, False)).unionByName(part(final, 0, 0, 1, True))
-    j = u.agg(F.sum("r").alias("raw_rows"), F.sum("c").alias("clean_rows"), F.sum("f").alias("total_products"),
-              cd("mc").alias("master_categories"), cd("at").alias("article_types"), cd("se").alias("seasons"))
-    return j.select(
-        F.col("total_products").cast("bigint"), F.col("raw_rows").cast("bigint"), F.col("clean_rows").cast("bigint"),
-        (F.col("raw_rows") - F.col("clean_rows")).cast("bigint").alias("removed_by_clean"),
-        (F.col("clean_rows") - F.col("total_products")).cast("bigint").alias("removed_after_clean"),
-        (F.col("raw_rows") - F.col("total_products")).cast("bigint").alias("missing_before"),
-        F.col("master_categories").cast("bigint"), F.col("article_types").cast("bigint"), F.col("seasons").cast("bigint"))
+    cause, and the combined figure, plus distinct counts.
+
+    One pass: raw rows are aggregated per product id (the first row of an id
+    counts), joined to the images, and counted per (category, type, season),
+    which is small; distinct counts are taken over that.
+    """
+    df = null_tokens_to_null(strip_column_names(raw))
+    valid = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in config.REQUIRED_COLUMNS if c in df.columns]) & numeric_id(F.col("id")).isNotNull()
+    kept = F.struct(*[strip(c).alias(c) for c in ("masterCategory", "articleType", "season")])
+    rows = df.select(F.when(valid, numeric_id(F.col("id"))).alias("id"), F.col("src_pos" if "src_pos" in df.columns else "id").alias("pos"), kept.alias("kept"))
+    per_id = rows.groupBy("id").agg(F.count(F.lit(1)).alias("rows"), F.min_by("kept", "pos").alias("kept"))
+    per_id = per_id.join(images.select("id", F.lit(True).alias("img")), "id", "left")
+    img = F.coalesce("img", F.lit(False))
+    groups = per_id.groupBy(*[F.when(img, F.col(f"kept.{c}")).alias(c) for c in ("masterCategory", "articleType", "season")]).agg(
+        F.sum("rows").alias("rows"), F.count("id").alias("clean"), F.count_if(img).alias("final"))
+    one = groups.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("raw_rows"), F.coalesce(F.sum("clean"), F.lit(0)).alias("clean_rows"),
+                     F.coalesce(F.sum("final"), F.lit(0)).alias("total_products"),
+                     *[F.size(F.collect_set(c)).alias(n) for c, n in  # values of a category vocabulary
+                       (("masterCategory", "master_categories"), ("articleType", "article_types"), ("season", "seasons"))])
+    n = {c: F.col(c).cast("bigint") for c in ("total_products", "raw_rows", "clean_rows", "master_categories", "article_types", "seasons")}
+    return one.select(n["total_products"].alias("total_products"), n["raw_rows"].alias("raw_rows"), n["clean_rows"].alias("clean_rows"),
+                      (n["raw_rows"] - n["clean_rows"]).alias("removed_by_clean"), (n["clean_rows"] - n["total_products"]).alias("removed_after_clean"),
+                      (n["raw_rows"] - n["total_products"]).alias("missing_before"),
+                      *[n[c].alias(c) for c in ("master_categories", "article_types", "seasons")])
 
 
 def frequency(df: DataFrame, col: str, top: int | None = None) -> DataFrame:

@@ -25,21 +25,35 @@ def label_colours(df: DataFrame, label_col: str) -> DataFrame:
         "colour", F.element_at(pal, (F.col("palette_index") + 1).cast("int")))
 
 
-def subsample(df: DataFrame, n: int = config.PROJECTION_SAMPLE_SIZE, seed: int = config.SAMPLE_SEED) -> DataFrame:
-    """Seeded sample of at most n rows (O4; the reference's draw is unseeded)."""
-    return df.orderBy(sample_key(seed), F.col("id")).limit(n)
+def subsample(df: DataFrame, n: int | None = None, seed: int = config.SAMPLE_SEED) -> DataFrame:
+    """Seeded sample of at most n rows for display (O4; ``None``: all rows)."""
+    return df if n is None else df.orderBy(sample_key(seed), F.col("id")).limit(n)
 
 
-def project_embeddings(catalog: DataFrame, n: int = config.PROJECTION_SAMPLE_SIZE, label_col: str = "articleType",
-                       vec_col: str = "embedding", k: int = 2) -> DataFrame:
-    """C4: sample -> centre -> PCA -> (id, x, y, label, colour)."""
+def principal_components(vectors: DataFrame, k: int = config.PCA_COMPONENTS, vec_col: str = "embedding"):
+    """PCA of mean-centred vectors, fitted on all rows (O5): ``(model, centred rows)``."""
     from pyspark.ml.feature import PCA, StandardScaler
-    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.functions import array_to_vector
 
-    s = subsample(catalog.where(F.col(vec_col).isNotNull()), n)
-    s = s.select("id", F.col(label_col).alias("label"), array_to_vector(F.col(vec_col).cast("array<double>")).alias("v"))
-    centred = StandardScaler(inputCol="v", outputCol="c", withMean=True, withStd=False).fit(s).transform(s)
-    pcs = PCA(k=k, inputCol="c", outputCol="p").fit(centred).transform(centred)
+    v = vectors.withColumn("v", array_to_vector(F.col(vec_col).cast("array<double>")))
+    centred = StandardScaler(inputCol="v", outputCol="c", withMean=True, withStd=False).fit(v).transform(v)
+    return PCA(k=k, inputCol="c", outputCol="p").fit(centred), centred
+
+
+def explained_variance(vectors: DataFrame, k: int = config.PCA_COMPONENTS, vec_col: str = "embedding") -> DataFrame:
+    """Share of the variance of the first ``k`` components: ``(component, share)``, k rows."""
+    model, _ = principal_components(vectors.where(F.col(vec_col).isNotNull()).select(vec_col), k, vec_col)
+    rows = [(i, float(x)) for i, x in enumerate(model.explainedVariance.toArray())]
+    return vectors.sparkSession.createDataFrame(rows, "component BIGINT, share DOUBLE")
+
+
+def project_embeddings(catalog: DataFrame, n: int | None = None, label_col: str = "articleType",
+                       vec_col: str = "embedding") -> DataFrame:
+    """C4: centre -> PCA over all vectors -> (id, x, y, label, colour), of all rows or a display sample of ``n``."""
+    from pyspark.ml.functions import vector_to_array
+
+    known = catalog.where(F.col(vec_col).isNotNull()).select("id", F.col(label_col).alias("label"), vec_col)
+    model, centred = principal_components(known, 2, vec_col)
     arr = vector_to_array(F.col("p"))
-    out = pcs.select("id", "label", arr[0].alias("x"), arr[1].alias("y"))
+    out = subsample(model.transform(centred).select("id", "label", arr[0].alias("x"), arr[1].alias("y")), n)
     return out.join(label_colours(out, "label").select("label", "colour"), "label", "left")

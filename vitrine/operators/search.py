@@ -49,14 +49,14 @@ def filter_predicate(filters: Mapping[str, str] | None) -> Column | None:
 
 
 def text_search(queries: DataFrame, index: DataFrame, catalog: DataFrame, top_k: int = config.TOP_K_SEARCH_RESULTS,
-                filters: Mapping[str, str] | None = None, mode: str = "post", qid_col: str = "qid",
+                filters: Mapping[str, str] | None = None, mode: str = "pre", qid_col: str = "qid",
                 query_col: str = "query") -> DataFrame:
     """Top-k products per text query.
 
-    ``mode="post"`` reproduces the reference: retrieve top_k + 10 by raw
-    similarity, then filter, then keep the first top_k (may return fewer
-    than top_k even when more matches exist).  ``mode="pre"`` filters the
-    index first (full recall).
+    ``mode="pre"`` (default) filters the index first, so every match counts.
+    ``mode="post"`` keeps the older behaviour: retrieve top_k + 10 by raw
+    similarity, then filter, then keep the first top_k (it may return fewer
+    than top_k although more matches exist).
     """
     if mode not in ("post", "pre"):
         raise ValueError("mode must be 'post' or 'pre'")

@@ -25,7 +25,7 @@ from ..operators.project import project_embeddings
 from ..sources import catalog_io as io
 
 
-def load_catalog(spark: SparkSession, csv_path: str, image_dir: str, cap: int | None = config.MAX_PRODUCTS) -> DataFrame:
+def load_catalog(spark: SparkSession, csv_path: str, image_dir: str, cap: int | None = None) -> DataFrame:
     """CSV -> clean -> keep products with an image -> optional cap."""
     raw = io.read_catalog_csv(spark, csv_path)
     return cl.load_catalog(raw, io.image_inventory(spark, image_dir), cap)
@@ -46,10 +46,10 @@ def refresh_vectors(catalog: DataFrame, cache: DataFrame, text_col: str = "produ
     return todo.select("id", hashed_text_vector(F.col(text_col)).alias("embedding"))
 
 
-def profile_catalog(raw: DataFrame, clean: DataFrame, final: DataFrame) -> dict[str, DataFrame]:
+def profile_catalog(raw: DataFrame, images: DataFrame, final: DataFrame) -> dict[str, DataFrame]:
     """Home statistics."""
     return {
-        "scalars": prof.scalars(raw, clean, final),
+        "scalars": prof.scalars(raw, images),
         "master_category": prof.master_category_counts(final),
         "article_type": prof.article_type_counts(final),
         "usage": prof.usage_counts(final),
@@ -82,7 +82,7 @@ def deduplicate(catalog: DataFrame, threshold: float = config.DUPLICATE_SIMILARI
 
 
 def search(queries: DataFrame, catalog: DataFrame, top_k: int = config.TOP_K_SEARCH_RESULTS,
-           filters: Mapping[str, str] | None = None, mode: str = "post") -> dict[str, DataFrame]:
+           filters: Mapping[str, str] | None = None, mode: str = "pre") -> dict[str, DataFrame]:
     """Text search for a table of queries + per-query metrics."""
     idx = srch.text_index(catalog)
     res = srch.text_search(queries, idx, catalog, top_k, filters, mode)

@@ -159,10 +159,10 @@ SELECT CAST(qid AS BIGINT) AS qid, query, CAST(rank AS BIGINT) AS rank, product_
 
 
 PLANTED = f"""pv0 AS (SELECT vec_id AS base_id, embedding::DOUBLE[] AS e FROM embeddings),
-  pv AS (SELECT base_id AS id, base_id, 0 AS copy_no, e FROM pv0
-         UNION ALL SELECT base_id + 1000000, base_id, 1, list_transform(e, lambda x, i: CASE WHEN i = 1 THEN x + 0.1 ELSE x END) FROM pv0 WHERE base_id % 10 = 0
-         UNION ALL SELECT base_id + 2000000, base_id, 2, list_transform(e, lambda x, i: CASE WHEN i = 2 THEN x + 0.3 ELSE x END) FROM pv0 WHERE base_id % 20 = 0
-         UNION ALL SELECT base_id + 3000000, base_id, 3, list_transform(e, lambda x: 0.0::DOUBLE) FROM pv0 WHERE base_id % 100 = 0),
+  pv AS (SELECT base_id * 4 AS id, base_id, 0 AS copy_no, e FROM pv0
+         UNION ALL SELECT base_id * 4 + 1, base_id, 1, list_transform(e, lambda x, i: CASE WHEN i = 1 THEN x + 0.1 ELSE x END) FROM pv0 WHERE base_id % 10 = 0
+         UNION ALL SELECT base_id * 4 + 2, base_id, 2, list_transform(e, lambda x, i: CASE WHEN i = 2 THEN x + 0.3 ELSE x END) FROM pv0 WHERE base_id % 20 = 0
+         UNION ALL SELECT base_id * 4 + 3, base_id, 3, list_transform(e, lambda x: 0.0::DOUBLE) FROM pv0 WHERE base_id % 100 = 0),
   planted AS (SELECT id, base_id, copy_no, {norm_list('e')} AS embedding FROM pv),
   pcat AS (SELECT p.id, c.productDisplayName, c.articleType, c.masterCategory,
                   CASE p.copy_no WHEN 1 THEN c.image_bytes - 1 WHEN 2 THEN c.image_bytes + 1 ELSE c.image_bytes END AS image_bytes,
@@ -199,7 +199,7 @@ def clusters_sql(cat: str) -> str:
 
 
 RAW = f"""raw AS (
-  SELECT id AS src_pos,
+  SELECT id * 2 AS src_pos,
          CASE WHEN id % 17 = 0 THEN concat('x', CAST(id AS VARCHAR)) WHEN id % 19 = 0 THEN concat(CAST(id AS VARCHAR), '.7')
               ELSE CAST(id AS VARCHAR) END AS id,
          CASE WHEN id % 13 = 0 THEN NULL ELSE concat(' ', articleType, ' ') END AS articleType,
@@ -209,7 +209,7 @@ RAW = f"""raw AS (
          CASE WHEN id % 11 = 0 THEN NULL ELSE brand END AS brand
   FROM catalog
   UNION ALL
-  SELECT id + 1000000, CAST(id AS VARCHAR), articleType, masterCategory, subCategory, 'DUP', season,
+  SELECT id * 2 + 1, CAST(id AS VARCHAR), articleType, masterCategory, subCategory, 'DUP', season,
          CAST(year AS VARCHAR), usage, productDisplayName, brand FROM catalog WHERE id % 10 = 0)"""
 
 STR_COLS = ("id", "articleType", "masterCategory", "subCategory", "baseColour", "season", "year", "usage",
@@ -251,7 +251,7 @@ IMAGES = f"""inv AS (
 WITHIMG = f"""{CLEAN},
   {IMAGES},
   wi AS (SELECT clean.*, imgs.image_path, imgs.image_bytes FROM clean JOIN imgs ON imgs.id = clean.id),
-  final AS (SELECT * FROM wi ORDER BY md5(concat('{config.SAMPLE_SEED}:', CAST(id AS VARCHAR))), id LIMIT {config.MAX_PRODUCTS})"""
+  final AS (SELECT * FROM wi)"""
 
 
 def freq(col: str, top: int | None) -> str:
@@ -479,8 +479,25 @@ ORACLE["display_lookup"] = f"""WITH {CATALOG},
         FROM probes p JOIN catalog c ON contains(c.productDisplayName, p.query))
 SELECT query, id, productDisplayName FROM m WHERE rn = 1"""
 
-ORACLE["rejected_queries"] = f"""SELECT CAST(qid AS BIGINT) AS qid, query FROM {_values(FIXTURE_QUERIES, ['qid', 'query', 'relevant'])}
-WHERE {trim('query')} = ''"""
+ORACLE["rejected_queries"] = f"""WITH {CATALOG}, {RAW}
+SELECT src_pos AS qid, productDisplayName AS query FROM raw WHERE coalesce({trim('productDisplayName')}, '') = ''"""
+
+ORACLE["category_filter"] = f"""WITH {CATALOG}
+SELECT 'All' AS choice, id FROM catalog UNION ALL SELECT 'Apparel', id FROM catalog WHERE masterCategory = 'Apparel'"""
+
+ORACLE["name_unmatched"] = f"""WITH {CATALOG},
+  probes AS (SELECT DISTINCT event_type AS query FROM events UNION SELECT query FROM {_values(NAME_PROBES, ['pid', 'query'])})
+SELECT query FROM probes WHERE NOT EXISTS (SELECT 1 FROM catalog WHERE contains(lower(productDisplayName), lower({trim('probes.query')})))"""
+
+ORACLE["unknown_products"] = """SELECT DISTINCT l_partkey AS id FROM lineitem WHERE l_partkey NOT IN (SELECT vec_id FROM embeddings)"""
+
+ORACLE["ordinal"] = """SELECT line, part, row_number() OVER (ORDER BY line) - 1 AS ordinal
+FROM (SELECT l_orderkey * 1000 + l_linenumber AS line, min(l_partkey) AS part FROM lineitem GROUP BY 1)"""
+
+ORACLE["stream_history"] = """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+       strftime(date_trunc('day', ts) + INTERVAL 1 DAY, '%Y-%m-%d %H:%M:%S') AS window_end, event_type AS query,
+       count(*) AS total_queries, round(avg(value), 2) AS avg_latency_ms, round(max(value), 2) AS max_latency_ms
+FROM events GROUP BY ALL"""
 
 ORACLE["mean_precision"] = f"""WITH {CATALOG}, {NAMEQ},
   hits AS (SELECT res.query, count(*) AS hits FROM res JOIN qv ON qv.query = res.query

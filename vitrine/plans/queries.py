@@ -23,6 +23,7 @@ from ..operators import recommend as rec
 from ..operators import rules as rl
 from ..operators import search as srch
 from ..operators.components import connected_components
+from ..operators.ordinal import ordinal
 from ..sources import testdata as td
 
 R6 = 6
@@ -360,11 +361,11 @@ def q_label_colour(spark, sf):
 
 # ---------------------------------------------------------------- profile
 def _final(spark, sf):
-    return cl.cap_rows(_with_images(spark, sf), config.MAX_PRODUCTS)
+    return _with_images(spark, sf)
 
 
 def q_profile_scalars(spark, sf):
-    return prof.scalars(td.raw_catalog(spark, sf), _clean(spark, sf), _final(spark, sf))
+    return prof.scalars(td.raw_catalog(spark, sf), _images(spark, sf))
 
 
 def q_freq_master_category(spark, sf):
@@ -447,8 +448,41 @@ def q_display_lookup(spark, sf):
 
 
 def q_rejected_queries(spark, sf):
-    _, rej = srch.split_queries(td.fixture_queries(spark))
-    return rej.select("qid", "query")
+    """Blank names among the raw catalog rows, taken as search queries."""
+    rows = td.raw_catalog(spark, sf).select(F.col("src_pos").alias("qid"), F.col("productDisplayName").alias("query"))
+    return srch.split_queries(rows)[1].select("qid", "query")
+
+
+def q_category_filter(spark, sf):
+    """"All" keeps every row, a category its own rows."""
+    c = _catalog(spark, sf)
+    return cat_ops.filter_categories(c, "All").select(F.lit("All").alias("choice"), "id").unionByName(
+        cat_ops.filter_categories(c, "Apparel").select(F.lit("Apparel").alias("choice"), "id"))
+
+
+def q_name_unmatched(spark, sf):
+    """Probe texts that no product name contains: first words of the event types and the name probes."""
+    probes = td.table(spark, sf, "events").select(F.col("event_type").alias("query")).distinct().unionByName(
+        spark.createDataFrame([(q,) for _, q in NAME_PROBES], "query STRING"))
+    return cat_ops.unmatched(probes, cat_ops.name_match(_catalog(spark, sf), probes))
+
+
+def q_unknown_products(spark, sf):
+    """Ordered parts without a vector: the ids that a neighbour lookup cannot answer."""
+    ids = td.table(spark, sf, "lineitem").select(F.col("l_partkey").alias("id"))
+    return knn.unknown_ids(td.vectors(spark, sf), ids)
+
+
+def q_ordinal(spark, sf):
+    """Dense numbering of every order line in the order of (order, line)."""
+    lines = td.table(spark, sf, "lineitem").select((F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("line"), "l_partkey")
+    return ordinal(lines.groupBy("line").agg(F.min("l_partkey").alias("part")), "line")
+
+
+def q_pca_variance(spark, sf):
+    """Share of variance of the first 50 principal components of all vectors."""
+    from ..operators.project import explained_variance
+    return explained_variance(td.vectors(spark, sf))
 
 
 def q_mean_precision(spark, sf):
@@ -492,9 +526,10 @@ def q_stream_history(spark, sf):
     from ..streaming import query_log as ql
     log = ql.read_log(spark, f"{sf.rstrip('/')}/events*.parquet")
     ck = ql.checkpoint_location(spark, "history")
-    ql.run_available(ql.windowed_summary(log, "1 day", "1 hour"), ck + "-sink", ck)
-    out = spark.read.parquet(ck + "-sink")
-    return out.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "query",
+    ql.run_upserts(ql.windowed_summary(log, "1 day", "1 hour"), ck + "-sink", ck)
+    out = ql.latest(spark, ck + "-sink", ["window", "query"])
+    text = "yyyy-MM-dd HH:mm:ss"
+    return out.select(F.date_format("window.start", text).alias("window_start"), F.date_format("window.end", text).alias("window_end"), "query",
                       "total_queries", F.round("avg_latency_ms", 2).alias("avg_latency_ms"),
                       F.round("max_latency_ms", 2).alias("max_latency_ms"))
 

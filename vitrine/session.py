@@ -44,8 +44,8 @@ def build_session(cpus: int | str = "*", app: str = "vitrine", shuffle_partition
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets it to shared storage; we only fall back to a private
-    temporary folder when it is unset (local tests).
+    A cluster sets it to shared storage (without it this raises); only a
+    local master falls back to a private temporary folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -53,6 +53,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):  # local[..] only; local-cluster and clusters need a shared folder
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="vitrine-ckpt-", dir=os.environ.get("VITRINE_LOCAL_TMP", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -90,7 +90,7 @@ def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = catalog(spark, sf_dir, with_embedding=False)
     ids = F.col("id").cast("string")
     dirty = c.select(
-        F.col("id").alias("src_pos"),
+        (F.col("id") * 2).alias("src_pos"),
         F.when(F.col("id") % 17 == 0, F.concat(F.lit("x"), ids))
          .when(F.col("id") % 19 == 0, F.concat(ids, F.lit(".7"))).otherwise(ids).alias("id"),
         F.when(F.col("id") % 13 == 0, F.lit(None).cast("string"))
@@ -102,7 +102,7 @@ def raw_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") % 11 == 0, F.lit(None).cast("string")).otherwise(F.col("brand")).alias("brand"),
     )
     dups = c.where(F.col("id") % 10 == 0).select(
-        (F.col("id") + 1000000).alias("src_pos"), ids.alias("id"), "articleType", "masterCategory",
+        (F.col("id") * 2 + 1).alias("src_pos"), ids.alias("id"), "articleType", "masterCategory",
         "subCategory", F.lit("DUP").alias("baseColour"), "season", F.col("year").cast("string").alias("year"),
         "usage", "productDisplayName", "brand")
     return dirty.unionByName(dups)
@@ -132,10 +132,10 @@ def planted_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = F.col("base_id")
     z = F.transform(F.col("e"), lambda x: F.lit(0.0).cast("double"))
     parts = [
-        v.select((b).alias("id"), b, F.lit(0).alias("copy_no"), F.col("e")),
-        v.where(b % 10 == 0).select((b + 1000000).alias("id"), b, F.lit(1).alias("copy_no"), _edit(F.col("e"), 0, 0.1).alias("e")),
-        v.where(b % 20 == 0).select((b + 2000000).alias("id"), b, F.lit(2).alias("copy_no"), _edit(F.col("e"), 1, 0.3).alias("e")),
-        v.where(b % 100 == 0).select((b + 3000000).alias("id"), b, F.lit(3).alias("copy_no"), z.alias("e")),
+        v.select((b * 4).alias("id"), b, F.lit(0).alias("copy_no"), F.col("e")),
+        v.where(b % 10 == 0).select((b * 4 + 1).alias("id"), b, F.lit(1).alias("copy_no"), _edit(F.col("e"), 0, 0.1).alias("e")),
+        v.where(b % 20 == 0).select((b * 4 + 2).alias("id"), b, F.lit(2).alias("copy_no"), _edit(F.col("e"), 1, 0.3).alias("e")),
+        v.where(b % 100 == 0).select((b * 4 + 3).alias("id"), b, F.lit(3).alias("copy_no"), z.alias("e")),
     ]
     u = reduce(DataFrame.unionByName, parts)
     return u.select("id", "base_id", "copy_no", l2_normalize(F.col("e")).alias("embedding"))

@@ -45,6 +45,27 @@ def checkpoint_location(spark: SparkSession, name: str) -> str:
     return ensure_checkpoint_dir(spark).rstrip("/") + f"/streams/{name}-{uuid.uuid4().hex[:8]}"
 
 
+def run_upserts(df: DataFrame, sink_path: str, checkpoint: str) -> StreamingQuery:
+    """Process everything available now in update mode: every micro-batch
+    writes its changed rows to ``sink_path/epoch=<batch id>``, replacing its
+    own output when it is retried.  ``latest`` reads the newest row per key,
+    so windows that are still open are there too."""
+    def batch(changed: DataFrame, epoch_id: int) -> None:
+        changed.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/epoch={epoch_id}")
+    q = (df.writeStream.foreachBatch(batch).outputMode("update").option("checkpointLocation", checkpoint)
+           .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return q
+
+
+def latest(spark: SparkSession, sink_path: str, keys: list[str]) -> DataFrame:
+    """Newest row per key of an epoch-partitioned sink."""
+    rows = spark.read.parquet(sink_path)
+    values = [c for c in rows.columns if c not in (*keys, "epoch")]
+    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "epoch").alias("v"))
+    return newest.select(*keys, *[F.col(f"v.{c}").alias(c) for c in values])
+
+
 def run_available(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet",
                   output_mode: str = "append") -> StreamingQuery:
     """Process everything available now, then stop (batch-like run of a stream)."""
