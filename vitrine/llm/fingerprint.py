@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranges import quantile_cuts, range_bucket
 from .common import shuffle_partitions
 
 RUN = 8
@@ -117,16 +118,6 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).when(na + nb == 0, 0.0).otherwise(alike)
 
 
-def _bucket(key: Column, bounds: list[int]) -> Column:
-    """How many of the sorted ``bounds`` are at most ``key``: a binary search over an array literal."""
-    if not bounds:
-        return F.lit(0)
-    steps = [1 << k for k in range(len(bounds).bit_length() - 1, -1, -1)]
-    table = F.lit(bounds)
-    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, step: F.when(
-        (at + step <= len(bounds)) & (F.element_at(table, F.least(at + step, F.lit(len(bounds)))) <= key), at + step).otherwise(at))
-
-
 def with_next(docs: DataFrame, carried: list[str], buckets: int | None = None) -> DataFrame:
     """``doc_id``, ``carried`` and ``next_<c>`` of every carried column: those of the next document by id (then by
     the carried columns), or of the first document after the last.
@@ -138,9 +129,7 @@ def with_next(docs: DataFrame, carried: list[str], buckets: int | None = None) -
     low = -(1 << 63)
     docs = docs.select("doc_id", *carried, F.coalesce("doc_id", F.lit(low)).alias("__key"))
     buckets = buckets or 16 * shuffle_partitions(spark)
-    shares = [i / buckets for i in range(1, buckets)]
-    found = docs.select(F.percentile_approx("__key", shares, 20 * buckets).alias("b")).first()["b"] if shares else []
-    placed = docs.withColumn("__bucket", _bucket(F.col("__key"), sorted(set(found or []))))
+    placed = docs.withColumn("__bucket", range_bucket(F.col("__key"), quantile_cuts(docs, "__key", buckets)))
     heads = [(r["__bucket"], r["head"]) for r in  # one row a bucket
              placed.groupBy("__bucket").agg(F.min("__key").alias("head")).orderBy("__bucket").collect()]
     before = {heads[i][1]: heads[i - 1][0] for i in range(len(heads))}

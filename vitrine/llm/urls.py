@@ -25,6 +25,7 @@ import string
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranges import range_bucket
 from .common import shuffle_partitions
 
 DEFAULT = "allow"
@@ -63,16 +64,6 @@ def _cut_keys(keys: DataFrame, parts: int) -> list[bytes]:
     return sorted({sample[i * len(sample) // parts] for i in range(1, parts)}) if sample else []
 
 
-def _part(key: Column, cuts: list[bytes]) -> Column:
-    """How many of the sorted ``cuts`` are at most ``key`` (binary search over an array literal)."""
-    if not cuts:
-        return F.lit(0)
-    steps = [F.lit(1 << k) for k in range(len(cuts).bit_length() - 1, -1, -1)]
-    table = F.array(*[F.lit(c) for c in cuts])
-    return F.aggregate(F.array(*steps), F.lit(0), lambda at, step: F.when(
-        (at + step <= len(cuts)) & (F.element_at(table, F.least(at + step, F.lit(len(cuts)))) <= key), at + step).otherwise(at))
-
-
 def longest_rules(keys: DataFrame, rules: DataFrame, parts: int) -> DataFrame:
     """``(key, top)`` of all distinct ``keys``: the longest rule key that is a prefix of each, by the sweep."""
     cuts = _cut_keys(keys, parts)
@@ -81,11 +72,11 @@ def longest_rules(keys: DataFrame, rules: DataFrame, parts: int) -> DataFrame:
     starts = rules.select("key", F.lit(0).alias("kind"), F.col("key").alias("top"))
     ends = below.select(F.concat("key", F.lit(_END)).alias("key"), F.lit(1).alias("kind"), F.coalesce("top", F.lit(b"")).alias("top"))
     points = keys.select("key", F.lit(2).alias("kind"), F.lit(None).cast("binary").alias("top"))
-    rows = starts.unionByName(ends).unionByName(points).withColumn("part", _part(F.col("key"), cuts))
+    rows = starts.unionByName(ends).unionByName(points).withColumn("part", range_bucket(F.col("key"), cuts))
     if cuts:
         first = spark.createDataFrame([(bytearray(c),) for c in cuts], "key binary")
         opening = _innermost(first, rules, proper=False).select(
-            "key", F.lit(-1).alias("kind"), F.coalesce("top", F.lit(b"")).alias("top"), _part(F.col("key"), cuts).alias("part"))
+            "key", F.lit(-1).alias("kind"), F.coalesce("top", F.lit(b"")).alias("top"), range_bucket(F.col("key"), cuts).alias("part"))
         rows = rows.unionByName(opening)
     sweep = Window.partitionBy("part").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return (rows.withColumn("top", F.last("top", ignorenulls=True).over(sweep)).where("kind = 2")
