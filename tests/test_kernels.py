@@ -126,11 +126,21 @@ def test_ordinal_is_dense_beyond_a_million_rows(spark):
     assert [x.k for x in some] == sorted(x.k for x in some)
 
 
+def test_identical_vectors_give_one_link_each(spark):
+    from vitrine.operators import dedup as dd
+    v = spark.range(20_000).select("id", F.array(F.lit(0.6), F.lit(0.8)).alias("embedding")).unionByName(
+        spark.createDataFrame([(30_000, [1.0, 0.0]), (30_001, [0.999, 0.0447])], "id BIGINT, embedding ARRAY<DOUBLE>"))
+    links = dd.duplicate_links(v, 0.92).collect()
+    assert len(links) == 20_000
+    from tests.test_kernels import _union_find
+    assert len(set(_union_find([(r.id_a, r.id_b) for r in links]).values())) == 2
+
+
 def test_lsh_pairs_subset_of_exact_with_high_recall(spark, sf):
     from vitrine.operators import dedup as dd
     from vitrine.sources import testdata as td
     vec = td.planted_vectors(spark, sf).select("id", "embedding")
     exact = {(r.id_a, r.id_b) for r in dd.duplicate_pairs(vec, 0.92).collect()}
-    approx = {(r.id_a, r.id_b) for r in dd.lsh_pairs(vec, 0.92, bucket_length=1.0, num_tables=8).collect()}
+    approx = {(r.id_a, r.id_b) for r in dd.lsh_pairs(vec, 0.92, recall=0.98).collect()}
     assert approx <= exact
     assert len(approx) >= 0.95 * len(exact)

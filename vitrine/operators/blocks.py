@@ -163,6 +163,42 @@ def _pair_kernel(threshold: float):
     return run
 
 
+def _forest_kernel(threshold: float):
+    """Like the pair kernel, but a block pair emits a spanning forest of its
+    links (every row to the smallest id it is connected to), never all pairs."""
+    out_schema = pa.schema([("id_a", pa.int64()), ("id_b", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            cols = dict(zip(batch.schema.names, batch.columns))
+            ra, rb = [], []
+            for i in range(batch.num_rows):
+                lid = _np(cols["l_ids"][i]).astype(np.int64)
+                rid = _np(cols["r_ids"][i]).astype(np.int64)
+                if len(lid) == 0 or len(rid) == 0:
+                    continue
+                li, ri = np.nonzero(_mat(lid, _np(cols["l_vecs"][i])) @ _mat(rid, _np(cols["r_vecs"][i])).T >= threshold)
+                ids, at = np.unique(np.concatenate([lid[li], rid[ri]]), return_inverse=True)
+                a, b = at[: len(li)], at[len(li):]
+                root = np.arange(len(ids))
+                while True:
+                    low = root.copy()
+                    np.minimum.at(low, a, root[b])
+                    np.minimum.at(low, b, root[a])
+                    low = low[low]
+                    if (low == root).all():
+                        break
+                    root = low
+                far = np.flatnonzero(root != np.arange(len(ids)))
+                ra.append(ids[root[far]]); rb.append(ids[far])
+            if ra:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ra)), pa.array(np.concatenate(rb))], schema=out_schema)
+    return run
+
+
+FAN_IN = 32     # left blocks that meet on one join key, at most about
+
+
 def _parallel_blocks(spark, min_pairs: int | None) -> int:
     from ..session import default_parallelism
     want = min_pairs if min_pairs is not None else 2 * default_parallelism(spark)
@@ -201,17 +237,25 @@ def topk_join(left: DataFrame, right: DataFrame, k: int, *, left_group: Column |
     rcols = ["r_ids", "r_vecs"] + [f"r_{c}" for c in rcodes]
     if grouped:
         # Pair map: the right groups a left group meets, with their block counts.
+        # and the salts over which a right block's partners are dealt.
         r_nb = rb.select(F.col(_G).alias("rg"), F.col(_NB).alias("r_nb")).distinct()
-        pm = group_pairs.select("lg", "rg").distinct().join(r_nb, "rg")
+        l_nb = lb.select(F.col(_G).alias("lg"), F.col(_NB).alias("l_nb")).distinct()
+        pm = group_pairs.select("lg", "rg").distinct().join(r_nb, "rg").join(l_nb, "lg")
+        deal = pm.groupBy("rg").agg(F.ceil(F.sum("l_nb") / FAN_IN).cast("bigint").alias("_salts"))
+        pm = pm.join(deal, "rg")
         lrows = (lb.join(pm, lb[_G] == pm["lg"])
-                   .select(*lcols, "rg", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("r_nb") - 1)).alias("r_b")))
-        rrows = rb.select(F.col(_G).alias("rg"), F.col(_B).alias("r_b"), *rcols)
-        pairs = lrows.join(rrows, ["rg", "r_b"]).select(*lcols, *rcols)
+                   .select(*lcols, "rg", F.pmod(F.xxhash64("lg", _B), F.col("_salts")).alias("_salt"),
+                           F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("r_nb") - 1)).alias("r_b")))
+        rrows = (rb.select(F.col(_G).alias("rg"), F.col(_B).alias("r_b"), *rcols).join(deal, "rg")
+                   .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_salts") - 1))))
+        pairs = lrows.join(rrows, ["rg", "r_b", "_salt"]).select(*lcols, *rcols)
     else:
         r_nb = _block_count(right.agg(F.count(F.lit(1))).scalar(), block_rows, mb, 64)
-        lrows = lb.select(*lcols, F.explode(F.sequence(F.lit(0).cast("bigint"), r_nb - 1)).alias("r_b"))
-        rrows = rb.select(F.col(_B).alias("r_b"), *rcols)
-        pairs = lrows.join(rrows, "r_b").select(*lcols, *rcols)
+        salts = F.ceil(_block_count(left.agg(F.count(F.lit(1))).scalar(), block_rows, mb, 64) / FAN_IN).cast("bigint")
+        lrows = lb.select(*lcols, F.pmod(F.col(_B), salts).alias("_salt"),
+                          F.explode(F.sequence(F.lit(0).cast("bigint"), r_nb - 1)).alias("r_b"))
+        rrows = rb.select(F.col(_B).alias("r_b"), *rcols, F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("_salt"))
+        pairs = lrows.join(rrows, ["r_b", "_salt"]).select(*lcols, *rcols)
     kb = [(f"l_{lc}", f"r_{rc}", w) for lc, rc, w in bonus]
     xs = f"l_{exclude_self}" if isinstance(exclude_self, str) else exclude_self
     cand = pairs.mapInArrow(_topk_kernel(k, xs, clip_bonus, kb, cap), TOPK_SCHEMA)
@@ -228,8 +272,13 @@ def rank_topk(cand: DataFrame, k: int, key: str = "l_id") -> DataFrame:
 
 
 def threshold_self_join(vecs: DataFrame, threshold: float, id_col: str = "id", vec_col: str = "embedding",
-                        block_rows: int = config.MAX_BLOCK_ROWS, min_pairs: int | None = None) -> DataFrame:
-    """All pairs ``id_a < id_b`` with inner product >= threshold (exact).
+                        block_rows: int = config.MAX_BLOCK_ROWS, min_pairs: int | None = None, forest: bool = False) -> DataFrame:
+    """All pairs ``id_a < id_b`` with inner product >= threshold (exact), or
+    with ``forest`` edges ``(id_a, id_b)`` that connect the same rows, at most
+    one per row of a block pair.
+
+    Block pairs are placed on a grid key (right block, left block mod salts),
+    so a key gathers about ``FAN_IN`` left blocks however many there are.
 
     Blocks meet in the upper triangle ``b1 <= b2``; pairs inside one block
     are kept only for ``id_a < id_b``, so every pair is produced once.
@@ -237,10 +286,13 @@ def threshold_self_join(vecs: DataFrame, threshold: float, id_col: str = "id", v
     spark = vecs.sparkSession
     mb = _parallel_blocks(spark, min_pairs)
     lb = pack_blocks(vecs, None, id_col, vec_col, [], block_rows, mb, prefix="l_")
-    rb = lb.select(F.col(_B), F.col("l_ids").alias("r_ids"), F.col("l_vecs").alias("r_vecs"))
-    lrows = lb.select(F.col(_B).alias("l_b"), "l_ids", "l_vecs",
+    rb = lb.select(F.col(_B), F.col(_NB), F.col("l_ids").alias("r_ids"), F.col("l_vecs").alias("r_vecs"))
+    salts = F.ceil(F.col(_NB) / FAN_IN).cast("bigint")
+    lrows = lb.select(F.col(_B).alias("l_b"), "l_ids", "l_vecs", F.pmod(F.col(_B), salts).alias("_salt"),
                       F.explode(F.sequence(F.col(_B), F.col(_NB) - 1)).alias("r_b"))
-    rrows = rb.select(F.col(_B).alias("r_b"), "r_ids", "r_vecs")
-    pairs = lrows.join(rrows, "r_b").select("l_ids", "l_vecs", "r_ids", "r_vecs",
-                                             (F.col("l_b") == F.col("r_b")).alias("_same"))
+    rrows = rb.select(F.col(_B).alias("r_b"), "r_ids", "r_vecs", F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)).alias("_salt"))
+    pairs = lrows.join(rrows, ["r_b", "_salt"]).select("l_ids", "l_vecs", "r_ids", "r_vecs",
+                                                      (F.col("l_b") == F.col("r_b")).alias("_same"))
+    if forest:
+        return pairs.mapInArrow(_forest_kernel(threshold), "id_a BIGINT, id_b BIGINT")
     return pairs.mapInArrow(_pair_kernel(threshold), PAIR_SCHEMA)

@@ -4,14 +4,16 @@ Alternating large-star / small-star contraction (Kiveris et al.,
 "Connected Components in MapReduce and Beyond", SoCC 2014) on edge
 DataFrames.  Each step is a min-aggregate (map-side combined, so a hub
 node is not a hot group) plus an equi-join; O(log^2 n) rounds.  Lineage
-is cut every round with a reliable ``checkpoint()`` into the session's
-checkpoint folder, so a lost executor only recomputes one round.
+is cut every round by a table in the session's checkpoint folder, so a
+lost executor only recomputes one round.
 The label of a component is its smallest node id.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
@@ -40,38 +42,31 @@ def _small_star(e: DataFrame) -> DataFrame:
     return _canon(out)
 
 
-def _fingerprint(e: DataFrame) -> tuple:
-    r = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return (r["n"], r["h"])
-
-
 def connected_components(edges: DataFrame, src: str = "id_a", dst: str = "id_b", max_rounds: int = 64) -> DataFrame:
     """``(id, component)`` for every node that appears in ``edges``.
 
-    Every round is written with a reliable checkpoint (lineage never spans
-    more than one round; a lost executor recomputes at most that round).
-    The round is persisted first so the checkpoint write reads it from
-    cache instead of computing it a second time.
+    Every round is one job: it writes the edges to the shared checkpoint
+    folder and observes their number and hash sum on the way, so lineage
+    never spans more than one round (a lost executor re-reads the round
+    before) and convergence needs no second pass.  ``max_rounds`` guards
+    against a fault in the loop; O(log^2 n) rounds always suffice.
     """
-    from pyspark import StorageLevel
     spark = edges.sparkSession
-    ensure_checkpoint_dir(spark)
-
-    def cut(df: DataFrame) -> DataFrame:
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out = cached.checkpoint(eager=True)
-        cached.unpersist()
-        return out
-
-    e = cut(_canon(edges.select(F.col(src).cast("bigint").alias("a"), F.col(dst).cast("bigint").alias("b"))))
-    prev = _fingerprint(e)
-    for _ in range(max_rounds):
-        e = cut(_small_star(_large_star(e)))
-        cur = _fingerprint(e)
-        if cur == prev:
+    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/components-{uuid.uuid4().hex}"
+
+    def cut(e: DataFrame, name: int) -> tuple[DataFrame, tuple]:
+        seen = Observation()
+        path = f"{folder}/{name}"
+        e.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).write.parquet(path)
+        return spark.read.schema(e.schema).parquet(path), (seen.get["n"], seen.get["h"])
+
+    e, before = cut(_canon(edges.select(F.col(src).cast("bigint").alias("a"), F.col(dst).cast("bigint").alias("b"))), 0)
+    for i in range(max_rounds):
+        e, now = cut(_small_star(_large_star(e)), i + 1)
+        if now == before:
             break
-        prev = cur
-    else:  # pragma: no cover - only for pathological inputs
+        before = now
+    else:  # pragma: no cover
         raise RuntimeError("connected components did not converge")
     # Converged: every edge is (node, component minimum).
     return (e.select(F.col("a").alias("id"), F.col("b").alias("component"))

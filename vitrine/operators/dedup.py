@@ -12,12 +12,14 @@ preview gathers a bounded number of members (first 4) per cluster.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.text import or_unknown
-from ..functions.vectors import sq_norm
+from ..functions.vectors import dot, sq_norm
 from .blocks import threshold_self_join
 from .components import connected_components
 from .ordinal import ordinal
@@ -36,25 +38,60 @@ def duplicate_pairs(vecs: DataFrame, threshold: float = config.DUPLICATE_SIMILAR
     return threshold_self_join(v, threshold, id_col, vec_col)
 
 
-def lsh_pairs(vecs: DataFrame, threshold: float = config.DUPLICATE_SIMILARITY_THRESHOLD, bucket_length: float = 1.0,
-              num_tables: int = 4, seed: int = 7, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
-    """Approximate pairs via random-projection LSH on unit vectors.
-
-    cos >= t  <=>  euclidean distance <= sqrt(2 (1 - t)).  Candidates are
-    verified with the true distance, so the result is a subset of the
-    exact pairs (it can miss pairs, never invent them).
+def duplicate_links(vecs: DataFrame, threshold: float = config.DUPLICATE_SIMILARITY_THRESHOLD,
+                    id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
+    """Edges ``(id_a, id_b)`` that connect the rows ``duplicate_pairs`` connects, without all pairs:
+    equal vectors (by a 128-bit hash) are tied to the smallest id among them, and the block pairs
+    of the rest emit spanning forests."""
+    if threshold <= 0:
+        raise ValueError("threshold must be > 0 (zero vectors are dropped before the join)")
+    v = (vecs.where(F.col(vec_col).isNotNull() & (sq_norm(vec_col) >= threshold))
+         .select(F.col(id_col).alias("id"), vec_col, F.xxhash64(vec_col).alias("_h"), F.xxhash64(vec_col, F.lit(1)).alias("_g")))
+    first = v.groupBy("_h", "_g").agg(F.min("id").alias("_first"))
+    tied = v.select("id", "_h", "_g").join(first, ["_h", "_g"]).where("id <> _first").select(F.col("_first").alias("id_a"), F.col("id").alias("id_b"))
+    rest = vecs.where(F.col(vec_col).isNotNull() & (sq_norm(vec_col) > 0)).select(F.col(id_col).alias("id"), vec_col).join(
+        tied.select(F.col("id_b").alias("id")), "id", "left_anti")
+    return threshold_self_join(rest, threshold, "id", vec_col, forest=True).unionByName(tied)
+
+
+def _sign_hashes(bands: int, bits: int, seed: int):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        planes = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            v = b.column(1)
+            x = v.flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            if planes is None:
+                planes = np.random.default_rng(seed).standard_normal((x.shape[1], bands * bits))
+            sign = ((x @ planes) > 0).reshape(-1, bands, bits)
+            h = (sign * (1 << np.arange(bits))).sum(axis=2)
+            n = b.num_rows
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), bands)),
+                                              pa.array(np.tile(np.arange(bands), n)), pa.array(h.reshape(-1))], names=["id", "band", "h"])
+    return run
+
+
+def lsh_pairs(vecs: DataFrame, threshold: float = config.DUPLICATE_SIMILARITY_THRESHOLD, bits: int = 12,
+              recall: float = 0.98, seed: int = 7, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
+    """Approximate pairs by banded random-hyperplane signs.
+
+    Two vectors of cosine t agree in one sign with probability
+    ``1 - acos(t) / pi``, so the number of bands of ``bits`` signs follows from
+    the recall wanted at the threshold.  Candidates agree in a whole band and
+    are verified by their inner product: pairs can be missed, never invented.
     """
-    from pyspark.ml.feature import BucketedRandomProjectionLSH
-    from pyspark.ml.functions import array_to_vector
-    v = vecs.where(F.col(vec_col).isNotNull() & (sq_norm(vec_col) > 0)).select(
-        F.col(id_col).alias("id"), array_to_vector(F.col(vec_col).cast("array<double>")).alias("features"))
-    model = BucketedRandomProjectionLSH(inputCol="features", outputCol="hashes", bucketLength=bucket_length,
-                                        numHashTables=num_tables, seed=seed).fit(v)
-    radius = (2.0 * (1.0 - threshold)) ** 0.5
-    j = model.approxSimilarityJoin(v, v, radius, distCol="dist")
-    return (j.where(F.col("datasetA.id") < F.col("datasetB.id"))
-             .select(F.col("datasetA.id").alias("id_a"), F.col("datasetB.id").alias("id_b"),
-                     (1.0 - F.col("dist") * F.col("dist") / 2.0).alias("sim")))
+    agree = (1 - math.acos(min(threshold, 1.0)) / math.pi) ** bits
+    bands = math.ceil(math.log(1 - recall) / math.log(1 - agree)) if agree < 1 else 1
+    v = vecs.where(F.col(vec_col).isNotNull() & (sq_norm(vec_col) > 0)).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v"))
+    signs = v.mapInArrow(_sign_hashes(bands, bits, seed), "id BIGINT, band BIGINT, h BIGINT")
+    a, b = (signs.select(F.col("id").alias(f"id_{x}"), "band", "h") for x in "ab")
+    pairs = a.join(b, ["band", "h"]).where("id_a < id_b").select("id_a", "id_b").distinct()
+    full = (pairs.join(v.select(F.col("id").alias("id_a"), F.col("v").alias("v_a")), "id_a")
+                 .join(v.select(F.col("id").alias("id_b"), F.col("v").alias("v_b")), "id_b"))
+    return full.select("id_a", "id_b", dot("v_a", "v_b").alias("sim")).where(F.col("sim") >= threshold)
 
 
 def cluster_members(catalog: DataFrame, components: DataFrame, min_size: int = config.MIN_CLUSTER_SIZE) -> DataFrame:
@@ -156,7 +193,7 @@ def deduplicate(catalog: DataFrame, threshold: float = config.DUPLICATE_SIMILARI
     """Whole job (C6): returns the intermediate and final DataFrames."""
     vecs = catalog.select("id", vec_col)
     pairs = duplicate_pairs(vecs, threshold, vec_col=vec_col) if method == "exact" else lsh_pairs(vecs, threshold, vec_col=vec_col)
-    comps = connected_components(pairs)
+    comps = connected_components(pairs if method != "exact" else duplicate_links(vecs, threshold, vec_col=vec_col))
     members = cluster_members(catalog, comps)
     cl = clusters(members, vecs, vec_col=vec_col)
     return {"pairs": pairs, "components": comps, "members": members, "clusters": cl,

@@ -348,6 +348,9 @@ SELECT id_a, id_b, round(sim, 6) AS sim FROM pairs"""
 ORACLE["dup_pairs_chain"] = f"""WITH {CATALOG}, {CHAIN_SRC}, {pairs_sql('cv', CHAIN_T)}
 SELECT id_a, id_b, round(sim, 6) AS sim FROM pairs"""
 
+ORACLE["lsh_recall"] = f"""WITH {CATALOG}, {PLANTED}, {PLANT_SRC}, {pairs_sql('cv', PLANT_T)}
+SELECT count(*) AS exact_pairs, true AS recall_reached FROM pairs"""
+
 ORACLE["dup_components"] = f"""WITH RECURSIVE {CATALOG}, {CHAIN_SRC}, {pairs_sql('cv', CHAIN_T)}, {COMPONENTS}
 SELECT id, component FROM comps"""
 

@@ -219,14 +219,13 @@ def q_score_band(spark, sf):
 def _chain(spark, sf):
     c = _catalog(spark, sf)
     vec = c.where(F.col("embedding").isNotNull()).select("id", "embedding")
-    pairs = dd.duplicate_pairs(vec, CHAIN_T)
-    return c, vec, pairs
+    return c, vec, CHAIN_T
 
 
 def _planted(spark, sf):
     c = td.planted_catalog(spark, sf)
     vec = c.select("id", "embedding")
-    return c, vec, dd.duplicate_pairs(vec, PLANT_T)
+    return c, vec, PLANT_T
 
 
 def _pairs_cols(p):
@@ -234,20 +233,23 @@ def _pairs_cols(p):
 
 
 def q_dup_pairs_planted(spark, sf):
-    return _pairs_cols(_planted(spark, sf)[2])
+    _, vec, t = _planted(spark, sf)
+    return _pairs_cols(dd.duplicate_pairs(vec, t))
 
 
 def q_dup_pairs_chain(spark, sf):
-    return _pairs_cols(_chain(spark, sf)[2])
+    _, vec, t = _chain(spark, sf)
+    return _pairs_cols(dd.duplicate_pairs(vec, t))
 
 
 def q_dup_components(spark, sf):
-    return connected_components(_chain(spark, sf)[2])
+    _, vec, t = _chain(spark, sf)
+    return connected_components(dd.duplicate_links(vec, t))
 
 
 def _dedup(spark, sf, which):
-    c, vec, pairs = _chain(spark, sf) if which == "chain" else _planted(spark, sf)
-    members = dd.cluster_members(c, connected_components(pairs))
+    c, vec, t = _chain(spark, sf) if which == "chain" else _planted(spark, sf)
+    members = dd.cluster_members(c, connected_components(dd.duplicate_links(vec, t)))
     clus = dd.clusters(members, vec)
     return c, members, clus
 
@@ -504,6 +506,14 @@ def q_lsh_pairs(spark, sf):
     return _pairs_cols(dd.lsh_pairs(vec, PLANT_T))
 
 
+def q_lsh_recall(spark, sf):
+    """Number of exact pairs, and whether the banded hashes find at least 95 % of them."""
+    _, vec, t = _planted(spark, sf)
+    exact, found = dd.duplicate_pairs(vec, t).select("id_a", "id_b"), dd.lsh_pairs(vec, t).select("id_a", "id_b", F.lit(1).alias("hit"))
+    both = exact.join(found, ["id_a", "id_b"], "left")
+    return both.agg(F.count(F.lit(1)).alias("exact_pairs"), (F.count("hit") >= 0.95 * F.count(F.lit(1))).alias("recall_reached"))
+
+
 def q_pca_projection(spark, sf):
     from ..operators.project import project_embeddings
     return project_embeddings(_catalog(spark, sf))
