@@ -32,6 +32,22 @@ def test_csv_ingest_skips_long_rows_keeps_short(spark):
     assert rows[2].u is None and rows[4].name == 'q,"z\nw"' and rows[5].name == " NA "
 
 
+def test_csv_order_follows_file_names(spark):
+    d = tempfile.mkdtemp(prefix="vitrine-csv-")
+    for name, rows in (("a.csv", [(1, "first"), (2, "two")]), ("b.csv", [(1, "second")] + [(i, "x" * 50) for i in range(10, 400)])):
+        with open(os.path.join(d, name), "w") as f:
+            f.write("id,name\n" + "".join(f"{i},{n}\n" for i, n in rows))
+    df = io.read_catalog_csv(spark, d)
+    first = df.groupBy("id").agg(F.min_by("name", "src_pos").alias("name")).where("id = '1'").first()
+    assert first["name"] == "first" and df.select("src_pos").distinct().count() == df.count()
+
+
+def test_refresh_sees_changed_products(spark):
+    c = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id BIGINT, productDisplayName STRING")
+    cache = spark.createDataFrame([(1, "a"), (2, "old")], "id BIGINT, t STRING").select("id", io.content_hash("t").alias("content_hash"))
+    assert {r.id for r in io.vectors_to_refresh(c, cache).collect()} == {2, 3}
+
+
 def test_image_inventory_and_embedding(spark):
     d = tempfile.mkdtemp(prefix="vitrine-img-")
     payload = {"10.jpg": b"abc", "10.png": b"zzzz", "11.JPG": b"x", "12.webp": b"hello", "x13.jpg": b"q"}

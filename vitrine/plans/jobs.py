@@ -7,6 +7,7 @@ collected to the driver.
 
 from __future__ import annotations
 
+import uuid
 from typing import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from ..operators import profile as prof
 from ..operators import recommend as rec
 from ..operators import search as srch
 from ..operators.project import project_embeddings
+from ..session import ensure_checkpoint_dir
 from ..sources import catalog_io as io
 
 
@@ -41,9 +43,16 @@ def build_search_table(catalog: DataFrame, vectors: DataFrame, path: str, valida
 
 
 def refresh_vectors(catalog: DataFrame, cache: DataFrame, text_col: str = "productDisplayName") -> DataFrame:
-    """S10 with the default encoder: vectors only for rows missing from the cache."""
-    todo = io.vectors_to_refresh(catalog, cache)
-    return todo.select("id", hashed_text_vector(F.col(text_col)).alias("embedding"))
+    """S10 with the default encoder: vectors only for rows missing from the cache or changed since."""
+    todo = io.vectors_to_refresh(catalog, cache, text_col)
+    return todo.select("id", hashed_text_vector(F.col(text_col)).alias("embedding"), io.content_hash(text_col).alias("content_hash"))
+
+
+def csv_round_trip(df: DataFrame) -> DataFrame:
+    """Export a frame as CSV into the shared checkpoint folder and ingest it again."""
+    path = f"{ensure_checkpoint_dir(df.sparkSession).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    io.write_csv(df, path)
+    return io.read_catalog_csv(df.sparkSession, path)
 
 
 def profile_catalog(raw: DataFrame, images: DataFrame, final: DataFrame) -> dict[str, DataFrame]:

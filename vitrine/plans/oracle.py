@@ -485,6 +485,12 @@ SELECT query, id, productDisplayName FROM m WHERE rn = 1"""
 ORACLE["rejected_queries"] = f"""WITH {CATALOG}, {RAW}
 SELECT src_pos AS qid, productDisplayName AS query FROM raw WHERE coalesce({trim('productDisplayName')}, '') = ''"""
 
+ORACLE["csv_ingest"] = f"""WITH {CATALOG}
+SELECT id, {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in config.EXPORT_COLUMNS if c != 'id')} FROM catalog"""
+
+ORACLE["refresh_changed"] = f"""WITH {CATALOG}
+SELECT id, productDisplayName FROM catalog WHERE embedding IS NULL OR id % 7 = 0"""
+
 ORACLE["category_filter"] = f"""WITH {CATALOG}
 SELECT 'All' AS choice, id FROM catalog UNION ALL SELECT 'Apparel', id FROM catalog WHERE masterCategory = 'Apparel'"""
 

@@ -4,7 +4,6 @@ DataFrame whose work grows with the input tables."""
 
 from __future__ import annotations
 
-import os
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -521,12 +520,19 @@ def q_pca_projection(spark, sf):
 
 def q_csv_ingest(spark, sf):
     """Catalog written as CSV to the shared checkpoint folder, read back by the tolerant reader."""
-    from ..session import ensure_checkpoint_dir
-    from ..sources.catalog_io import read_catalog_csv, write_csv
-    base = ensure_checkpoint_dir(spark).rstrip("/") + f"/csv-ingest-{os.getpid()}-{abs(hash(sf)) % 10**8}"
+    from .jobs import csv_round_trip
     c = _catalog(spark, sf).drop("embedding")
-    write_csv(c.select(*[x for x in config.EXPORT_COLUMNS if x in c.columns]), base)
-    return read_catalog_csv(spark, base)
+    back = csv_round_trip(c.select(*[x for x in config.EXPORT_COLUMNS if x in c.columns]))
+    return back.select(F.col("id").cast("bigint").alias("id"), *[x for x in config.EXPORT_COLUMNS if x in back.columns and x != "id"])
+
+
+def q_refresh_changed(spark, sf):
+    """Products to encode again when the stored vectors know the names of most, but every seventh has changed."""
+    from ..sources.catalog_io import content_hash, vectors_to_refresh
+    c = _catalog(spark, sf)
+    known = c.where(F.col("embedding").isNotNull()).withColumn(
+        "old", F.when(F.col("id") % 7 == 0, F.concat(F.lit("old "), "productDisplayName")).otherwise(F.col("productDisplayName")))
+    return vectors_to_refresh(c, known.select("id", content_hash("old").alias("content_hash"))).select("id", "productDisplayName")
 
 
 def q_stream_history(spark, sf):

@@ -4,6 +4,7 @@ inventory, vector / search-table store (Parquet), CSV exports."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -36,13 +37,21 @@ def read_catalog_csv(spark: SparkSession, path: str, null_tokens=config.NULL_TOK
     """
     try:
         cols = _header(spark, path)
-    except Exception as e:  # path missing
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise CatalogNotFound(f"catalog CSV not found at {path!r}: download the catalog and place it there") from e
     schema = StructType([StructField(c, StringType()) for c in cols] + [StructField(EXTRA, StringType())])
     df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
           .option("multiLine", True).option("escape", '"').option("nullValue", None).csv(path))
-    df = df.where(F.col(EXTRA).isNull()).drop(EXTRA)
-    df = df.withColumn("src_pos", F.monotonically_increasing_id())
+    # Order over several files: by file name, then by row.  A multi-line file is one split, so the low bits of
+    # the increasing id count up inside it; the file list (one row a file) gives the files' order.
+    files = sorted(df.inputFiles())
+    rank = spark.createDataFrame(list(enumerate(files)), "_rank BIGINT, _file STRING")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    df = df.withColumn("_row", row).withColumn("_file", F.input_file_name())
+    df = df.where(F.col(EXTRA).isNull()).drop(EXTRA).join(rank, "_file")
+    df = df.withColumn("src_pos", F.shiftleft("_rank", 33) + F.col("_row")).drop("_file", "_row", "_rank")
     return null_tokens_to_null(df, null_tokens) if null_tokens else df
 
 
@@ -67,9 +76,15 @@ def export_duplicate_report(report: DataFrame, path: str) -> None:
     write_csv(report, path)
 
 
+def content_hash(text_col: str = "productDisplayName"):
+    """Hash of what a vector was made from; a changed product gets another one."""
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
 def save_vectors(vecs: DataFrame, path: str, model: str = "hashed-bow", mode: str = "overwrite") -> None:
-    """One self-describing table ``(id, embedding, model)``."""
-    vecs.select("id", "embedding", F.lit(model).alias("model")).write.mode(mode).parquet(path)
+    """One self-describing table ``(id, embedding, model[, content_hash])``."""
+    extra = ["content_hash"] if "content_hash" in vecs.columns else []
+    vecs.select("id", "embedding", F.lit(model).alias("model"), *extra).write.mode(mode).parquet(path)
 
 
 def load_vectors(spark: SparkSession, path: str) -> DataFrame:
@@ -85,10 +100,14 @@ def save_search_table(catalog: DataFrame, vecs: DataFrame, path: str, buckets: i
     t.write.mode("overwrite").parquet(path)
 
 
-def vectors_to_refresh(catalog: DataFrame, cache: DataFrame, key_cols=("id",)) -> DataFrame:
-    """Rows whose vector is missing from the cache (S10): an anti-join, so a
+def vectors_to_refresh(catalog: DataFrame, cache: DataFrame, text_col: str = "productDisplayName") -> DataFrame:
+    """Rows whose vector is missing from the cache or, where the cache keeps
+    content hashes, was made from another text (S10): an anti-join, so a
     refresh embeds only new or changed products."""
-    return catalog.join(cache.select(*key_cols), list(key_cols), "left_anti")
+    if "content_hash" not in cache.columns:
+        return catalog.join(cache.select("id"), "id", "left_anti")
+    return (catalog.withColumn("content_hash", content_hash(text_col))
+            .join(cache.select("id", "content_hash"), ["id", "content_hash"], "left_anti").drop("content_hash"))
 
 
 def embed_images(spark: SparkSession, image_dir: str, make_predict_fn, dim: int, batch_size: int = 32,
