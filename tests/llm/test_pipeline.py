@@ -2,8 +2,11 @@
 
 import collections
 
+import pytest
+
 import __spark_entry__ as entry
 import corpus_pipeline
+from tools.check_oracle import digest, duck
 from vitrine.llm import langid, quality
 from vitrine.llm.common import table
 
@@ -63,3 +66,34 @@ def test_quality_trees_on_labels(spark, sf):
 def test_registered_queries():
     names = entry.queries()
     assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+
+
+COLUMNS = {
+    "op1": "doc_id n_chars edited_sha256 fingerprint edited_fingerprint near_edited near_next",
+    "op2": "doc_id piece start length ids_crc32 sequence_id offset",
+    "op3": "doc_id held_out n_tokens n_known train_tokens base_score score",
+    "op4": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op5": "doc_id size text_crc32 law shard slot grown_shard",
+    "op6": "page_id host path rule verdict",
+    "op7": "conv_id n_turns turns_sha256 loss_chars loss_sha256 formatted_chars",
+    "op8": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op9": "doc_id n_shingles component_id",
+    "op10": "doc_id held_out lang_pred score",
+}
+
+
+@pytest.mark.parametrize("op", sorted(COLUMNS))
+def test_registered_query_covers_its_table(spark, sf, op):
+    name, query = next((n, q) for n, q in entry.queries().items() if n.startswith(f"{op}_"))
+    out = query(spark, sf)
+    assert set(COLUMNS[op].split()) <= set(out.columns)
+    source, key = ("pages", "page_id") if op == "op6" else ("conversations", "conv_id") if op == "op7" else ("documents", "doc_id")
+    ids = {r[0] for r in out.select(key).collect()}
+    assert ids == {r[0] for r in table(spark, sf, source, key).collect()} | ({-1} if op == "op7" else set())
+    if name in entry.oracle_sql():
+        assert digest(query(spark, sf).toPandas()) == digest(duck(sf).execute(entry.oracle_sql()[name]).df())
+
+
+def test_pipeline_runs(spark, sf):
+    out = corpus_pipeline.run(spark, sf)
+    assert out.count() > 0 and {"doc_id", "sequence_id"} <= set(out.columns)
