@@ -57,7 +57,12 @@ def test_image_inventory_and_embedding(spark):
     inv = io.image_inventory(spark, d)
     from vitrine.operators.clean import resolve_images
     got = {r.id: (r.image_path, r.image_bytes) for r in resolve_images(inv).collect()}
-    assert got == {10: ("images/10.jpg", 3), 12: ("images/12.webp", 5)}
+    assert got == {i: (f"file:{d}/{n}", s) for i, n, s in ((10, "10.jpg", 3), (12, "12.webp", 5))}
+    import pytest
+    products = spark.createDataFrame([(10,), (12,)], "id BIGINT")
+    assert io.assert_images(products, resolve_images(inv)).first()[0] == 2
+    with pytest.raises(Exception, match="the first is 99"):
+        io.assert_images(products.union(spark.createDataFrame([(99,)], "id BIGINT")), resolve_images(inv)).collect()
     emb = {r.id: r.embedding for r in io.embed_images(spark, d, byte_histogram_model(8), 8).collect()}
     assert set(emb) == {10, 12}
     assert abs(np.linalg.norm(emb[10]) - 1.0) < 1e-6

@@ -106,24 +106,28 @@ def clean(raw: DataFrame, apply_null_tokens: bool = True, nan_text: bool = False
 
 
 def resolve_images(inventory: DataFrame, exts=config.IMAGE_EXTENSIONS, image_dir: str = "images") -> DataFrame:
-    """``(id, ext, image_bytes)`` listing -> one row per id with the first
-    extension in priority order (case-sensitive): ``(id, image_path, image_bytes)``."""
+    """``(id, ext, image_bytes[, path])`` listing -> one row per id with the first
+    extension in priority order (case-sensitive): ``(id, image_path, image_bytes)``.
+    ``image_path`` is the listed path, or made from folder, id and extension
+    where the listing has none."""
     order = F.array(*[F.lit(e) for e in exts])
     pri = F.array_position(order, F.col("ext"))
     inv = inventory.where(pri > 0).withColumn("_pri", pri)
-    best = inv.groupBy("id").agg(F.min_by(F.struct("ext", "image_bytes"), F.col("_pri")).alias("_b"))
-    return best.select("id", F.concat(F.lit(image_dir + "/"), F.col("id").cast("string"), F.col("_b.ext")).alias("image_path"),
+    made = F.concat(F.lit(image_dir + "/"), F.col("id").cast("string"), F.col("ext"))
+    inv = inv.withColumn("_path", F.col("path") if "path" in inventory.columns else made)
+    best = inv.groupBy("id").agg(F.min_by(F.struct("_path", "image_bytes"), F.col("_pri")).alias("_b"))
+    return best.select("id", F.col("_b._path").alias("image_path"),
                        F.col("_b.image_bytes").cast("bigint").alias("image_bytes"))
 
 
-def inventory_from_files(files: DataFrame, path_col: str = "path", size_col: str = "length") -> DataFrame:
+def inventory_from_files(files: DataFrame, path_col: str = "path", size_col: str = "length", keep: tuple[str, ...] = ()) -> DataFrame:
     """File listing (e.g. ``binaryFile`` without ``content``) -> ``(id, ext, image_bytes)``.
     The stem must be exactly an integer id; the extension keeps its case."""
     name = F.regexp_extract(F.col(path_col), r"([^/]+)$", 1)
     stem = F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1)
     ext = F.regexp_extract(name, r"(\.[^.]*)$", 1)
     idv = stem.try_cast("bigint")
-    return (files.select(idv.alias("id"), stem.alias("_stem"), ext.alias("ext"), F.col(size_col).cast("bigint").alias("image_bytes"))
+    return (files.select(idv.alias("id"), stem.alias("_stem"), ext.alias("ext"), F.col(size_col).cast("bigint").alias("image_bytes"), *keep)
                  .where(F.col("id").isNotNull() & (F.col("id").cast("string") == F.col("_stem"))).drop("_stem"))
 
 

@@ -57,9 +57,9 @@ def read_catalog_csv(spark: SparkSession, path: str, null_tokens=config.NULL_TOK
 
 def image_inventory(spark: SparkSession, image_dir: str) -> DataFrame:
     """File listing of an image folder (S4) as ``(id, ext, image_bytes)``;
-    the ``content`` column is never selected, so no image is read."""
+    with the real path; the ``content`` column is never selected, so no image is read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(image_dir).select("path", "length")
-    return inventory_from_files(files)
+    return inventory_from_files(files, keep=("path",))
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -112,16 +112,27 @@ def vectors_to_refresh(catalog: DataFrame, cache: DataFrame, text_col: str = "pr
 
 def embed_images(spark: SparkSession, image_dir: str, make_predict_fn, dim: int, batch_size: int = 32,
                  decode=None, on_error: str = "null") -> DataFrame:
-    """Batch image embedding (E1): file content -> model -> unit vector.
-    Only files named ``<id><ext>`` with a known extension are embedded;
-    unreadable content (NULL) becomes a zero vector."""
+    """Batch image embedding (E1): file content -> model -> unit vector, with
+    the path of the file it came from.  Only files named ``<id><ext>`` with a
+    known extension are embedded; unreadable content (NULL) becomes a zero
+    vector.  Content is read and embedded in the scan's own tasks; only the
+    vectors are shuffled to keep the best extension per id.  A path of one
+    file embeds that file (E2)."""
     from ..functions.encoder import model_encoder
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(image_dir)
-    inv = inventory_from_files(files.select("path", "length"))
-    pri = F.array_position(F.array(*[F.lit(e) for e in config.IMAGE_EXTENSIONS]), F.col("ext"))
-    name = F.regexp_extract(F.col("path"), r"([^/]+)$", 1)
-    keyed = files.select(F.regexp_extract(name, r"^(.*?)(\.[^.]*)?$", 1).try_cast("bigint").alias("id"),
-                         F.regexp_extract(name, r"(\.[^.]*)$", 1).alias("ext"), "content")
-    best = inv.where(pri > 0).groupBy("id").agg(F.min_by("ext", pri).alias("ext"))
     udf = model_encoder(make_predict_fn, dim, batch_size, "binary", decode=decode, on_error=on_error)
-    return keyed.join(best, ["id", "ext"]).select("id", udf(F.col("content")).alias("embedding"))
+    pri = F.array_position(F.array(*[F.lit(e) for e in config.IMAGE_EXTENSIONS]), F.col("ext"))
+    known = inventory_from_files(files, keep=("path", "content")).withColumn("_pri", pri).where("_pri > 0")
+    vectors = known.select("id", "_pri", "path", udf(F.col("content")).alias("embedding"))
+    best = vectors.groupBy("id").agg(F.min_by(F.struct("embedding", "path"), "_pri").alias("b"))
+    return best.select("id", F.col("b.embedding").alias("embedding"), F.col("b.path").alias("image_path"))
+
+
+def assert_images(products: DataFrame, images: DataFrame) -> DataFrame:
+    """One row with the number of products that have an image; the job fails
+    when a product has none (S6, strict form)."""
+    j = products.select("id").distinct().join(images.select("id", F.lit(True).alias("img")), "id", "left")
+    c = j.agg(F.count("img").alias("with_image"), F.count_if(F.col("img").isNull()).alias("missing"), F.min(F.when(F.col("img").isNull(), F.col("id"))).alias("first"))
+    return c.select(F.when(F.col("missing") > 0, F.raise_error(F.concat(
+        F.col("missing").cast("string"), F.lit(" products without an image, the first is "), F.col("first").cast("string"))).cast("bigint"))
+        .otherwise(F.col("with_image")).alias("with_image"))
