@@ -46,8 +46,9 @@ _NULL = "\x1e"   # stands for a null category inside group keys (never occurs in
 
 
 def recommend(catalog: DataFrame, sources: DataFrame | None = None, top_k: int = config.TOP_K_RECOMMENDATIONS,
-              rules: DataFrame | None = None, exclude_self: bool = False) -> DataFrame:
-    """Recommendations for ``sources`` (ids; default: every product).
+              rules: DataFrame | None = None, exclude_self: bool = False, path: str | None = None) -> DataFrame:
+    """Recommendations for ``sources`` (ids; default: every product), on both
+    paths or only on ``path`` ("rule" or "fallback").
 
     ``catalog`` needs id, articleType, masterCategory, usage, embedding and
     the display columns.  Sources without a vector produce no rows.
@@ -77,6 +78,8 @@ def recommend(catalog: DataFrame, sources: DataFrame | None = None, top_k: int =
               .withColumn("fb_self", (1 - F.col("rule_path")) if not exclude_self else F.lit(1))
               .withColumn("gkey", F.when(F.col("rule_path") == 1, F.concat(F.lit("T:"), F.col("type_lower")))
                                    .otherwise(F.concat(F.lit("M:"), mc_key))))
+    if path is not None:
+        src = src.where(F.col("rule_path") == (1 if path == "rule" else 0))
     cand = _cand_codes(with_vec)
     cand = (cand.withColumn("gkey", F.concat(F.lit("T:"), F.col("type_lower")))
                 .unionByName(cand.withColumn("gkey", F.concat(F.lit("M:"), mc_key))))
@@ -90,24 +93,26 @@ def recommend(catalog: DataFrame, sources: DataFrame | None = None, top_k: int =
                    .where(F.coalesce(F.col("c.raw_mc") != F.col("raw_lmc"), F.lit(True)))
                    .select(F.concat(F.lit("M:"), F.col("lmc")).alias("lg"), F.concat(F.lit("M:"), F.col("c.mc")).alias("rg")))
     pairs = rule_pairs.unionByName(fb_pairs)
+    if sources is not None or path is not None:
+        # Only some sources: pack only the candidate groups that one of them meets.
+        pairs = pairs.join(src.select(F.col("gkey").alias("lg")).distinct(), "lg", "left_semi")
+        cand = cand.join(pairs.select(F.col("rg").alias("gkey")).distinct(), "gkey", "left_semi")
 
     bonus = [("mc_code", "mc_code", config.BONUS_SAME_MASTER_CATEGORY),
              ("us_code", "us_code", config.BONUS_SAME_USAGE)]
     hits = topk_join(src, cand, top_k, left_group=F.col("gkey"), right_group=F.col("gkey"),
                      group_pairs=pairs, bonus=bonus, clip_bonus=True, cap=config.SCORE_CAP, exclude_self="fb_self")
+    shown = [
+        F.coalesce(F.col("image_path").cast("string"), F.lit("")).alias("image_path"),
+        or_unknown("productDisplayName").alias("product_name"), or_unknown("articleType").alias("article_type"),
+        or_unknown("masterCategory").alias("master_category"), or_unknown("baseColour").alias("base_colour"),
+        or_unknown("brand").alias("brand")]
     hits = (hits.join(src.select(F.col("id").alias("l_id"), F.col("type_lower").alias("s_type"), "rule_path"), "l_id")
-                .join(meta.select(F.col("id").alias("r_id"), F.col("type_lower").alias("c_type")), "r_id")
+                .join(meta.select(F.col("id").alias("r_id"), F.col("type_lower").alias("c_type"), *shown), "r_id")
                 .withColumn("reason", F.when(F.col("rule_path") == 1, rule_reason(F.col("s_type"), F.col("c_type")))
                                         .otherwise(fallback_reason(F.col("s_type"))))
                 .withColumn("path", F.when(F.col("rule_path") == 1, "rule").otherwise("fallback")))
-    disp = catalog.select(
-        F.col("id").alias("r_id"),
-        F.coalesce(F.col("image_path").cast("string"), F.lit("")).alias("image_path"),
-        or_unknown("productDisplayName").alias("product_name"), or_unknown("articleType").alias("article_type"),
-        or_unknown("masterCategory").alias("master_category"), or_unknown("baseColour").alias("base_colour"),
-        or_unknown("brand").alias("brand"))
-    out = hits.join(disp, "r_id")
-    return out.select(F.col("l_id").alias("source_id"), F.col("rank").cast("bigint").alias("rank"),
+    return hits.select(F.col("l_id").alias("source_id"), F.col("rank").cast("bigint").alias("rank"),
                       F.col("r_id").alias("product_id"), "image_path", "product_name", "article_type",
                       "master_category", "base_colour", "brand", "reason", "score", "path")
 

@@ -188,7 +188,7 @@ def q_recommend_all(spark, sf):
 
 
 def q_recommend_fallback(spark, sf):
-    return _rec_cols(_recs(spark, sf).where(F.col("path") == "fallback"))
+    return _rec_cols(rec.recommend(_catalog(spark, sf), None, 5, path="fallback"))
 
 
 def q_recommend_by_name(spark, sf):
