@@ -57,10 +57,5 @@ def score_band(x) -> Column:
              .when(x >= config.SCORE_BAND_YELLOW, "yellow").otherwise("red"))
 
 
-def ci_equals(col, value: str) -> Column:
-    """Case-insensitive equality on the string form (search filters)."""
-    return F.lower(_c(col).cast("string")) == F.lower(F.lit(str(value)))
-
-
 def or_unknown(col, default: str = "Unknown") -> Column:
     return F.coalesce(_c(col).cast("string"), F.lit(default))

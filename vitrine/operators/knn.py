@@ -19,10 +19,6 @@ from ..functions.text import or_unknown
 from ..functions.vectors import clip01, dot
 from .blocks import topk_join
 
-RESULT_FIELDS = ("rank", "product_id", "image_path", "product_name", "article_type", "master_category",
-                 "sub_category", "base_colour", "brand", "usage", "similarity")
-
-
 def _meta_cols(prefix: str = "") -> list[Column]:
     """Result metadata from a catalog row; absent values become 'Unknown' ('' for the path)."""
     return [

@@ -131,8 +131,8 @@ def history_summary(log: DataFrame, query_col: str = "query", latency_col: str =
     return log.agg(*aggs)
 
 
-def metrics_series(metrics: DataFrame, latency_col: str = "total_ms", query_col: str = "query") -> DataFrame:
-    """Chart series (A18): label = first 20 chars, latency, avg similarity x 100."""
+def metrics_series(metrics: DataFrame, latency_col: str | None = "total_ms", query_col: str = "query") -> DataFrame:
+    """Chart series (A18): label = first 20 chars, latency (where the metrics have it), avg similarity x 100."""
     return metrics.select(prefix(query_col, config.QUERY_LABEL_CHARS).alias("label"),
-                          F.col(latency_col).alias("latency_ms"),
+                          *([F.col(latency_col).alias("latency_ms")] if latency_col else []),
                           (F.col("avg_similarity") * 100).alias("avg_similarity_pct"))

@@ -5,7 +5,26 @@ from __future__ import annotations
 
 from .. import config
 from ..sources.testdata import FIXTURE_QUERIES, TYPE_MAP
-from .queries import CHAIN_T, NAME_PROBES, PLANT_T
+
+# Fixed values, stated here apart from the code under test.
+CHAIN_T, PLANT_T = 0.40, 0.92
+NAME_PROBES = (("q1", "ring"), ("q2", " Red "), ("q3", "small widget"), ("q4", "zzz"))
+BONUS_SAME_MASTER_CATEGORY = 0.02
+BONUS_SAME_USAGE = 0.01
+CHART_TOP_TYPES = 15
+DISPLAY_SEED = 0
+HASH_DIM = 64
+HASH_HEX_CHARS = 7
+MIN_CLUSTER_SIZE = 2
+NAME_DISPLAY_CHARS = 35
+NAME_LABEL_CHARS = 30
+QUERY_LABEL_CHARS = 20
+SAMPLE_DISPLAY = 12
+SAMPLE_SEED = 42
+SCORE_BAND_GREEN = 0.85
+SCORE_BAND_YELLOW = 0.70
+TOP_ARTICLE_TYPES = 20
+TOP_COLOURS = 15
 
 
 def _q(s: str) -> str:
@@ -38,14 +57,14 @@ CATALOG = f"""catalog AS (
 
 
 def bucket(t: str) -> str:
-    return f"((('0x' || substr(md5({t}), 1, {config.HASH_HEX_CHARS}))::BIGINT) % {config.HASH_DIM})"
+    return f"((('0x' || substr(md5({t}), 1, {HASH_HEX_CHARS}))::BIGINT) % {HASH_DIM})"
 
 
 def hvec(text: str) -> str:
     """Hashed bag-of-words unit vector of a text expression."""
     toks = f"list_filter(string_split(lower({text}), ' '), lambda t: t <> '')"
     bks = f"list_transform({toks}, lambda t: {bucket('t')})"
-    counts = f"list_transform(range({config.HASH_DIM}), lambda b: len(list_filter({bks}, lambda x: x = b))::DOUBLE)"
+    counts = f"list_transform(range({HASH_DIM}), lambda b: len(list_filter({bks}, lambda x: x = b))::DOUBLE)"
     return counts
 
 
@@ -95,8 +114,8 @@ def fb_reason(src: str) -> str:
     return f"concat({_q(FB_HEAD)}, {src}, {_q(FB_TAIL)})"
 
 
-BM = config.BONUS_SAME_MASTER_CATEGORY
-BU = config.BONUS_SAME_USAGE
+BM = BONUS_SAME_MASTER_CATEGORY
+BU = BONUS_SAME_USAGE
 
 RECS = f"""{RESOLVE},
   meta AS (SELECT *, lower({trim('articleType')}) AS tl FROM catalog),
@@ -187,7 +206,7 @@ def clusters_sql(cat: str) -> str:
     return f"""members AS (SELECT c.component, k.id, k.id AS pos, coalesce(k.productDisplayName, 'Unknown') AS name,
                       k.image_bytes, count(*) OVER (PARTITION BY c.component) AS size
                FROM comps c JOIN {cat} k ON k.id = c.id),
-  mem2 AS (SELECT * FROM members WHERE size >= {config.MIN_CLUSTER_SIZE}),
+  mem2 AS (SELECT * FROM members WHERE size >= {MIN_CLUSTER_SIZE}),
   rep AS (SELECT component, id AS representative_id, name AS representative_name, size, first_pos FROM (
             SELECT *, min(pos) OVER (PARTITION BY component) AS first_pos,
                    row_number() OVER (PARTITION BY component ORDER BY coalesce(image_bytes, -1) DESC, pos) AS rn FROM mem2) WHERE rn = 1),
@@ -339,7 +358,7 @@ ORACLE["reason_text"] = f"""WITH {CATALOG}, {RESOLVE},
 SELECT tl AS type_lower, target, {rule_reason('tl', 'target')} AS reason, {fb_reason('tl')} AS fallback_reason FROM e"""
 
 ORACLE["score_band"] = f"""WITH {CATALOG}, {RECS}
-SELECT source_id, rank, CASE WHEN score >= {config.SCORE_BAND_GREEN} THEN 'green' WHEN score >= {config.SCORE_BAND_YELLOW} THEN 'yellow'
+SELECT source_id, rank, CASE WHEN score >= {SCORE_BAND_GREEN} THEN 'green' WHEN score >= {SCORE_BAND_YELLOW} THEN 'yellow'
        ELSE 'red' END AS band, printf('%.1f%%', score * 100) AS score_pct FROM recs"""
 
 ORACLE["dup_pairs_planted"] = f"""WITH {CATALOG}, {PLANTED}, {PLANT_SRC}, {pairs_sql('cv', PLANT_T)}
@@ -403,13 +422,13 @@ ORACLE["catalog_with_images"] = f"""WITH {CATALOG}, {WITHIMG}
 SELECT id, productDisplayName, articleType, image_path, image_bytes FROM wi"""
 
 ORACLE["cap_sample"] = f"""WITH {CATALOG}, {WITHIMG}
-SELECT id, productDisplayName FROM wi ORDER BY md5(concat('{config.SAMPLE_SEED}:', CAST(id AS VARCHAR))), id LIMIT 500"""
+SELECT id, productDisplayName FROM wi ORDER BY md5(concat('{SAMPLE_SEED}:', CAST(id AS VARCHAR))), id LIMIT 500"""
 
 ORACLE["display_sample"] = f"""WITH {CATALOG}, {WITHIMG}
-SELECT id, image_path, CASE WHEN length(productDisplayName) > {config.NAME_LABEL_CHARS}
-       THEN concat(substr(productDisplayName, 1, {config.NAME_LABEL_CHARS - 1}), '…') ELSE productDisplayName END AS label
+SELECT id, image_path, CASE WHEN length(productDisplayName) > {NAME_LABEL_CHARS}
+       THEN concat(substr(productDisplayName, 1, {NAME_LABEL_CHARS - 1}), '…') ELSE productDisplayName END AS label
 FROM wi WHERE image_path IS NOT NULL AND coalesce(image_bytes, 0) > 0
-ORDER BY md5(concat('{config.DISPLAY_SEED}:', CAST(id AS VARCHAR))), id LIMIT {config.SAMPLE_DISPLAY}"""
+ORDER BY md5(concat('{DISPLAY_SEED}:', CAST(id AS VARCHAR))), id LIMIT {SAMPLE_DISPLAY}"""
 
 ORACLE["dq_counters"] = f"""WITH {CATALOG}, {CLEAN}, {IMAGES},
   a AS (SELECT (SELECT count(*) FROM raw) AS raw_n, (SELECT count(*) FROM nn) AS nn_n, (SELECT count(*) FROM ids) AS id_n,
@@ -439,7 +458,7 @@ SELECT query, id, productDisplayName FROM m WHERE rn = 1"""
 ORACLE["truncate_name"] = f"""WITH {CATALOG}
 SELECT id, CASE WHEN length(productDisplayName) > 10 THEN concat(substr(productDisplayName, 1, 9), '…')
                 ELSE productDisplayName END AS short_name,
-       left(productDisplayName, {config.NAME_DISPLAY_CHARS}) AS display_name,
+       left(productDisplayName, {NAME_DISPLAY_CHARS}) AS display_name,
        {title('productDisplayName')} AS title_name FROM catalog"""
 
 _PAL = ", ".join(_q(c) for c in config.COLOR_PALETTE)
@@ -459,10 +478,10 @@ SELECT (SELECT count(*) FROM final) AS total_products, (SELECT count(*) FROM raw
        (SELECT count(DISTINCT season) FROM final) AS seasons"""
 
 ORACLE["freq_master_category"] = freq("masterCategory", None)
-ORACLE["freq_article_type_top20"] = freq("articleType", config.TOP_ARTICLE_TYPES)
+ORACLE["freq_article_type_top20"] = freq("articleType", TOP_ARTICLE_TYPES)
 ORACLE["freq_usage"] = freq("usage", None)
-ORACLE["freq_colour_top15"] = freq("baseColour", config.TOP_COLOURS)
-ORACLE["chart_article_types"] = f"SELECT * FROM ({freq('articleType', config.TOP_ARTICLE_TYPES)}) ORDER BY n DESC, value LIMIT {config.CHART_TOP_TYPES}"
+ORACLE["freq_colour_top15"] = freq("baseColour", TOP_COLOURS)
+ORACLE["chart_article_types"] = f"SELECT * FROM ({freq('articleType', TOP_ARTICLE_TYPES)}) ORDER BY n DESC, value LIMIT {CHART_TOP_TYPES}"
 
 ORACLE["knn_centroid"] = f"""WITH {CATALOG},
   v AS (SELECT id, embedding::DOUBLE[] AS e FROM catalog WHERE embedding IS NOT NULL),
@@ -516,7 +535,7 @@ SELECT count(*) AS n_queries, round(avg(precision), 6) AS mean_precision FROM p"
 
 ORACLE["metrics_series"] = f"""WITH {CATALOG}, {NAMEQ},
   agg AS (SELECT query, avg(similarity) AS av FROM res GROUP BY query)
-SELECT left(qv.query, {config.QUERY_LABEL_CHARS}) AS label, round(coalesce(round(av, 4), 0.0) * 100, 6) AS avg_similarity_pct
+SELECT left(qv.query, {QUERY_LABEL_CHARS}) AS label, round(coalesce(round(av, 4), 0.0) * 100, 6) AS avg_similarity_pct
 FROM qv LEFT JOIN agg ON agg.query = qv.query"""
 
 def staged_hvec(name: str, table: str, id_col: str, text_col: str) -> str:
@@ -524,7 +543,7 @@ def staged_hvec(name: str, table: str, id_col: str, text_col: str) -> str:
     (tokens -> buckets -> counts -> norm), so nothing is re-evaluated per bucket."""
     toks = f"list_filter(string_split(lower({text_col}), ' '), lambda t: t <> '')"
     return f"""{name}_b AS MATERIALIZED (SELECT {id_col}, list_transform({toks}, lambda t: {bucket('t')}) AS bks FROM {table}),
-  {name}_c AS MATERIALIZED (SELECT {id_col}, list_transform(range({config.HASH_DIM}), lambda b: len(list_filter(bks, lambda x: x = b))::DOUBLE) AS c FROM {name}_b),
+  {name}_c AS MATERIALIZED (SELECT {id_col}, list_transform(range({HASH_DIM}), lambda b: len(list_filter(bks, lambda x: x = b))::DOUBLE) AS c FROM {name}_b),
   {name}_n AS MATERIALIZED (SELECT {id_col}, c, sqrt(list_sum(list_transform(c, lambda x: x * x))) AS n FROM {name}_c),
   {name} AS (SELECT {id_col}, list_transform(c, lambda x: x / (CASE WHEN n = 0 THEN 1.0 ELSE n END)) AS e FROM {name}_n)"""
 

@@ -495,8 +495,7 @@ def q_mean_precision(spark, sf):
 
 def q_metrics_series(spark, sf):
     m = srch.search_metrics(_name_queries(spark, sf), _name_search(spark, sf), 5)
-    return m.select(ft.prefix("query", config.QUERY_LABEL_CHARS).alias("label"),
-                    F.round(F.col("avg_similarity") * 100, R6).alias("avg_similarity_pct"))
+    return srch.metrics_series(m, None).withColumn("avg_similarity_pct", F.round("avg_similarity_pct", R6))
 
 
 # ---------------------------------------------------------------- rows-only (no SQL oracle)
