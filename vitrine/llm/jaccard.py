@@ -42,7 +42,7 @@ from .common import binary_column, shared, shuffle_partitions, total_bytes, unpa
 SHINGLE = 5
 PERCENT = 80
 ORDERS = (11, 22, 33)          # seeds of the tie hashes, one global order each
-CHUNK_TOKENS = 4 << 20         # sampled map-side chunk
+CHUNK_TOKENS = 2 << 20         # map-side chunk
 BUCKET_TOKENS = 2 << 20        # tokens counted by one reduce group
 TILE_TOKENS = 256 << 10        # tokens of one verification tile
 FILTER_BITS = 26               # fixed-size id filter: 2**26 bits, 8 MB at most
@@ -63,7 +63,7 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return total[end] - total[end - counts]
 
 
-def _chunk_batch(chunk: int, ids: pa.Array, keys: np.ndarray, counts: np.ndarray, buckets: int, schema: pa.Schema) -> pa.RecordBatch:
+def _chunk_batch(chunk: int, ids: pa.Array, keys: np.ndarray, counts: np.ndarray, buckets: int) -> pa.RecordBatch:
     nd = len(counts)
     doc = np.repeat(np.arange(nd, dtype=np.uint32), counts)
     s1, s2 = _sums(W.mix(keys ^ W.U64(0x51ED270B)), counts), _sums(W.mix(keys ^ W.U64(0x2545F491)), counts)
@@ -104,10 +104,10 @@ def _emitter(buckets: int, shingle: int):
                 keys.append(k), counts.append(c), ids.append(batch.column(0).slice(lo, hi - lo))
                 size += len(k)
                 if size >= CHUNK_TOKENS:
-                    yield _chunk_batch(part << 32 | seq, pa.concat_arrays(ids), np.concatenate(keys), np.concatenate(counts), buckets, None)
+                    yield _chunk_batch(part << 32 | seq, pa.concat_arrays(ids), np.concatenate(keys), np.concatenate(counts), buckets)
                     keys, counts, ids, size, seq = [], [], [], 0, seq + 1
         if ids:
-            yield _chunk_batch(part << 32 | seq, pa.concat_arrays(ids), np.concatenate(keys), np.concatenate(counts), buckets, None)
+            yield _chunk_batch(part << 32 | seq, pa.concat_arrays(ids), np.concatenate(keys), np.concatenate(counts), buckets)
     return emit
 
 
@@ -302,6 +302,7 @@ def _links(sets: DataFrame, percent: int) -> DataFrame:
     placed = cells.join(tiles, "cell").withColumn("tile", F.pmod(F.xxhash64("node"), "tiles"))
     pairs = (placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
              .withColumn("i", F.least("tile", "other")).withColumn("j", F.greatest("tile", "other")).drop("other", "tiles"))
+    pairs = pairs.repartition("cell", "i", "j")  # else the join on the cell would keep a big cell's tiles in one task
     return pairs.groupBy("cell", "i", "j").applyInArrow(_verifier(percent), "a long, b long")
 
 
