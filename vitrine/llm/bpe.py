@@ -20,8 +20,6 @@ from __future__ import annotations
 
 import hashlib
 import json
-import sys
-import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -148,6 +146,9 @@ class Bpe:
         """Encode fragments that the cache lacks."""
         pieces, owner = [], []
         for i, f in enumerate(fragments):
+            if f.isalpha() or f[:1] == b" " and f[1:].isalpha():  # ASCII letters only: one piece
+                pieces.append(f), owner.append(i)
+                continue
             found = self.pattern.findall(f.decode("utf-8"))
             pieces.extend(p.encode("utf-8") for p in found)
             owner.extend([i] * len(found))
@@ -212,8 +213,7 @@ class Bpe:
 
 def load(path: str) -> Bpe:
     """The tokenizer file, parsed once per process (kept outside the pickled kernels)."""
-    store = sys.modules.setdefault("_vitrine_process_cache", types.ModuleType("_vitrine_process_cache"))
-    kept = store.__dict__.setdefault("bpe", {})
+    kept = W.process_cache("bpe")
     if path not in kept:
         kept[path] = Bpe(path)
     return kept[path]

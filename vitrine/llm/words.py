@@ -8,6 +8,8 @@ probability about 2**-64.  Null texts count as empty.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,7 +17,7 @@ import pyarrow as pa
 
 U64 = np.uint64
 #: Texts are handled in slices of about this many bytes (one longer text is a slice of its own).
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
@@ -25,24 +27,22 @@ _LOWER[65:91] = _RAW[97:123]
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
-class _Tables(dict):
-    """Per-process tables; kernels that are pickled by value start with empty ones."""
-
-    def __reduce__(self):
-        return _Tables, ()
-
-
-_powers = _Tables()
+def process_cache(name: str) -> dict:
+    """A dictionary that lives as long as the process.  Kernels are pickled by value and unpickled for every
+    task, so what a module holds itself would be built again each time."""
+    store = sys.modules.setdefault("_vitrine_process_cache", types.ModuleType("_vitrine_process_cache"))
+    return store.__dict__.setdefault(name, {})
 
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if "n" not in _powers or len(_powers["n"]) < n:
+    powers = process_cache("word powers")
+    if "n" not in powers or len(powers["n"]) < n:
         size = max(n, SLICE_BYTES + (SLICE_BYTES >> 2))
         for name, base in (("n", _BASE), ("inv", pow(_BASE, -1, 1 << 64))):
             table = np.full(size, base, np.uint64)
             table[0] = 1
-            _powers[name] = np.multiply.accumulate(table)
-    return _powers["n"], _powers["inv"]
+            powers[name] = np.multiply.accumulate(table)
+    return powers["n"], powers["inv"]
 
 
 def mix(x: np.ndarray) -> np.ndarray:
