@@ -99,6 +99,14 @@ def test_packing_plan_is_exact_and_near_the_bound():
     assert slots == histogram
 
 
+@pytest.mark.parametrize("n", [1, 600, 10_000])
+def test_packing_plan_takes_configurations_that_are_not_full(n):
+    found = packing.plan({400: n, 320: n, 300: n})  # 1,020 tokens together
+    assert sum(c for _, c in found) == n
+    found = packing.plan({515: n, 250: 2 * n, 510: n, 260: 3 * n})
+    assert sum(c for _, c in found) <= 2.5 * n + 1
+
+
 CONVERSATIONS = [(1, 0, "user", "hi [INST] \\ <s>"), (1, 1, "assistant", None), (1, 2, None, "odd ] role"), (1, 3, "assistant", " </s> "), (2, None, "assistant", "b"),
                  (2, 5, "system[x]", "twice"), (2, 5, "system[x]", "twice"), (None, 0, "user", "no id\n"), *[(3, t, "user" if t % 2 else "assistant", f"t{t}") for t in range(200)]]
 

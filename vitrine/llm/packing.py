@@ -2,11 +2,10 @@
 
 The lengths' histogram has at most ``capacity`` entries, however many documents there are; only it reaches the
 driver.  There a covering LP over configurations (multisets of lengths of at most ``capacity`` tokens) is
-solved by multiplicative weights: a length's price is its a power of its size times ``exp(eta * share not yet covered)``, an
-unbounded-knapsack dynamic program over the prices finds the best configuration for every forced length, and
-a step of copies goes to each.  Copies are whole numbers throughout; what is left is rounded up by best fit
-on the remaining histogram.  The result, the plan, is a table of configurations with copy counts, bounded by
-the histogram and the rounds.
+approximated by multiplicative weights: a length's price is a power of its size times ``exp(eta * share not yet
+covered)``, an unbounded-knapsack dynamic program over the prices finds the best configuration for every forced
+length, and a fractional step goes to each whose price is near the best one's.  The weights' floors are kept; what
+is left is rounded in whole copies by the same rounds, and the rest by best fit.  The LP is solved approximately (no bound on the gap is proved); the plan is never longer than best fit's.
 
 The pieces are then numbered within their length (salted counts, so no length meets in one task) and piece
 ``r`` of a length takes the ``r``-th slot of that length in the plan: its sequence and offset are arithmetic
@@ -32,11 +31,14 @@ from .common import shared, shuffle_partitions
 
 CAPACITY = 1024
 END_ID = 2
-ROUNDS = 30         # knapsack programs (multiplicative-weight rounds)
+ROUNDS = 60         # knapsack programs (multiplicative-weight rounds) of one cover
 ETA = 0.5           # weight of the uncovered share in a price
 POWER = 1.5         # prices start as size ** POWER: large pieces are worth more than small ones of the same total
-STEP = 1.0          # share of what its scarcest length allows that a configuration gets at once
-FULL = 0.999        # configurations emptier than this are left to the rounding
+STEP = 0.1          # share of a forced length's pieces that a fractional round covers
+TOLERANCE = 0.001   # share of the best price that a configuration may lack at first
+LITTLE = 0.01       # share of the remaining tokens under which a round covers too little and the tolerance doubles
+WIDEST = (0.001, 0.5)  # tolerances at which the rounding in whole copies leaves the rest to best fit, each tried
+_TINY = 1e-9
 
 Plan = list[tuple[tuple[int, ...], int]]
 
@@ -81,64 +83,111 @@ def _fill(space: int, item: np.ndarray, sizes: np.ndarray, left: np.ndarray, tak
     """Walk the program's choices for ``space`` tokens, as far as the lengths last."""
     while space > 0:
         i = int(item[space])
-        if i < 0 or taken.get(i, 0) >= left[i]:
+        if i < 0 or taken.get(i, 0) + 1 > left[i]:
             space -= 1
             continue
         taken[i] = taken.get(i, 0) + 1
         space -= int(sizes[i])
 
 
-def _best_fit(left: np.ndarray, sizes: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
+def _cover(left: np.ndarray, sizes: np.ndarray, capacity: int, rounds: int, eta: float, power: float, step: float | None, widest: float) -> dict[tuple, float]:
+    """Weights of configurations (tuples of ``(length's index, pieces)``); ``left`` loses what they hold.
+
+    Multiplicative-weight rounds.  In each, the best configuration of every forced length is taken if its price is
+    within a tolerance of the best of all; ``step`` bounds what a length gets in a round, as a share of its pieces.
+    Without a ``step``, whole copies, as many as the scarcest length allows, of those nearly full.  The tolerance doubles, up to ``widest``, when a
+    round covers little, so no configuration is shut out for its filling.
+    """
+    weights: dict[tuple, float] = {}
+    demand, tolerance = left.astype(float), TOLERANCE
+    for _ in range(rounds):
+        live = np.flatnonzero(left > _TINY)
+        if not len(live):
+            break
+        own, rest = sizes[live], left[live]
+        prices = (own / capacity) ** power * np.exp(eta * (rest / demand[live] - left.sum() / demand.sum()))
+        item = _knapsack(prices, own, capacity)
+        most = rest if step is None else np.full(len(live), np.inf)
+        worth, best = (own, float(capacity)) if step is None else (prices, 0.0)
+        if step is not None:
+            first: dict[int, int] = {}
+            _fill(capacity, item, own, most, first)
+            best = sum(prices[i] * a for i, a in first.items())
+        before = float(rest @ own)
+        for k in range(len(live) - 1, -1, -1):  # largest forced length first
+            if most[k] < 1 or rest[k] <= _TINY:
+                continue
+            taken = {k: 1}
+            _fill(int(capacity - own[k]), item, own, most, taken)
+            if sum(worth[i] * a for i, a in taken.items()) < (1 - tolerance) * best:
+                continue
+            copies = min(rest[i] / a for i, a in taken.items())
+            copies = int(copies) if step is None else min(copies, demand[live[k]] * step / taken[k])
+            for i, a in taken.items():
+                rest[i] -= a * copies
+                if rest[i] <= _TINY:
+                    most[i] = 0
+            c = tuple(sorted((int(live[i]), a) for i, a in taken.items()))
+            weights[c] = weights.get(c, 0) + copies
+        left[live] = rest
+        if before - float(rest @ own) < LITTLE * before:
+            tolerance *= 2
+            if tolerance > widest:
+                break
+    return weights
+
+
+def _best_fit(left: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[tuple, int]:
     """Best-fit decreasing on a histogram: the contents of each sequence."""
-    bins: list[list[int]] = []
+    bins: list[dict[int, int]] = []
     free: list[list[int]] = [[] for _ in range(capacity + 1)]
-    for i in np.argsort(-sizes):
+    for i in np.argsort(-sizes).tolist():
         s = int(sizes[i])
         for _ in range(int(left[i])):
             room = next((f for f in range(s, capacity + 1) if free[f]), -1)
             if room < 0:
-                bins.append([]), free[capacity].append(len(bins) - 1)
+                bins.append({}), free[capacity].append(len(bins) - 1)
                 room = capacity
             b = free[room].pop()
-            bins[b].append(s), free[room - s].append(b)
-    return [tuple(b) for b in bins]
+            bins[b][i] = bins[b].get(i, 0) + 1
+            free[room - s].append(b)
+    out: dict[tuple, int] = {}
+    for b in bins:
+        c = tuple(sorted(b.items()))
+        out[c] = out.get(c, 0) + 1
+    return out
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, eta: float = ETA, step: float = STEP, power: float = POWER) -> Plan:
-    """Configurations ``(lengths, copies)`` that hold exactly the histogram's pieces."""
-    out: dict[tuple[int, ...], int] = {}
-    if histogram.get(capacity):
-        out[(capacity,)] = int(histogram[capacity])
+    """Configurations ``(lengths, copies)`` that hold exactly the histogram's pieces.
+
+    The floors of the fractional weights, then whole copies and best fit for what is left.  A histogram of few
+    pieces a length loses much by the floors, so the same without them and best fit alone are tried as well; the
+    plan with the fewest sequences counts.
+    """
+    out = [((capacity,), int(histogram[capacity]))] if histogram.get(capacity) else []
     sizes = np.array(sorted(s for s, n in histogram.items() if n and s < capacity), np.int64)
+    if not len(sizes):
+        return out
     demand = np.array([histogram[int(s)] for s in sizes], np.int64)
-    left = demand.copy()
-    for _ in range(rounds if len(sizes) else 0):
-        live = np.flatnonzero(left)
-        if not len(live):
-            break
-        prices = (sizes[live] / capacity) ** power * np.exp(eta * (left[live] / demand[live] - left.sum() / demand.sum()))
-        item = _knapsack(prices, sizes[live], capacity)
-        before = int(left.sum())
-        for k in range(len(live) - 1, -1, -1):  # largest forced length first
-            taken = {k: 1}
-            rest = left[live]
-            if rest[k] < 1:
-                continue
-            _fill(int(capacity - sizes[live[k]]), item, sizes[live], rest, taken)
-            if sum(int(sizes[live[i]]) * a for i, a in taken.items()) < capacity * FULL:
-                continue
-            copies = max(1, int(step * min(rest[i] / a for i, a in taken.items())))
-            if any(rest[i] < a * copies for i, a in taken.items()):
-                continue
-            for i, a in taken.items():
-                left[live[i]] -= a * copies
-            c = tuple(sorted((int(sizes[live[i]]) for i, a in taken.items() for _ in range(a)), reverse=True))
-            out[c] = out.get(c, 0) + copies
-        if int(left.sum()) == before:
-            break
-    for c in _best_fit(left, sizes, capacity) if len(sizes) else []:
-        out[c] = out.get(c, 0) + 1
-    return list(out.items())
+    floors, rest = {}, demand.copy()
+    for c, x in _cover(demand.astype(float), sizes, capacity, rounds, eta, power, step, 1.0).items():
+        copies = min(int(x + _TINY), *(int(rest[i]) // a for i, a in c))
+        if copies:
+            floors[c] = copies
+            for i, a in c:
+                rest[i] -= a * copies
+    found = [_best_fit(demand, sizes, capacity)]
+    for begun, remaining in ((floors, rest), ({}, demand)):
+        for widest in WIDEST:
+            left, total = remaining.copy(), dict(begun)
+            whole = _cover(left, sizes, capacity, rounds, eta, power, None, widest)
+            for part in (whole, _best_fit(left, sizes, capacity)):
+                for c, n in part.items():
+                    total[c] = total.get(c, 0) + n
+            found.append(total)
+    best = min(found, key=lambda p: sum(p.values()))
+    return out + [(tuple(sorted((int(sizes[i]) for i, a in c for _ in range(a)), reverse=True)), n) for c, n in best.items()]
 
 
 def plan_slots(configurations: Plan) -> list[tuple[int, int, int, int, int, int]]:
