@@ -107,6 +107,29 @@ def test_packing_plan_takes_configurations_that_are_not_full(n):
     assert sum(c for _, c in found) <= 2.5 * n + 1
 
 
+def test_best_fit_moves_equal_sequences_together():
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        sizes = np.unique(rng.integers(1, 100, 12))
+        left = rng.integers(1, 40, len(sizes))
+        bins, want = [], collections.Counter()
+        for s in np.repeat(sizes, left)[::-1].tolist():
+            room = min((100 - sum(b) for b in bins if sum(b) + s <= 100), default=None)
+            if room is None:
+                bins.append([s])
+            else:
+                next(b for b in bins if 100 - sum(b) == room).append(s)
+        found = packing._best_fit(left, sizes, 100)
+        for c, n in found.items():
+            for i, a in c:
+                want[i] += a * n
+            assert sum(int(sizes[i]) * a for i, a in c) <= 100
+        assert want == collections.Counter(dict(enumerate(left.tolist())))
+        assert sum(found.values()) == len(bins)
+    assert sum(c for _, c in packing.plan({700: 10**10, 650: 10**9})) == 11 * 10**9
+    assert len(packing.plan({s: 10**8 for s in range(600, 901)})) < 10_000
+
+
 CONVERSATIONS = [(1, 0, "user", "hi [INST] \\ <s>"), (1, 1, "assistant", None), (1, 2, None, "odd ] role"), (1, 3, "assistant", " </s> "), (2, None, "assistant", "b"),
                  (2, 5, "system[x]", "twice"), (2, 5, "system[x]", "twice"), (None, 0, "user", "no id\n"), *[(3, t, "user" if t % 2 else "assistant", f"t{t}") for t in range(200)]]
 

@@ -5,7 +5,9 @@ driver.  There a covering LP over configurations (multisets of lengths of at mos
 approximated by multiplicative weights: a length's price is a power of its size times ``exp(eta * share not yet
 covered)``, an unbounded-knapsack dynamic program over the prices finds the best configuration for every forced
 length, and a fractional step goes to each whose price is near the best one's.  The weights' floors are kept; what
-is left is rounded in whole copies by the same rounds, and the rest by best fit.  The LP is solved approximately (no bound on the gap is proved); the plan is never longer than best fit's.
+is left is rounded in whole copies by the same rounds, and the rest by best fit.  Equal sequences are handled
+together everywhere, so time and memory depend on the number of distinct lengths and the rounds, not on that of
+pieces.  The LP is solved approximately (no bound on the gap is proved); the plan is never longer than best fit's.
 
 The pieces are then numbered within their length (salted counts, so no length meets in one task) and piece
 ``r`` of a length takes the ``r``-th slot of that length in the plan: its sequence and offset are arithmetic
@@ -138,24 +140,35 @@ def _cover(left: np.ndarray, sizes: np.ndarray, capacity: int, rounds: int, eta:
 
 
 def _best_fit(left: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[tuple, int]:
-    """Best-fit decreasing on a histogram: the contents of each sequence."""
-    bins: list[dict[int, int]] = []
-    free: list[list[int]] = [[] for _ in range(capacity + 1)]
+    """Best-fit decreasing on a histogram: equal sequences are moved together, so the work depends on the number of
+    lengths and not on that of pieces."""
+    free: list[dict[tuple, int]] = [{} for _ in range(capacity + 1)]  # room -> contents -> sequences
+
+    def put(room: int, contents: tuple, i: int, pieces: int, copies: int) -> None:
+        level = free[room - pieces * int(sizes[i])]
+        contents = (*contents, (i, pieces))
+        level[contents] = level.get(contents, 0) + copies
     for i in np.argsort(-sizes).tolist():
-        s = int(sizes[i])
-        for _ in range(int(left[i])):
-            room = next((f for f in range(s, capacity + 1) if free[f]), -1)
-            if room < 0:
-                bins.append({}), free[capacity].append(len(bins) - 1)
-                room = capacity
-            b = free[room].pop()
-            bins[b][i] = bins[b].get(i, 0) + 1
-            free[room - s].append(b)
-    out: dict[tuple, int] = {}
-    for b in bins:
-        c = tuple(sorted(b.items()))
-        out[c] = out.get(c, 0) + 1
-    return out
+        s, n = int(sizes[i]), int(left[i])
+        room = s
+        while n:
+            while room < capacity and not free[room]:
+                room += 1
+            each = room // s  # best fit goes on with the sequence it has just filled
+            if room == capacity:
+                contents, count = (), -(-n // each)
+            else:
+                contents, count = free[room].popitem()
+            used = min(count, n // each)
+            if used:
+                put(room, contents, i, each, used)
+                n -= used * each
+            if n and used < count:
+                put(room, contents, i, n, 1)
+                used, n = used + 1, 0
+            if room < capacity and used < count:
+                free[room][contents] = count - used
+    return {tuple(sorted(c)): n for level in free[:capacity] for c, n in level.items()}
 
 
 def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, eta: float = ETA, step: float = STEP, power: float = POWER) -> Plan:
