@@ -3,6 +3,7 @@
 import collections
 import os
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -257,3 +258,20 @@ def test_jaccard_components(spark, rows, monkeypatch):
     monkeypatch.setattr(jaccard, "TILE_TOKENS", 4000)
     got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in rows_of(jaccard.jaccard_components(documents(spark, rows))))
     assert got == collections.Counter(components(rows))
+
+
+def test_verification_of_many_short_sets_is_bounded_in_memory():
+    n = 4000
+    apart = [[*range(5), 1000 + i] for i in range(n)]                       # 5 of 7 alike
+    near = [[*range(100, 119), 100_000 + i] for i in range(n)]              # 19 of 21 alike
+    tokens = [np.array(x, np.uint64) for x in apart + near]
+    rows = pa.table({"node": pa.array(range(2 * n), pa.int64()), "tile": pa.array([i % 2 for i in range(2 * n)], pa.int64()),
+                     "i": pa.array([0] * 2 * n, pa.int64()), "j": pa.array([1] * 2 * n, pa.int64()), "tokens": [x.tobytes() for x in tokens],
+                     "prefix": pa.array([x[:1].tolist() for x in tokens], pa.list_(pa.int64())), "others": [[x[1:2].tobytes()] for x in tokens]})
+    tracemalloc.start()
+    found = jaccard._verifier(80)(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+    links = list(zip(found["a"].to_pylist(), found["b"].to_pylist()))
+    assert all(a >= n and b >= n for a, b in links) and len(links) == n - 1 and len({x for pair in links for x in pair}) == n

@@ -237,24 +237,29 @@ def ordered_sets(packs: DataFrame, percent: int = PERCENT, seeds: tuple[int, ...
         _orderer(percent, seeds), "node long, n long, tokens binary, prefix array<long>, others array<binary>")
 
 
-def _overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
-    """Sizes of all intersections of two lists of sets, through an inverted index of the right ones."""
-    size = np.array([len(x) for x in right])
-    keys = np.concatenate(right) if len(right) else np.zeros(0, np.uint64)
+def _index(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, int]:
+    """Inverted index of a list of sets: sorted tokens and their owners."""
+    keys = np.concatenate(sets) if len(sets) else np.zeros(0, np.uint64)
     order = np.argsort(keys, kind="stable")
-    keys, owner = keys[order], np.repeat(np.arange(len(right)), size)[order]
-    out = np.zeros((len(left), len(right)), np.int64)
-    for i, x in enumerate(left):
-        lo, hi = np.searchsorted(keys, x, "left"), np.searchsorted(keys, x, "right")
-        length = hi - lo
-        at = np.repeat(lo - (np.cumsum(length) - length), length) + np.arange(length.sum())
-        out[i] = np.bincount(owner[at], minlength=len(right))
-    return out
+    return keys[order], np.repeat(np.arange(len(sets)), [len(x) for x in sets])[order], len(sets)
+
+
+def _overlaps(x: np.ndarray, index: tuple[np.ndarray, np.ndarray, int]) -> np.ndarray:
+    """Sizes of the intersections of one set with all sets of an index."""
+    keys, owner, n = index
+    lo, hi = np.searchsorted(keys, x, "left"), np.searchsorted(keys, x, "right")
+    length = hi - lo
+    at = np.repeat(lo - (np.cumsum(length) - length), length) + np.arange(length.sum())
+    return np.bincount(owner[at], minlength=n)
 
 
 def _verifier(percent: int):
     def verify(rows: pa.Table) -> pa.Table:
-        """One pair of tiles of a cell: a spanning forest of its links."""
+        """One pair of tiles of a cell: a spanning forest of its links.
+
+        One set at a time meets the sets it is not yet linked with, so memory is bounded by the tiles' tokens
+        however short the sets are.
+        """
         node = rows["node"].to_numpy()
         _, one = np.unique(node, return_index=True)
         rows, node = rows.take(pa.array(one)), node[one]
@@ -264,29 +269,27 @@ def _verifier(percent: int):
         others = rows["others"].to_pylist()
         a, b = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
         n = np.array([len(s) for s in sets])
-        passed = 100 * np.minimum(n[a][:, None], n[b][None]) >= percent * np.maximum(n[a][:, None], n[b][None])
         filters = [firsts] + [[np.frombuffer(x[o], np.uint64) for x in others] for o in range(len(others[0]) if others else 0)]
-        for f in filters:
-            if passed.any():
-                passed &= _overlaps([f[x] for x in a], [f[x] for x in b]) > 0
-        some = np.flatnonzero(passed.any(axis=1))
-        parent = list(range(len(node)))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
+        indexes = [_index([f[y] for y in b]) for f in filters]
+        every = _index([sets[y] for y in b])
+        tree = np.arange(len(node))
         left, right = [], []
-        if len(some):
-            common = _overlaps([sets[a[x]] for x in some], [sets[x] for x in b])
-            union = n[a[some]][:, None] + n[b][None] - common
-            hit = passed[some] & (100 * common >= percent * union)
-            for x, y in zip(*np.nonzero(hit)):
-                u, v = root(int(a[some[x]])), root(int(b[y]))
-                if u != v:
-                    parent[max(u, v)] = min(u, v)
-                    left.append(int(node[a[some[x]]])), right.append(int(node[b[y]]))
+        for x in a.tolist():
+            passed = (tree[b] != tree[x]) & (100 * np.minimum(n[x], n[b]) >= percent * np.maximum(n[x], n[b]))
+            for f, index in zip(filters, indexes):
+                if passed.any():
+                    passed &= _overlaps(f[x], index) > 0
+            if not passed.any():
+                continue
+            common = _overlaps(sets[x], every)
+            hit = b[passed & (100 * common >= percent * (n[x] + n[b] - common))]
+            trees, first = np.unique(tree[hit], return_index=True)
+            if len(trees):
+                left += [int(node[x])] * len(trees)
+                right += node[hit[first]].tolist()
+                to = np.arange(len(node))
+                to[trees] = tree[x]
+                tree = to[tree]
         return pa.table([pa.array(left, pa.int64()), pa.array(right, pa.int64())], names=["a", "b"])
     return verify
 
