@@ -32,13 +32,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of every near-duplicate group."""
-    found = jaccard.jaccard_components(docs.select("doc_id", "text"))
-    key = F.coalesce(F.col("doc_id"), F.lit(-(1 << 63)))
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(key.alias(f"{_OWN}key")).distinct()
-    one = Window.partitionBy(f"{_OWN}key", f"{_OWN}text").orderBy(F.lit(1))
-    return (docs.withColumn(f"{_OWN}key", key).withColumn(f"{_OWN}text", F.xxhash64("text")).join(stays, f"{_OWN}key")
-            .withColumn(f"{_OWN}row", F.row_number().over(one)).where(f"{_OWN}row = 1").select(*docs.columns))
+    """One document of every near-duplicate group: that with the smallest id (a null id only if no other has one).
+
+    Rows are told apart by a hash of id and text, so null and repeated ids are no obstacle; rows equal in both count once.
+    """
+    key, component = f"{_OWN}key", f"{_OWN}component"
+    rows = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    found = jaccard.jaccard_components(rows.select(F.col(key).alias("doc_id"), "text"))
+    found = found.groupBy(F.col("doc_id").alias(key)).agg(F.min("component_id").alias(component))
+    ids = rows.groupBy(key).agg(F.min("doc_id").alias("doc_id"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key)).alias("first")
+    stays = found.join(ids, key).groupBy(component).agg(first).select(F.col(f"first.{key}").alias(key))
+    one = Window.partitionBy(key).orderBy(F.lit(1))
+    return rows.join(stays, key).withColumn(f"{_OWN}row", F.row_number().over(one)).where(f"{_OWN}row = 1").select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -49,6 +49,14 @@ def test_awkward_rows_pass_the_stages(spark, sf):
         assert stage(spark, docs.limit(0), sf).count() == 0
 
 
+def test_one_document_of_a_group_stays_without_unique_ids(spark, sf):
+    def group(name, ids):
+        return [(i, " ".join([f"{name}{w}" for w in range(200)] + [f"{name}end{k}"])) for k, i in enumerate(ids)]
+    rows = group("a", [None, None]) + group("b", [None, 7]) + group("c", [8, 8, 3]) + group("d", [8, 9]) + group("e", [None]) * 2 + group("f", [3])
+    kept = [(r["doc_id"], r["text"][0]) for r in rows_of(corpus_pipeline.near_duplicate_stage(spark, documents(spark, rows), sf))]
+    assert sorted(kept, key=lambda r: r[1]) == [(None, "a"), (7, "b"), (3, "c"), (8, "d"), (None, "e"), (3, "f")]
+
+
 def test_language_accuracy_on_held_out_documents(spark, sf):
     docs = table(spark, sf, "documents")
     held = langid.held_out(docs["doc_id"])
