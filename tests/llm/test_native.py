@@ -46,6 +46,16 @@ def test_fingerprint_likeness_separates(spark):
     assert min(r["near_edited"] for r in got) > 0.55 and max(r["near_next"] for r in got) < 0.45
 
 
+def test_fingerprint_likeness_survives_an_inserted_word(spark):
+    for n in (400, 4000):
+        line = [f"word{i}" for i in range(n)]
+        texts = (" ".join(line), " ".join(["new", *line]), " ".join(line[1:]), " ".join([*line[:50], "new", *line[50:]]))
+        df = spark.createDataFrame([texts], "a string, b string, c string, d string")
+        for c in df.columns:
+            df = fp.with_vector(df, c, f"v_{c}")
+        assert min(df.select(*[fp.likeness(F.col("v_a"), F.col(f"v_{c}")) for c in "bcd"]).first()) > 0.85
+
+
 def test_native_plans_have_no_python(spark):
     docs = documents(spark, AWKWARD)
     pages = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")

@@ -3,10 +3,11 @@
 The fingerprint of a text is a vector of 60-bit words, the sum over its paragraphs (the text split at line
 feeds) of a wide vector hashed from each.  It has three parts:
 
-* the number of runs (see below),
+* the number of runs: a paragraph's words (joined by single spaces) cut after every word whose hash is 0 modulo ``RUN``,
+  so that an inserted or deleted word changes its own run only and all others stay aligned,
 * ``EXACT_SEEDS`` sums modulo 2**60 of seeded 64-bit hashes of the whole paragraphs: equality, and
-* ``SKETCH_SEEDS`` x 20 words of three 20-bit lanes, sums modulo 2**20 of one hash bit for every run of at most
-  ``RUN`` words inside a paragraph: likeness.
+* ``SKETCH_SEEDS`` x 20 words of three 20-bit lanes, sums modulo 2**20 of one hash bit for every run:
+  likeness.
 
 Sums do not depend on the order of paragraphs, and a paragraph is inserted or deleted by adding or subtracting
 its vector (``add``, ``subtract``); both stay modulo the powers.  Of a text and its paragraphs in another order
@@ -30,14 +31,14 @@ from pyspark.sql import functions as F
 from ..functions.ranges import quantile_cuts, range_bucket
 from .common import shuffle_partitions
 
-RUN = 8
+RUN = 8                                       # mean words of a run
 EXACT_SEEDS = (101, 102, 103, 104)
 SKETCH_SEEDS = (201, 202)
 _SHIFTS = 20                                  # words a seed; three lanes of 20 bits each
 _MASK = 1 | 1 << _SHIFTS | 1 << 2 * _SHIFTS
 _WORD = (1 << 60) - 1
 _LANE = (1 << _SHIFTS) - 1
-_RUNS = rf"[^\x20\x09-\x0D]+(?:[\x20\x09\x0B-\x0D]+[^\x20\x09-\x0D]+){{0,{RUN - 1}}}"
+_WORDS = r"\n|[^\x20\x09-\x0D]+"
 
 
 def _long(value: int) -> Column:
@@ -51,9 +52,11 @@ def _sum(a: Column, b: Column) -> Column:
 def with_vector(df: DataFrame, text: str, name: str) -> DataFrame:
     """Append the fingerprint vector of a text column, as ``array<bigint>``.
 
-    The runs are a column of their own, so that the pattern is matched once a text.
+    The runs are a column of their own, so that the patterns are matched once a text.
     """
-    df = df.withColumn("__runs", F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(_RUNS), F.lit(0)))
+    words = F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(_WORDS), F.lit(0))
+    ended = F.transform(words, lambda w: F.concat(w, F.when(F.pmod(F.xxhash64(w), F.lit(RUN)) == 0, "\n").otherwise(" ")))
+    df = df.withColumn("__runs", F.regexp_extract_all(F.array_join(ended, ""), F.lit(r"[^\x20\n][^\n]*"), F.lit(0)))
     paragraphs = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
     shifts = F.array(*[F.lit(j) for j in range(_SHIFTS)])
     zeros = F.array(*[_long(0)] * _SHIFTS)
