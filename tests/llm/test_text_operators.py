@@ -158,6 +158,30 @@ def test_rewriting_templates_are_detected():
     assert rewritten == -1 and [text[s[2]:s[3]] for s in spans] == ["a", "b"] and chat.read_back(text) == turns
 
 
+def test_templates_see_the_whole_conversation(spark):
+    def numbers(turns):
+        return "".join(f"{turns[0][0]}{i}:{t};" for i, (_, t) in enumerate(turns))
+
+    def forgets(turns):  # drops an early turn after turn 100
+        return chat.instruction_template(turns if len(turns) <= 100 else turns[:5] + turns[6:])
+    texts = {c: [f"c{c}t{t}" for t in range(200)] for c in (1, 2)}
+    rows = [(c, t * (1, 10)[c - 1], ("user", "assistant")[t % 2], text) for c in texts for t, text in enumerate(texts[c])]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = collections.defaultdict(list)
+    for r in sorted(rows_of(chat.formatted(df, numbers)), key=lambda r: r["chunk"]):
+        assert r["rewritten"] == -1
+        got[r["conv_id"]] += [(r["text"], [r["text"][a:b] for a, b in zip(r["starts"], r["ends"])])]
+    for c, own in texts.items():
+        assert "".join(x for x, _ in got[c]) == numbers([("user", t) for t in own]) and [t for _, ts in got[c] for t in ts] == own
+    found = chat.formatted(df, forgets)
+    for c, own in texts.items():
+        chunks = sorted(rows_of(found.where(f"conv_id = {c}")), key=lambda r: r["chunk"])
+        assert [r["rewritten"] for r in chunks] == [-1, 36, 0, 0]
+        assert [t for _, t in chat.read_back(chunks[-1]["text"])] == own[:5] + own[6:]
+        assert not any(x for r in chunks[1:] for x in r["starts"] + r["ends"])
+    assert all(r["rewrites_history"] and r["n_turns"] == 199 for r in rows_of(chat.digests(found)))
+
+
 @pytest.mark.parametrize("rows", ALL)
 @pytest.mark.parametrize("limit", [lm.MAX_FILTER_BYTES, 300])
 def test_lm_scores(spark, rows, limit):
