@@ -56,6 +56,18 @@ def test_fingerprint_likeness_survives_an_inserted_word(spark):
         assert min(df.select(*[fp.likeness(F.col("v_a"), F.col(f"v_{c}")) for c in "bcd"]).first()) > 0.85
 
 
+def test_fingerprint_words_are_seeded_first_and_lanes_keep_their_carries(spark, monkeypatch):
+    r = fp.with_vector(spark.createDataFrame([("p",)], "t string"), "t", "v").select("v", *[F.xxhash64(F.lit(s), F.lit("p")).bitwiseAND(fp._long(fp._WORD)) for s in fp.EXACT_SEEDS]).first()
+    assert r[0][1:5] == list(r[1:])
+    lanes = [fp._LANE] * 3
+    full = spark.range(1).select(fp._pack([F.lit(x).cast("long") for x in lanes]).alias("w")).first()["w"]
+    assert full == fp._LANES
+    head = [0] * (1 + len(fp.EXACT_SEEDS))
+    size = fp._SHIFTS * len(fp.SKETCH_SEEDS)
+    a, b = [4 * fp._LANE + 4, *head[1:], *[full] * size], [4 * fp._LANE + 6, *head[1:], *[0] * size]  # lanes one apart, one wrapped
+    assert spark.createDataFrame([(a, b)], "a array<bigint>, b array<bigint>").select(fp.likeness(F.col("a"), F.col("b"))).first()[0] > 0.999
+
+
 def test_native_plans_have_no_python(spark):
     docs = documents(spark, AWKWARD)
     pages = spark.createDataFrame([(1, "http://a.com/x")], "page_id long, url string")

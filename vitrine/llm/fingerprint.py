@@ -6,7 +6,7 @@ feeds) of a wide vector hashed from each.  It has three parts:
 * the number of runs: a paragraph's words (joined by single spaces) cut after every word whose hash is 0 modulo ``RUN``,
   so that an inserted or deleted word changes its own run only and all others stay aligned,
 * ``EXACT_SEEDS`` sums modulo 2**60 of seeded 64-bit hashes of the whole paragraphs: equality, and
-* ``SKETCH_SEEDS`` x 20 words of three 20-bit lanes, sums modulo 2**20 of one hash bit for every run:
+* ``SKETCH_SEEDS`` x 20 words of three 20-bit lanes, sums modulo 2**19 (no carry leaves a lane) of one hash bit for every run:
   likeness.
 
 Sums do not depend on the order of paragraphs, and a paragraph is inserted or deleted by adding or subtracting
@@ -37,7 +37,8 @@ SKETCH_SEEDS = (201, 202)
 _SHIFTS = 20                                  # words a seed; three lanes of 20 bits each
 _MASK = 1 | 1 << _SHIFTS | 1 << 2 * _SHIFTS
 _WORD = (1 << 60) - 1
-_LANE = (1 << _SHIFTS) - 1
+_LANE = (1 << _SHIFTS - 1) - 1                # a lane counts modulo 2**19; its top bit takes the carry and is cleared
+_LANES = _LANE * _MASK
 _WORDS = r"\n|[^\x20\x09-\x0D]+"
 
 
@@ -62,12 +63,12 @@ def with_vector(df: DataFrame, text: str, name: str) -> DataFrame:
     zeros = F.array(*[_long(0)] * _SHIFTS)
 
     def exact(seed: int) -> Column:
-        return F.aggregate(paragraphs, _long(0), lambda total, p: _sum(total, F.xxhash64(p, F.lit(seed)).bitwiseAND(_long(_WORD))))
+        return F.aggregate(paragraphs, _long(0), lambda total, p: _sum(total, F.xxhash64(F.lit(seed), p).bitwiseAND(_long(_WORD))))
 
     def sketch(seed: int) -> Column:
         hashes = F.transform("__runs", lambda run: F.xxhash64(run, F.lit(seed)))
         return F.aggregate(hashes, zeros, lambda total, h: F.zip_with(
-            total, shifts, lambda t, j: _sum(t, F.call_function("shiftright", h, j).bitwiseAND(_long(_MASK)))))
+            total, shifts, lambda t, j: (t + F.call_function("shiftright", h, j).bitwiseAND(_long(_MASK))).bitwiseAND(_long(_LANES))))
     return df.withColumn(name, F.concat(F.array(F.size("__runs").cast("long"), *map(exact, EXACT_SEEDS)), *map(sketch, SKETCH_SEEDS))).drop("__runs")
 
 
@@ -113,7 +114,7 @@ def likeness(a: Column, b: Column) -> Column:
 
     def add_squares(total: Column, pair: Column) -> Column:
         for p, q in zip(_lanes(pair["x"]), _lanes(pair["y"])):
-            d = (2 * p - na) - (2 * q - nb)
+            d = (2 * (p - q) - (na - nb) + _LANE + 1).bitwiseAND(_long(2 * _LANE + 1)) - (_LANE + 1)  # modulo 2**20, around 0
             total = total + (d * d).cast("double")
         return total
     apart = F.aggregate(between, F.lit(0.0), add_squares) / (3 * size)
