@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, fingerprint, jaccard, langid, lm, packing, quality, sharding, urls
+from . import align, bpe, chat, fingerprint, jaccard, langid, lm, packing, periods, quality, sharding, urls, warc
 from .common import table
 
 
@@ -68,6 +68,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score", "ambiguous")
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.aligned(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.digests(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages", "page_id", "url", "html"))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_multiset_fingerprints": op1_multiset_fingerprints,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -79,6 +91,9 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_ngram_jaccard_join": op9_ngram_jaccard_join,
     "op10_language_id": op10_language_id,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_warc": op13_warc,
 }
 ORACLE: dict[str, str] = {
     "op6_url_rules": r"""
@@ -94,4 +109,15 @@ fit AS (
          row_number() OVER (PARTITION BY page_id, host, path ORDER BY length(h) DESC NULLS LAST, length(p) DESC) AS n
   FROM part LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p))
 SELECT page_id, host, path, rule, coalesce(v, 'allow') AS verdict FROM fit WHERE n = 1""",
+    "op13_warc": """
+WITH page AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+coded AS (  -- five hexadecimal digits are four base32 characters
+  SELECT page_id, payload_bytes, min(page_id) OVER (PARTITION BY hex) AS least, list_aggregate(list_transform(range(32), lambda i:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           (CAST('0x' || substr(hex, 1 + 5 * (i // 4), 5) AS BIGINT) >> CAST(5 * (3 - i % 4) AS BIGINT)) % 32 + 1, 1)), 'string_agg', '') AS payload_digest
+  FROM page)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = least OR least IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> least OR page_id IS NULL THEN least END AS refers_to
+FROM coded""",
 }
