@@ -101,14 +101,16 @@ def test_alignment_lists(spark):
         assert r["a_group"][0] == r["b_group"][0] == 0 and r["a_group"][-1] == r["b_group"][-1] == len(set(end_a) & set(end_b)) - 1
 
 
-def test_long_texts_are_cut_where_runs_of_spaces_begin(monkeypatch):
+def test_texts_fall_apart_where_runs_of_spaces_begin(monkeypatch):
     tokens = align.load(*align.default_paths())
     rng = random.Random(1)
-    text = "".join(rng.choice(["word", "  ", " ", "\n", "日本", ".", "      "]) for _ in range(3000))
-    whole = tokens.encode_b([text])[0]
-    monkeypatch.setattr(align, "PIECE_CHARS", 50)
-    assert len(tokens._parts(text)) > 50
-    assert (tokens.encode_b([text])[0] == whole).all()
+    texts = ["".join(rng.choice(["word", "  ", " ", "\n", "日本", ".", "      ", "a"]) for _ in range(rng.randint(1, 300))) for _ in range(200)] + [" ", "   ", "x "]
+    whole = [tokens.b.encode(t) for t in texts]
+    column = pa.array([" " + t for t in texts])
+    monkeypatch.setattr(align, "CACHE_FRAGMENTS", 10)
+    assert [x.tolist() for x in tokens.encode_b(column)] == whole
+    monkeypatch.setattr(tokens, "cuttable", False)
+    assert [x.tolist() for x in tokens.encode_b(column)] == whole
 
 
 def test_alignment_of_no_rows(spark):

@@ -31,9 +31,10 @@ from . import words as W
 from .bpe import Bpe
 from .common import shared
 
-CHUNK_BYTES = 8 << 20   # text of one chunk, at least one document
+CHUNK_BYTES = 2 << 20   # text of one chunk, at least one document
 LANE_BYTES = 2048       # a lane ends at the first common end after so many bytes
-PIECE_CHARS = 1 << 16   # longer texts go to the piece tokenizer in parts of about this length
+CACHE_FRAGMENTS = 300_000  # fragments that the piece tokenizer's cache holds, per process
+LEARN_BYTES = 1 << 15   # text that the piece tokenizer gets at once
 _NEXT_ENDS = 32         # A ends that are tried for a lane's end
 
 _BYTE_PIECE = re.compile(r"<0x([0-9A-F]{2})>")
@@ -51,42 +52,63 @@ class Tokenizers:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(m[1], 16)]) if (m := _BYTE_PIECE.fullmatch(p)) and self.b.is_byte(i)
                         else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        # No piece holds a space behind another character: a text may be cut wherever a run of spaces begins.
+        # No piece holds a space behind another character: a text falls apart wherever a run of spaces begins.
         self.cuttable = not any("▁" in p.lstrip("▁") for p in pieces)
+        self.cache: dict[bytes, bytes] = {}
+        self.space = self.b.piece_to_id("▁")
         self.size_a = np.array([len(t) for t in self.bytes_a], np.int64)
         self.size_b = np.array([len(t) for t in self.bytes_b], np.int64)
         n = max(len(self.bytes_a), len(self.bytes_b))
         self.decimal = [b"%d%s" % (i, mark) for i in range(n) for mark in (b",", b"|", b";")]
 
-    def _parts(self, text: str) -> list[str]:
-        parts, at = [], 0
-        while self.cuttable and len(text) - at > PIECE_CHARS:
-            end = text.find(" ", at + PIECE_CHARS)
-            while end > 0 and text[end - 1] == " ":  # inside a run of spaces: on to the next run
-                run = end
-                while run < len(text) and text[run] == " ":
-                    run += 1
-                end = text.find(" ", run)
-            if end < 0:
-                break
-            parts.append(text[at:end])
-            at = end + 1  # B adds this space itself
-        parts.append(text[at:])
-        return parts
-
-    def encode_b(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [self._parts(t) for t in texts]
-        flat = iter(self.b.encode([p for ps in parts for p in ps], num_threads=1))
-        return [np.array([i for _ in ps for i in next(flat)], np.int64) for ps in parts]
+    def _learn_b(self, new: list[bytes]) -> None:
+        """Encode fragments, many behind one another in one text: its tokens end where the fragments do."""
+        size = np.array([len(f) for f in new], np.int64)
+        group = (np.cumsum(size) - size) // LEARN_BYTES if self.cuttable else np.arange(len(new))
+        bounds = np.append(np.searchsorted(group, np.unique(group)), len(new)).tolist()
+        texts = [b"".join(new[x:y]) for x, y in zip(bounds, bounds[1:])]
+        for x, y, t, ids in zip(bounds, bounds[1:], texts, self.b.encode([t[1:].decode() for t in texts], num_threads=1)):
+            ids = np.array(ids, np.uint32)
+            end = np.cumsum(self.size_b[ids])
+            cut = np.cumsum(size[x:y])
+            at = np.searchsorted(end, cut) + 1
+            if len(end) and end[-1] == len(t) and (end[at - 1] == cut).all():
+                for f, a, b in zip(new[x:y], [0, *at.tolist()], at.tolist()):
+                    self.cache[f] = ids[a:b].tobytes()
+            else:  # a literal U+2581, or nothing behind the space (B gives an empty text no token)
+                for f in new[x:y]:
+                    self.cache[f] = np.array(self.b.encode(f[1:].decode()) if len(f) > 1 else [self.space], np.uint32).tobytes()
+
+    def encode_b(self, column: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of B for every text of a column whose texts begin with the space that B would add."""
+        for _, _, data, off in W.slices(column):
+            begin = np.zeros(len(data), bool)
+            if self.cuttable:
+                begin = data == 0x20
+                begin[1:] &= data[:-1] != 0x20
+            begin[off[:-1]] = True
+            cuts = np.append(np.flatnonzero(begin), len(data))
+            raw, place = data.tobytes(), cuts.tolist()
+            fragments = [raw[x:y] for x, y in zip(place, place[1:])]
+            if len(self.cache) > CACHE_FRAGMENTS:
+                self.cache.clear()
+            found = list(map(self.cache.get, fragments))
+            if None in found:
+                self._learn_b(list({f for f, known in zip(fragments, found) if known is None}))
+                found = list(map(self.cache.__getitem__, fragments))
+            first = np.searchsorted(cuts, off).tolist()
+            for x, y in zip(first, first[1:]):
+                yield np.frombuffer(b"".join(found[x:y]), np.uint32)
 
     def encode(self, texts: list[str | None]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Ids of A and B per text; both empty where the text is, or where the tokens' bytes are not those of a space and the text."""
-        none = np.zeros(0, np.int64)
+        none = np.zeros(0, np.uint32)
         out_a, out_b = [none] * len(texts), [none] * len(texts)
         some = [i for i, t in enumerate(texts) if t]
         raw = [" " + texts[i] for i in some]
-        for i, t, a, b in zip(some, raw, self.a.encode(pa.array(raw, pa.string())), self.encode_b([texts[i] for i in some])):
-            data, a = t.encode(), a.astype(np.int64)
+        column = pa.array(raw, pa.string())
+        for i, t, a, b in zip(some, raw, self.a.encode(column), self.encode_b(column)):
+            data = t.encode()
             if (b"".join([self.bytes_a[x] for x in a.tolist()]) == data
                     and b"".join([self.bytes_b[x] for x in b.tolist()]) == data):
                 out_a[i], out_b[i] = a, b
@@ -145,8 +167,8 @@ class Alignment:
         ids_a, ids_b = tokens.encode(texts)
         self.first_a = np.concatenate([[0], np.cumsum([len(x) for x in ids_a])]).astype(np.int64)
         self.first_b = np.concatenate([[0], np.cumsum([len(x) for x in ids_b])]).astype(np.int64)
-        none = [np.zeros(0, np.int64)]
-        self.a, self.b = np.concatenate(ids_a + none), np.concatenate(ids_b + none)
+        none = [np.zeros(0, np.uint32)]
+        self.a, self.b = (np.concatenate(x + none).astype(np.int64) for x in (ids_a, ids_b))
         self.end_a, self.end_b = np.cumsum(tokens.size_a[self.a]), np.cumsum(tokens.size_b[self.b])
         self.link_a, self.link_b, cut = lockstep(self.end_a, self.end_b, *lanes(self.end_a, self.end_b, self.first_a, self.first_b, lane_bytes))
         self.last_a, self.last_b = np.zeros(len(self.a), bool), np.zeros(len(self.b), bool)  # last of its group
