@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .common import shared, shuffle_partitions
 
-TILE_WORDS = 2048       # words of a tile of the small octaves, without its overlap
+TILE_WORDS = 4096       # words of a tile of the small octaves, without its overlap
 MIN_WORDS, MIN_PERIODS = 6, 4
 _PAIRS = 1 << 20        # (boundary, shift) pairs looked at together
 
@@ -204,8 +204,9 @@ def planted_order(doc_id: int | None, n: int) -> np.ndarray | None:
 _RESULT = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
 _RESULT_DDL = ("doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, "
                "runs_sha256 string, collapsed_sha256 string, run_start array<bigint>, run_length array<bigint>, run_period array<bigint>")
-_SCAN_DDL = _RESULT_DDL + ", kind int, row bigint, n bigint, tile_start bigint, octave_low int, octave_high int, words binary"
-_DONE, _LONG, _TILE = 0, 1, 2
+_SCAN_DDL = _RESULT_DDL + ", kind int, row bigint, n bigint, words binary"
+_TILE_DDL = "row bigint, n bigint, tile_start bigint, octave_low int, octave_high int, words binary"
+_DONE, _LONG = 0, 1
 
 
 _NO_RUNS = hashlib.sha256(b"").hexdigest()
@@ -239,7 +240,7 @@ def _schema(ddl: str) -> pa.Schema:
 
 
 def _scan_kernel(tile_words: int, planted: bool):
-    """Rows ``(row, doc_id, text)``: documents of one tile are finished, longer ones give their words and their tiles."""
+    """Rows ``(row, doc_id, text)``: documents of one tile are finished, longer ones give their words."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = _schema(_SCAN_DDL)
         for b in batches:
@@ -276,13 +277,28 @@ def _scan_kernel(tile_words: int, planted: bool):
                     text = b" ".join(words)
                     out.append({"kind": _LONG, "row": rows[i], "doc_id": doc_id, "n": len(text),
                                 "words": pa.compress(text, codec="zstd", asbytes=True)})
-                    mine = keys[bounds[i]: bounds[i + 1]]
-                    for start, end, low, high in tile_plan(len(words), tile_words):
-                        # (the keys of a tile, numbered within it: equal words, equal numbers)
-                        number = np.unique(mine[start:end], return_inverse=True)[1]
-                        number = number.astype(np.uint16 if len(number) <= 1 << 16 else np.uint32)
-                        out.append({"kind": _TILE, "row": rows[i], "n": end - start, "tile_start": start, "octave_low": low,
-                                    "octave_high": high, "words": number.tobytes()})
+                yield _as_batch(out, schema)
+    return run
+
+
+def _number_type(n: int) -> type:
+    return np.uint16 if n <= 1 << 16 else np.uint32
+
+
+def _explode_kernel(tile_words: int):
+    """Long documents ``(row, n, words)`` to their tiles, words numbered within a tile (equal words, equal numbers)."""
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = _schema(_TILE_DDL)
+        for b in batches:
+            for r in range(b.num_rows):
+                row, size, packed = (b.column(k)[r].as_py() for k in range(3))
+                text = pa.decompress(packed, decompressed_size=size, codec="zstd", asbytes=True)
+                keys, _ = W.word_keys(np.frombuffer(text, np.uint8), np.array([0, size]), False)
+                out = []
+                for start, end, low, high in tile_plan(len(keys), tile_words):
+                    number = np.unique(keys[start:end], return_inverse=True)[1].astype(_number_type(end - start))
+                    out.append({"row": row, "n": end - start, "tile_start": start, "octave_low": low, "octave_high": high,
+                                "words": pa.compress(number.tobytes(), codec="zstd", asbytes=True)})
                 yield _as_batch(out, schema)
     return run
 
@@ -294,7 +310,8 @@ def _tile_kernel(batches):
         for at in range(0, b.num_rows, 64):
             part = {k: c[at: at + 64] for k, c in col.items()}
             n = part["n"].to_numpy()
-            number = [np.frombuffer(w, np.uint16 if m <= 1 << 16 else np.uint32) for w, m in zip(part["words"].to_pylist(), n.tolist())]
+            number = [np.frombuffer(pa.decompress(w, decompressed_size=m * np.dtype(_number_type(m)).itemsize, codec="zstd", asbytes=True), _number_type(m))
+                      for w, m in zip(part["words"].to_pylist(), n.tolist())]
             keys = W.mix(np.concatenate(number).astype(np.uint64) + W.U64(1))
             first = np.concatenate([[0], np.cumsum(n)])
             tile, p, low, high = solve(keys, first, part["octave_low"].to_numpy().astype(np.int64), part["octave_high"].to_numpy().astype(np.int64))
@@ -338,7 +355,7 @@ def detected(docs: DataFrame, tile_words: int = TILE_WORDS, planted: bool = Fals
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     scan = shared(base.mapInArrow(_scan_kernel(tile_words, planted), _SCAN_DDL), "periods")
     result = [f.name for f in _schema(_RESULT_DDL)]
-    tiles = scan.where(F.col("kind") == _TILE).select("row", "n", "tile_start", "octave_low", "octave_high", "words")
+    tiles = scan.where(F.col("kind") == _LONG).select("row", "n", "words").mapInArrow(_explode_kernel(tile_words), _TILE_DDL)
     tiles = tiles.repartition(shuffle_partitions(spark), "row", "tile_start", "octave_low")
     runs = (stitched(tiles.mapInArrow(_tile_kernel, "row bigint, period bigint, low bigint, high bigint"))
             .groupBy("row").agg(F.sort_array(F.collect_list(F.struct("start", "length", "period"))).alias("runs")))
