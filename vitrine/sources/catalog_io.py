@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import config
 from ..operators.clean import inventory_from_files, null_tokens_to_null
+from .split_csv import read_records
 
 EXTRA = "_extra_field"
 
@@ -26,11 +27,15 @@ def _header(spark: SparkSession, path: str) -> list[str]:
     return [c.strip() for c in next(csv.reader([first[0][0]]))]
 
 
-def read_catalog_csv(spark: SparkSession, path: str, null_tokens=config.NULL_TOKENS) -> DataFrame:
+def read_catalog_csv(spark: SparkSession, path: str, null_tokens=config.NULL_TOKENS, splittable: bool = True) -> DataFrame:
     """Catalog CSV (S1-S3): UTF-8, header, quoted fields with embedded
     newlines; rows with too many fields are skipped, short rows are kept
     null-padded; null tokens become NULL; ``src_pos`` keeps file order.
 
+    Files are read in splits (:mod:`.split_csv`); ``splittable=False`` uses
+    Spark's multi-line reader, one task a file, with the same rows and order.
+    Blank lines are no records; line ends are ``\\n`` or ``\\r\\n``.
+
     Too-long rows are detected with a sentinel column appended to the
     schema (set only when a row has an extra field); ``DROPMALFORMED``
     would also drop the short rows.
@@ -42,14 +47,19 @@ def read_catalog_csv(spark: SparkSession, path: str, null_tokens=config.NULL_TOK
             raise
         raise CatalogNotFound(f"catalog CSV not found at {path!r}: download the catalog and place it there") from e
     schema = StructType([StructField(c, StringType()) for c in cols] + [StructField(EXTRA, StringType())])
-    df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-          .option("multiLine", True).option("escape", '"').option("nullValue", None).csv(path))
-    # Order over several files: by file name, then by row.  A multi-line file is one split, so the low bits of
-    # the increasing id count up inside it; the file list (one row a file) gives the files' order.
-    files = sorted(df.inputFiles())
+    if splittable:
+        found = read_records(spark, path).where("record > 0")  # record 0 is the header
+        parsed = F.from_csv("text", F.lit(", ".join(f"`{f.name.replace('`', '``')}` STRING" for f in schema)), {"mode": "PERMISSIVE", "escape": '"'})
+        df = found.select(parsed.alias("r"), (F.col("record") - 1).alias("_row"), F.col("file").alias("_file")).select("r.*", "_row", "_file")
+    else:
+        df = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+              .option("multiLine", True).option("escape", '"').option("nullValue", None).csv(path))
+        # A multi-line file is one split, so the low bits of the increasing id count up inside it.
+        row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+        df = df.withColumn("_row", row).withColumn("_file", F.input_file_name())
+    # Order over several files: by file name, then by row; the file list (one row a file) gives the files' order.
+    files = sorted(spark.read.text(path).inputFiles())
     rank = spark.createDataFrame(list(enumerate(files)), "_rank BIGINT, _file STRING")
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    df = df.withColumn("_row", row).withColumn("_file", F.input_file_name())
     df = df.where(F.col(EXTRA).isNull()).drop(EXTRA).join(rank, "_file")
     df = df.withColumn("src_pos", F.shiftleft("_rank", 33) + F.col("_row")).drop("_file", "_row", "_rank")
     return null_tokens_to_null(df, null_tokens) if null_tokens else df
@@ -64,7 +74,7 @@ def image_inventory(spark: SparkSession, image_dir: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV export with a header, one part file per partition."""
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 def export_unique_catalog(unique: DataFrame, path: str) -> None:
