@@ -19,10 +19,12 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.text import or_unknown
-from ..functions.vectors import dot, sq_norm
+from ..functions.vectors import sq_norm
+from ..session import stored
 from .blocks import threshold_self_join
 from .components import connected_components
 from .ordinal import ordinal
+from .pivots import pruned_pairs
 
 
 def _pos(df: DataFrame) -> str:
@@ -30,12 +32,13 @@ def _pos(df: DataFrame) -> str:
 
 
 def duplicate_pairs(vecs: DataFrame, threshold: float = config.DUPLICATE_SIMILARITY_THRESHOLD,
-                    id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
-    """All pairs ``id_a < id_b`` with cosine >= threshold (exact)."""
+                    id_col: str = "id", vec_col: str = "embedding", method: str = "blocks") -> DataFrame:
+    """All pairs ``id_a < id_b`` with cosine >= threshold (exact); ``method="pivots"`` skips block pairs that cannot
+    reach the threshold (large catalogs with clusters)."""
     if threshold <= 0:
         raise ValueError("threshold must be > 0 (zero vectors are dropped before the join)")
     v = vecs.where(F.col(vec_col).isNotNull() & (sq_norm(vec_col) > 0)).select(id_col, vec_col)
-    return threshold_self_join(v, threshold, id_col, vec_col)
+    return (pruned_pairs if method == "pivots" else threshold_self_join)(v, threshold, id_col, vec_col)
 
 
 def duplicate_links(vecs: DataFrame, threshold: float = config.DUPLICATE_SIMILARITY_THRESHOLD,
@@ -54,7 +57,13 @@ def duplicate_links(vecs: DataFrame, threshold: float = config.DUPLICATE_SIMILAR
     return threshold_self_join(rest, threshold, "id", vec_col, forest=True).unionByName(tied)
 
 
-def _sign_hashes(bands: int, bits: int, seed: int):
+LSH_TILE = 512      # rows of one bucket tile
+LSH_SALTS = 32      # parts over which a bucket's rows are counted
+
+
+def _sign_hashes(bands: int, bits: int, probes: int, seed: int):
+    """Rows ``(id, vector)`` to ``(id, band, h, home)``: the bucket of each band, and as a visitor those that differ
+    in one of the ``probes`` least certain signs."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
@@ -66,32 +75,93 @@ def _sign_hashes(bands: int, bits: int, seed: int):
             x = v.flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
             if planes is None:
                 planes = np.random.default_rng(seed).standard_normal((x.shape[1], bands * bits))
-            sign = ((x @ planes) > 0).reshape(-1, bands, bits)
-            h = (sign * (1 << np.arange(bits))).sum(axis=2)
-            n = b.num_rows
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), bands)),
-                                              pa.array(np.tile(np.arange(bands), n)), pa.array(h.reshape(-1))], names=["id", "band", "h"])
+            side = (x @ planes).reshape(-1, bands, bits)
+            home = ((side > 0) * (1 << np.arange(bits))).sum(axis=2)
+            near = np.argsort(np.abs(side), axis=2, kind="stable")[:, :, :probes]
+            h = np.concatenate([home[:, :, None], home[:, :, None] ^ (1 << near)], axis=2)
+            each = bands * (probes + 1)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(b.column(0).to_numpy(zero_copy_only=False), each)), pa.array(np.tile(np.repeat(np.arange(bands), probes + 1), b.num_rows)),
+                 pa.array(h.reshape(-1)), pa.array(np.tile(np.arange(probes + 1) == 0, b.num_rows * bands))], names=["id", "band", "h", "home"])
     return run
 
 
-def lsh_pairs(vecs: DataFrame, threshold: float = config.DUPLICATE_SIMILARITY_THRESHOLD, bits: int = 12,
-              recall: float = 0.98, seed: int = 7, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
-    """Approximate pairs by banded random-hyperplane signs.
+def lsh_bands(threshold: float, bits: int, probes: int, recall: float, trials: int = 20_000, seed: int = 11) -> int:
+    """Bands that find a pair at the threshold with probability ``recall``: by simulated pairs of that angle, since a
+    pair is met where all signs agree or where one differs that either row is least sure of."""
+    import numpy as np
+    rng = np.random.default_rng(seed)
+    t = min(threshold, 1.0)
+    a = rng.standard_normal((trials, bits))
+    b = t * a + math.sqrt(1 - t * t) * rng.standard_normal((trials, bits))
+    differ = (a > 0) != (b > 0)
+    n = differ.sum(axis=1)
+    unsure = [(np.argsort(np.abs(x), axis=1, kind="stable").argsort(axis=1) < probes) & differ for x in (a, b)]
+    met = ((n == 0) | (n == 1) & (unsure[0] | unsure[1]).any(axis=1)).mean()
+    return 1 if met >= 1 else max(1, math.ceil(math.log(1 - recall) / math.log(1 - max(met, 1 / trials))))
 
-    Two vectors of cosine t agree in one sign with probability
-    ``1 - acos(t) / pi``, so the number of bands of ``bits`` signs follows from
-    the recall wanted at the threshold.  Candidates agree in a whole band and
-    are verified by their inner product: pairs can be missed, never invented.
+
+def _tile_pairs(threshold: float):
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+        for b in batches:
+            for i in range(b.num_rows):
+                ids_a, ids_b, home_a, home_b = (b.column(k)[i].values.to_numpy(zero_copy_only=False) for k in (0, 2, 4, 5))
+                x, y = (b.column(k)[i].values.to_numpy(zero_copy_only=False).reshape(n, -1) for k, n in ((1, len(ids_a)), (3, len(ids_b))))
+                sim = x.astype(np.float64) @ y.T.astype(np.float64)
+                hit = (sim >= threshold) & (home_a[:, None] | home_b[None, :]) & (ids_a[:, None] != ids_b[None, :])
+                p, q = np.nonzero(hit)
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(ids_a[p], ids_b[q])), pa.array(np.maximum(ids_a[p], ids_b[q])), pa.array(sim[p, q])],
+                                                 names=["id_a", "id_b", "sim"])
+    return run
+
+
+def equal_vectors(vecs: DataFrame, id_col: str = "id", vec_col: str = "embedding") -> tuple[DataFrame, DataFrame]:
+    """``(representatives (id, v), members (id, first))``: rows with equal vectors (by a 128-bit hash) have one
+    representative, the smallest id; ``members`` lists the others."""
+    hashed = vecs.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v"),
+                         F.xxhash64(vec_col).alias("_h"), F.xxhash64(vec_col, F.lit(1)).alias("_g"))
+    salted = hashed.select("id", "_h", "_g", F.pmod(F.xxhash64("id"), F.lit(LSH_SALTS)).alias("_s"))
+    least = salted.groupBy("_h", "_g", "_s").agg(F.min("id").alias("least"))
+    first = least.groupBy("_h", "_g").agg(F.min("least").alias("first"))
+    back = least.select("_h", "_g", "_s").join(first, ["_h", "_g"])  # at most LSH_SALTS rows a vector
+    members = salted.join(back, ["_h", "_g", "_s"]).where("id <> first").select("id", "first")
+    return hashed.select("id", "v").join(members.select("id"), "id", "left_anti"), members
+
+
+def lsh_pairs(vecs: DataFrame, threshold: float = config.DUPLICATE_SIMILARITY_THRESHOLD, bits: int = 12,
+              recall: float = 0.98, seed: int = 7, id_col: str = "id", vec_col: str = "embedding", probes: int = 2) -> DataFrame:
+    """Approximate pairs by banded random-hyperplane signs with several probes.
+
+    Candidates share a bucket of ``bits`` signs, or one visits the other's; they are verified by their inner
+    product: pairs can be missed, never invented.  The number of bands follows from the recall wanted at the
+    threshold.  Equal vectors are collapsed first: they come as pairs with their representative (the smallest id),
+    other pairs are between representatives.  A bucket is cut into tiles of about ``LSH_TILE`` rows that meet two by
+    two on a key of their own, so a hot bucket is many small products.
     """
-    agree = (1 - math.acos(min(threshold, 1.0)) / math.pi) ** bits
-    bands = math.ceil(math.log(1 - recall) / math.log(1 - agree)) if agree < 1 else 1
-    v = vecs.where(F.col(vec_col).isNotNull() & (sq_norm(vec_col) > 0)).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v"))
-    signs = v.mapInArrow(_sign_hashes(bands, bits, seed), "id BIGINT, band BIGINT, h BIGINT")
-    a, b = (signs.select(F.col("id").alias(f"id_{x}"), "band", "h") for x in "ab")
-    pairs = a.join(b, ["band", "h"]).where("id_a < id_b").select("id_a", "id_b").distinct()
-    full = (pairs.join(v.select(F.col("id").alias("id_a"), F.col("v").alias("v_a")), "id_a")
-                 .join(v.select(F.col("id").alias("id_b"), F.col("v").alias("v_b")), "id_b"))
-    return full.select("id_a", "id_b", dot("v_a", "v_b").alias("sim")).where(F.col("sim") >= threshold)
+    probes = min(probes, bits)
+    bands = lsh_bands(threshold, bits, probes, recall)
+    v = vecs.where(F.col(vec_col).isNotNull() & (sq_norm(vec_col) > 0))
+    rep, members = equal_vectors(v, id_col, vec_col)
+    rep = stored(rep, "lsh-rows")
+    signs = rep.mapInArrow(_sign_hashes(bands, bits, probes, seed), "id BIGINT, band BIGINT, h BIGINT, home BOOLEAN")
+    signs = signs.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(LSH_SALTS)))
+    parts = signs.groupBy("band", "h", "salt").agg(F.count(F.lit(1)).alias("n"), F.max("home").alias("home"))
+    buckets = parts.groupBy("band", "h").agg(F.sum("n").alias("n"), F.max("home").alias("home")).where("n > 1 AND home")
+    tiles = buckets.select("band", "h", F.ceil(F.col("n") / LSH_TILE).alias("tiles"))
+    known = parts.select("band", "h", "salt").join(tiles, ["band", "h"])
+    dealt = signs.join(known, ["band", "h", "salt"]).withColumn("tile", F.pmod(F.xxhash64("id", F.lit(2)), F.col("tiles")))
+    rows = dealt.join(rep, "id").groupBy("band", "h", "tile", "tiles").agg(F.sort_array(F.collect_list(F.struct("id", "v", "home"))).alias("r"))
+    packed = rows.select("band", "h", "tile", "tiles", F.col("r.id").alias("ids"), F.flatten("r.v").alias("vecs"), F.col("r.home").alias("homes"))
+    left = packed.select("band", "h", F.col("ids").alias("ids_a"), F.col("vecs").alias("vecs_a"), F.col("homes").alias("homes_a"),
+                         F.explode(F.sequence("tile", F.col("tiles") - 1)).alias("tile"))
+    met = left.join(packed.select("band", "h", "tile", F.col("ids").alias("ids_b"), F.col("vecs").alias("vecs_b"), F.col("homes").alias("homes_b")), ["band", "h", "tile"])
+    pairs = met.select("ids_a", "vecs_a", "ids_b", "vecs_b", "homes_a", "homes_b").mapInArrow(_tile_pairs(threshold), "id_a BIGINT, id_b BIGINT, sim DOUBLE")
+    between = pairs.groupBy("id_a", "id_b").agg(F.max("sim").alias("sim"))
+    one = v.select(F.col(id_col).cast("bigint").alias("id"), sq_norm(vec_col).alias("sim"))
+    equal = members.join(one, "id").where(F.col("sim") >= threshold).select(F.col("first").alias("id_a"), F.col("id").alias("id_b"), "sim")
+    return between.unionByName(equal)
 
 
 def cluster_members(catalog: DataFrame, components: DataFrame, min_size: int = config.MIN_CLUSTER_SIZE) -> DataFrame:
@@ -192,8 +262,9 @@ def deduplicate(catalog: DataFrame, threshold: float = config.DUPLICATE_SIMILARI
                 vec_col: str = "embedding", method: str = "exact") -> dict:
     """Whole job (C6): returns the intermediate and final DataFrames."""
     vecs = catalog.select("id", vec_col)
-    pairs = duplicate_pairs(vecs, threshold, vec_col=vec_col) if method == "exact" else lsh_pairs(vecs, threshold, vec_col=vec_col)
-    comps = connected_components(pairs if method != "exact" else duplicate_links(vecs, threshold, vec_col=vec_col))
+    pairs = (lsh_pairs(vecs, threshold, vec_col=vec_col) if method == "lsh"
+             else duplicate_pairs(vecs, threshold, vec_col=vec_col, method="pivots" if method == "pivots" else "blocks"))
+    comps = connected_components(duplicate_links(vecs, threshold, vec_col=vec_col) if method == "exact" else pairs)
     members = cluster_members(catalog, comps)
     cl = clusters(members, vecs, vec_col=vec_col)
     return {"pairs": pairs, "components": comps, "members": members, "clusters": cl,

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.text import or_unknown
 from ..functions.vectors import clip01, dot
 from .blocks import topk_join
+from .pivots import pruned_topk
 
 def _meta_cols(prefix: str = "") -> list[Column]:
     """Result metadata from a catalog row; absent values become 'Unknown' ('' for the path)."""
@@ -69,8 +70,8 @@ def knn_by_vector(index: DataFrame, query: Sequence[float], k: int = 5, catalog:
 
 def knn_batch(queries: DataFrame, index: DataFrame, k: int = 5, catalog: DataFrame | None = None,
               exclude_self: bool = False, id_col: str = "id", vec_col: str = "embedding",
-              query_id: str = "qid", query_vec: str = "embedding") -> DataFrame:
-    """Top-k of ``index`` for every row of ``queries``.
+              query_id: str = "qid", query_vec: str = "embedding", method: str = "blocks") -> DataFrame:
+    """Top-k of ``index`` for every row of ``queries`` (J5); ``method="pivots"`` skips blocks by bounds (:mod:`.pivots`).
 
     Returns ``query_id, rank, product_id, raw, similarity`` (+ metadata with a catalog).
     Passing the same frame as queries and index packs its blocks once.
@@ -79,7 +80,7 @@ def knn_batch(queries: DataFrame, index: DataFrame, k: int = 5, catalog: DataFra
     idx = index.where(F.col(vec_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(vec_col).alias("embedding"))
     q = idx if same else queries.where(F.col(query_vec).isNotNull()).select(
         F.col(query_id).alias("id"), F.col(query_vec).alias("embedding"))
-    hits = topk_join(q, idx, k, exclude_self=exclude_self)
+    hits = (pruned_topk if method == "pivots" else topk_join)(q, idx, k, exclude_self=exclude_self)
     hits = hits.select(F.col("l_id").alias(query_id), F.col("rank").cast("bigint").alias("rank"), "r_id", "raw",
                        clip01("raw").alias("similarity"))
     if catalog is not None:
@@ -88,13 +89,13 @@ def knn_batch(queries: DataFrame, index: DataFrame, k: int = 5, catalog: DataFra
 
 
 def knn_by_product(index: DataFrame, product_ids: DataFrame | None = None, k: int = 5,
-                   catalog: DataFrame | None = None, id_col: str = "id", vec_col: str = "embedding") -> DataFrame:
+                   catalog: DataFrame | None = None, id_col: str = "id", vec_col: str = "embedding", method: str = "blocks") -> DataFrame:
     """Neighbours of given products (default: every product), each excluding
     itself (J4).  Ids without a vector produce no rows; ``unknown_ids``
     reports them."""
     q = index if product_ids is None else index.join(product_ids.select(id_col).distinct(), id_col, "left_semi")
     return knn_batch(q, index, k, catalog, exclude_self=True, id_col=id_col, vec_col=vec_col,
-                     query_id=id_col, query_vec=vec_col).withColumnRenamed(id_col, "source_id")
+                     query_id=id_col, query_vec=vec_col, method=method).withColumnRenamed(id_col, "source_id")
 
 
 def unknown_ids(index: DataFrame, product_ids: DataFrame, id_col: str = "id") -> DataFrame:
