@@ -367,6 +367,19 @@ SELECT id_a, id_b, round(sim, 6) AS sim FROM pairs"""
 ORACLE["dup_pairs_chain"] = f"""WITH {CATALOG}, {CHAIN_SRC}, {pairs_sql('cv', CHAIN_T)}
 SELECT id_a, id_b, round(sim, 6) AS sim FROM pairs"""
 
+ORACLE["dup_pairs_pivots"] = ORACLE["lsh_pairs"] = ORACLE["dup_pairs_planted"]
+
+ORACLE["knn_pivots"] = ORACLE["knn_by_product"]
+
+# (similar planted vectors come in cliques: an accepted listing has no similar predecessor at all)
+ORACLE["stream_duplicates"] = f"""WITH {CATALOG}, {PLANTED}, cv AS (SELECT id, embedding AS e FROM planted), {pairs_sql('cv', PLANT_T)},
+  arriving AS (SELECT id FROM planted WHERE NOT (copy_no = 0 AND base_id % 20 <> 0)),
+  earlier AS (SELECT CASE WHEN id_b IN (SELECT id FROM arriving) AND (id_a < id_b OR id_a NOT IN (SELECT id FROM arriving)) THEN id_b ELSE id_a END AS new_id,
+                     id_a, id_b, sim FROM pairs WHERE id_a IN (SELECT id FROM arriving) OR id_b IN (SELECT id FROM arriving)),
+  hit AS (SELECT new_id, id_a + id_b - new_id AS existing_id, sim FROM earlier),
+  kept AS (SELECT * FROM hit WHERE existing_id NOT IN (SELECT new_id FROM hit))
+SELECT new_id, arg_min(existing_id, (-sim, existing_id)) AS existing_id, round(max(sim), 6) AS similarity FROM kept GROUP BY new_id"""
+
 ORACLE["lsh_recall"] = f"""WITH {CATALOG}, {PLANTED}, {PLANT_SRC}, {pairs_sql('cv', PLANT_T)}
 SELECT count(*) AS exact_pairs, true AS recall_reached FROM pairs"""
 

@@ -500,8 +500,9 @@ def q_metrics_series(spark, sf):
 
 # ---------------------------------------------------------------- rows-only (no SQL oracle)
 def q_lsh_pairs(spark, sf):
+    """Pairs by banded hashes at a recall of 0.9999 a pair (the planted pairs lie well above the threshold)."""
     _, vec, _ = _planted(spark, sf)
-    return _pairs_cols(dd.lsh_pairs(vec, PLANT_T))
+    return _pairs_cols(dd.lsh_pairs(vec, PLANT_T, recall=0.9999))
 
 
 def q_lsh_recall(spark, sf):
@@ -549,6 +550,35 @@ def q_stream_history(spark, sf):
                       F.round("max_latency_ms", 2).alias("max_latency_ms"))
 
 
+def q_stream_duplicates(spark, sf):
+    """New listings (planted vectors: every twentieth product and all copies) streamed against the others."""
+    from ..streaming import query_log as ql
+    from ..streaming.duplicates import duplicate_check
+    v = td.planted_vectors(spark, sf)
+    old = (F.col("copy_no") == 0) & (F.col("base_id") % 20 != 0)
+    ck = ql.checkpoint_location(spark, "listings")
+    v.where(~old).select("id", "embedding").write.parquet(ck + "-incoming")
+    incoming = spark.readStream.schema("id BIGINT, embedding ARRAY<DOUBLE>").parquet(ck + "-incoming")
+    duplicate_check(incoming, v.where(old).select("id", "embedding"), ck + "-sink", ck, PLANT_T)
+    found = spark.read.schema("new_id BIGINT, existing_id BIGINT, similarity DOUBLE").parquet(f"{ck}-sink/epoch=*")
+    return found.select("new_id", "existing_id", F.round("similarity", R6).alias("similarity"))
+
+
+def q_dup_pairs_pivots(spark, sf):
+    """The pairs of ``dup_pairs_planted``, block pairs skipped by pivots."""
+    _, vec, t = _planted(spark, sf)
+    return _pairs_cols(dd.duplicate_pairs(vec, t, method="pivots"))
+
+
+def q_knn_pivots(spark, sf):
+    """The neighbours of ``knn_by_product``, block pairs skipped by bounds from pivots."""
+    c = _catalog(spark, sf)
+    idx = c.where(F.col("embedding").isNotNull()).select("id", "embedding")
+    r = knn.knn_by_product(idx, None, 5, c, method="pivots")
+    return r.select("source_id", "rank", "product_id", F.round("similarity", R6).alias("similarity"),
+                    "product_name", "article_type")
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

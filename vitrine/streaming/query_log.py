@@ -3,9 +3,8 @@
 * The search query history is an append-only log summarised on demand
   (A15).  ``windowed_summary`` keeps that summary incrementally per event
   time window, with a watermark bounding the state kept for late rows.
-* New listings can be checked against the stored catalog as they arrive:
-  ``duplicate_check`` scores each micro-batch against the vector table
-  with the blocked top-1 kernel and appends those above the threshold.
+* New listings are checked against the stored catalog and each other as
+  they arrive (:mod:`.duplicates`).
 
 State and progress live under the session's shared checkpoint folder.
 """
@@ -18,9 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from .. import config
-from ..operators.blocks import topk_join
 from ..session import ensure_checkpoint_dir
+from .duplicates import duplicate_check  # noqa: F401
 
 LOG_SCHEMA = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
@@ -73,23 +71,3 @@ def run_available(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "pa
            .option("path", sink_path).trigger(availableNow=True).start())
     q.awaitTermination()
     return q
-
-
-def duplicate_check(new_listings: DataFrame, index: DataFrame, sink_path: str, checkpoint: str,
-                    threshold: float = config.DUPLICATE_SIMILARITY_THRESHOLD, available_now: bool = True) -> StreamingQuery:
-    """For each arriving listing ``(id, embedding)``: its most similar stored
-    product, kept when similarity >= threshold; written to
-    ``sink_path/epoch=<batch id>`` (idempotent per micro-batch)."""
-    def batch(df: DataFrame, epoch_id: int) -> None:
-        hits = topk_join(df.select("id", "embedding"), index.select("id", "embedding"), 1, exclude_self=True)
-        out = hits.where(F.col("raw") >= threshold).select(
-            F.col("l_id").alias("new_id"), F.col("r_id").alias("existing_id"), F.col("raw").alias("similarity"))
-        # One directory per epoch, overwritten on replay: a retried batch
-        # replaces its own output instead of appending it twice.
-        out.write.mode("overwrite").parquet(f"{sink_path.rstrip('/')}/epoch={epoch_id}")
-    w = new_listings.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
-    return q
