@@ -36,6 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.sampling import hash_sample
 from ..session import ensure_checkpoint_dir
 
 ARCHIVE_BYTES = 8 << 20        # an archive is closed at this size
@@ -246,9 +247,9 @@ def told_apart(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
 def train_dictionary(pages: DataFrame, size: int = DICTIONARY_BYTES) -> bytes:
     """A dictionary from at most ``DICTIONARY_PAGES`` payloads (those with the smallest hashes); empty where they are too few."""
     import zstandard
-    rows = (pages.select(F.left("html", F.lit(DICTIONARY_CHARS)).alias("html"), F.xxhash64("page_id", "url").alias("h"))
-            .where(F.length("html") > 0).orderBy("h", "html").limit(DICTIONARY_PAGES).select("html").collect())
-    samples = [r[0].encode() for r in rows]
+    texts = pages.where(F.length("html") > 0)
+    rows = hash_sample(texts, ["page_id", "url"], F.left("html", F.lit(DICTIONARY_CHARS)), DICTIONARY_PAGES, texts.count())
+    samples = [r.encode() for r in rows]
     try:
         return zstandard.train_dictionary(min(size, max(sum(map(len, samples)) // 8, 256)), samples).as_bytes()
     except zstandard.ZstdError:
