@@ -2,7 +2,7 @@
 
 Every language has a codeword of +1/-1 bits; for every bit one linear classifier over hashed byte trigrams
 predicts its sign (regularised least squares, trained here on at most ``PER_LANGUAGE`` documents a language,
-those with the smallest id hashes).  A text is decoded by loss: the language whose codeword has the smallest
+those with the smallest hashes of id and text).  A text is decoded by loss: the language whose codeword has the smallest
 total hinge loss against the bits' margins wins.  ``score`` is the soft-min share of the winner (0 to 1);
 a text whose two smallest losses are closer than ``AMBIGUITY`` a bit is flagged ``ambiguous``.
 
@@ -21,7 +21,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import words as W
@@ -93,20 +93,24 @@ def decode(model: Model, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 
 
 def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
-    """Learn from ``docs(doc_id, text, lang)``; rows without text or language are left out."""
-    known = docs.where("text is not null and lang is not null").select("doc_id", "text", "lang")
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    """Learn from ``docs(doc_id, text, lang)``; rows without text or language are left out, equal rows count once.
+
+    The ``per_language`` rows of a language with the smallest hashes of id and text are taken, by rank: neither
+    repeated ids nor repeated rows make the sample larger, or smaller than the language's distinct rows allow.
+    """
+    known = docs.where("text is not null and lang is not null").select("doc_id", "text", "lang").withColumn("h", F.xxhash64("doc_id", "text"))
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).collect()}
     if not counts:
         return fit(np.zeros((0, DIMS), np.float32), [])
-    uniform = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(1)), F.lit(1 << 30)) / (1 << 30)
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 1.5 * per_language / n))])
-    picked = known.where(uniform < share[F.col("lang")]).withColumn("__u", uniform)
+    # (twice as many as wanted pass a first filter without a shuffle; the rank decides)
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, min(1.0, 2.0 * per_language / max(n, 1)))])
+    uniform = F.pmod(F.xxhash64("h"), F.lit(1 << 30)) / (1 << 30)
+    once = known.where(uniform < share[F.col("lang")]).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("h"), "h"))
+    picked = once.withColumn("rank", rank).where(F.col("rank") <= per_language)
     rows = with_computed(picked, "text", "vector binary", lambda t: [[v.tobytes() for v in trigram_vectors(t).astype(np.float16)]])
-    by: dict[str, list] = {}
-    for r in rows.select("lang", "__u", "vector").toArrow().to_pylist():  # about 1.5 x per_language rows a language
-        by.setdefault(r["lang"], []).append((r["__u"], r["vector"]))
-    chosen = [(v, lang) for lang, group in by.items() for _, v in sorted(group)[:per_language]]
-    return fit(np.array([np.frombuffer(v, np.float16) for v, _ in chosen], np.float32).reshape(-1, DIMS), [lang for _, lang in chosen])
+    chosen = sorted((r["lang"], r["rank"], r["vector"]) for r in rows.select("lang", "rank", "vector").toArrow().to_pylist())
+    return fit(np.array([np.frombuffer(v, np.float16) for _, _, v in chosen], np.float32).reshape(-1, DIMS), [lang for lang, _, _ in chosen])
 
 
 def predicted(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
