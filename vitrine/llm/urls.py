@@ -11,7 +11,8 @@ event's before it, a running window.  The sorted space is cut at sampled keys; e
 that is active there.  Equal keys are collapsed before the sweep and the verdicts joined back by host and path,
 so a host or url with a third of all rows weighs one key, and its rows are split by the skew join.
 
-Parents of rules and the tops at the cuts come from equality joins on the prefixes of those few keys.
+Parents of rules and the tops at the cuts come from equality joins on those prefixes of these few keys that are as
+long as some rule key.  Keys are cut one byte behind the longest rule key.
 
 Defined results.  Null url, or one without ``://``: host and path empty.  No rule fits: ``rule`` null and the
 default verdict (allow).  Repeated rows are each judged.  Of equal rules the one with the verdict first in
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranges import range_bucket
+from ..functions.sampling import hash_sample
 from .common import shuffle_partitions
 
 DEFAULT = "allow"
@@ -45,37 +47,36 @@ def key_of(host: Column, path: Column) -> Column:
     return F.concat(F.array_join(F.reverse(F.split(host, r"\.")), "."), F.lit("#"), path).cast("binary")
 
 
-def _prefixes(key: Column) -> Column:
-    """All proper and full prefixes of a key."""
-    return F.transform(F.sequence(F.lit(1), F.octet_length(key)), lambda n: F.substring(key, F.lit(1), n))
+def _innermost(keys: DataFrame, rules: DataFrame, lengths: list[int], proper: bool) -> DataFrame:
+    """``(key, top)``: the longest rule key that is a (proper) prefix of ``key``; null if none.
 
-
-def _innermost(keys: DataFrame, rules: DataFrame, proper: bool) -> DataFrame:
-    """``(key, top)``: the longest rule key that is a (proper) prefix of ``key``; null if none."""
-    every = keys.select("key", F.explode(_prefixes(F.col("key"))).alias("prefix"))
-    every = every.where(F.col("prefix") != F.col("key")) if proper else every
+    Only prefixes as long as some rule key are looked up (``lengths``), so a key costs the rules' lengths, not its own."""
+    sizes = F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: (n < F.octet_length("key")) if proper else (n <= F.octet_length("key")))
+    every = keys.select("key", F.explode(F.transform(sizes, lambda n: F.substring("key", F.lit(1), n))).alias("prefix"))
     found = every.join(rules.select(F.col("key").alias("prefix")), "prefix").groupBy("key").agg(F.max("prefix").alias("top"))
     return keys.select("key").join(found, "key", "left")
 
 
 def _cut_keys(keys: DataFrame, parts: int) -> list[bytes]:
     """At most ``parts - 1`` keys that cut the sorted keys evenly: the keys of smallest hash are a fair sample."""
-    sample = sorted(bytes(r["key"]) for r in keys.orderBy(F.xxhash64("key")).limit(parts * SAMPLE_PER_PART).collect())
+    sample = sorted(bytes(k) for k in hash_sample(keys, ["key"], F.col("key"), parts * SAMPLE_PER_PART, keys.count()))
     return sorted({sample[i * len(sample) // parts] for i in range(1, parts)}) if sample else []
 
 
-def longest_rules(keys: DataFrame, rules: DataFrame, parts: int) -> DataFrame:
-    """``(key, top)`` of all distinct ``keys``: the longest rule key that is a prefix of each, by the sweep."""
+def longest_rules(keys: DataFrame, rules: DataFrame, lengths: list[int], parts: int) -> DataFrame:
+    """``(key, top)`` of all distinct ``keys``: the longest rule key that is a prefix of each, by the sweep.
+
+    ``lengths``: the distinct lengths of the rule keys, ascending."""
     cuts = _cut_keys(keys, parts)
     spark = keys.sparkSession
-    below = _innermost(rules, rules, proper=True)
+    below = _innermost(rules, rules, lengths, proper=True)
     starts = rules.select("key", F.lit(0).alias("kind"), F.col("key").alias("top"))
     ends = below.select(F.concat("key", F.lit(_END)).alias("key"), F.lit(1).alias("kind"), F.coalesce("top", F.lit(b"")).alias("top"))
     points = keys.select("key", F.lit(2).alias("kind"), F.lit(None).cast("binary").alias("top"))
     rows = starts.unionByName(ends).unionByName(points).withColumn("part", range_bucket(F.col("key"), cuts))
     if cuts:
         first = spark.createDataFrame([(bytearray(c),) for c in cuts], "key binary")
-        opening = _innermost(first, rules, proper=False).select(
+        opening = _innermost(first, rules, lengths, proper=False).select(
             "key", F.lit(-1).alias("kind"), F.coalesce("top", F.lit(b"")).alias("top"), range_bucket(F.col("key"), cuts).alias("part"))
         rows = rows.unionByName(opening)
     sweep = Window.partitionBy("part").orderBy("key", "kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -91,11 +92,21 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, parts: in
     pages = pages.select("page_id", host.alias("host"), path.alias("path"))
     rules = (rules.groupBy("host", "path").agg(F.min("verdict").alias("verdict"))
              .withColumn("key", key_of(F.col("host"), F.col("path"))).withColumn("rule", F.concat("host", "path")))
+    lengths = sorted(r[0] for r in rules.select(F.octet_length("key")).distinct().collect())
+    if not lengths:
+        return pages.select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+    # A suffix or key is of interest as far as the longest rule key reaches, and one byte more: beyond, neither a rule's
+    # start nor its end can differ.  So a url costs the rules' lengths, however long it is.
+    reach = lengths[-1] + 1
     places = pages.select("host", "path").distinct()
-    labels = F.split("host", r"\.")
-    keys = (places.withColumn("suffix", F.explode(F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))))
-            .select("host", "path", F.octet_length("suffix").alias("__size"), key_of(F.col("suffix"), F.col("path")).alias("key")))
-    tops = longest_rules(keys.select("key").distinct(), rules.select("key"), parts).where("top is not null")
+    tail = F.right("host", F.lit(reach))
+    labels = F.split(tail, r"\.")
+    whole = F.when(F.length("host") > reach, 2).otherwise(1)  # (the first label of a cut host is a part of one)
+    suffix = F.explode(F.transform(F.filter(F.sequence(F.lit(1), F.size(labels)), lambda i: i >= whole), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
+    keys = (places.withColumn("suffix", suffix)
+            .select("host", "path", F.octet_length("suffix").alias("__size"),
+                    F.substring(key_of(F.col("suffix"), F.left("path", F.lit(reach))), F.lit(1), F.lit(reach)).alias("key")))
+    tops = longest_rules(keys.select("key").distinct(), rules.select("key"), lengths, parts).where("top is not null")
     best = (keys.join(tops, "key").groupBy("host", "path").agg(F.max_by("top", "__size").alias("key"))
             .join(rules.select("key", "rule", "verdict"), "key").drop("key"))
     return (pages.join(best, ["host", "path"], "left")
