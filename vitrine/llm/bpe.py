@@ -180,16 +180,22 @@ class Bpe:
             raw = data.tobytes()
             cuts = self._cuts(data, off) if len(data) > 1 else np.unique(off)
             fixed: dict[int, int] = {}
+            spans = []
             for mark, number in self.special.items():
                 at = raw.find(mark)
                 while at >= 0:
                     end = at + len(mark)
-                    if np.searchsorted(off, at, "right") == np.searchsorted(off, end, "left"):  # inside one text
-                        cuts = np.concatenate([cuts[cuts <= at], [at, end], cuts[cuts >= end]])
-                        fixed[at] = number
+                    spans.append((at, end, number))
                     at = raw.find(mark, end)
-            if fixed:
-                cuts = np.unique(cuts)
+            if spans:
+                start, end, number = np.array(spans, np.int64).T
+                inside = np.searchsorted(off, start, "right") == np.searchsorted(off, end, "left")  # of one text
+                start, end, number = start[inside], end[inside], number[inside]
+                fixed = dict(zip(start.tolist(), number.tolist()))
+                covered = np.zeros(len(data) + 2, np.int64)  # positions within a special token
+                np.add.at(covered, start + 1, 1)
+                np.add.at(covered, end, -1)
+                cuts = np.union1d(cuts[np.cumsum(covered)[cuts] == 0], np.concatenate([start, end]))
             place = cuts.tolist()
             fragments = [raw[a:b] for a, b in zip(place, place[1:])]
             if len(self.cache) > CACHE_FRAGMENTS:
