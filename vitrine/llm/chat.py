@@ -12,8 +12,9 @@ depend on, or rewrite, anything before; the work of a conversation grows with th
 rendering every prefix does, and is spread over its chunks.  ``digests`` streams over the sorted chunks of a
 conversation and holds one chunk at a time.
 
-A conversation's text is its chunks' texts in turn.  From the chunk on in which history was rewritten, all spans are
-empty and ``rewritten`` is not negative; the last chunk's text then is that of the whole conversation, which takes the
+A conversation's text is its chunks' texts in turn.  Where history was rewritten, no span of the conversation holds in
+the end, so all of its spans (and its loss) are empty, however it is cut into chunks.  ``rewritten`` is not negative from
+the chunk on in which that happened; the last chunk's text then is that of the whole conversation, which takes the
 place of those before, and chunks between have what was rendered up to their end or nothing.
 
 The template of this module marks turns and escapes: a backslash goes before every backslash, ``<``, ``[`` and
@@ -162,7 +163,7 @@ def formatted(conversations: DataFrame, render: Render = instruction_template, l
     none = F.transform("starts", lambda x: F.lit(0))
     return found.withColumn("first", first).select(
         "conv_id", "chunk", F.when(after, F.coalesce("whole", F.lit(""))).otherwise(F.col("text")).alias("text"), "roles",
-        F.when(after, none).otherwise(F.col("starts")).alias("starts"), F.when(after, none).otherwise(F.col("ends")).alias("ends"),
+        *[F.when(F.col("first").isNotNull(), none).otherwise(F.col(c)).alias(c) for c in ("starts", "ends")],
         "learned", F.when(after, 0).otherwise(F.col("rewritten")).alias("rewritten"))
 
 
