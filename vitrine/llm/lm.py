@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
-from .common import binary_column, crc32_of_id, shared, shuffle_partitions, total_bytes, unpack
+from .common import binary_column, crc32_of_id, released, shared, shuffle_partitions, total_bytes, unpack
 
 BASES = (1.2, 1.5)              # quantisation bases of words and of pairs
 HASHES = 4                      # bits set for a member
@@ -272,7 +272,8 @@ def _rounds(words: DataFrame, pairs: DataFrame, limit: int) -> list[list[tuple[i
 def _read_levels(docs: DataFrame, filters) -> DataFrame:
     """``docs(id, h, held, words, pairs, text)`` with the levels of this round's n-grams added to ``words`` and ``pairs``."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = filters.value
+        buckets, *segments = filters.value  # plain numbers and bytes
+        one, two = (Filter(buckets, s) for s in segments)
         for batch in batches:
             for lo, hi, data, off in W.slices(batch.column(5)):
                 rows = batch.slice(lo, hi - lo)
@@ -345,15 +346,21 @@ def scored(docs: DataFrame, max_filter_bytes: int = MAX_FILTER_BYTES) -> DataFra
     start = int(level_of(np.array([texts]), BASES[0])[0]) if texts else 0
     words = base.where("kind = 2").select("bucket", "segment")
 
+    # One round a group of segments: its broadcast is the only one alive, and goes when the round's table is written.
     levelled = docs.select("id", "h", "held", F.lit(None).cast("binary").alias("words"), F.lit(None).cast("binary").alias("pairs"), "text")
-    for group in _rounds(words, pairs, max_filter_bytes):
+    groups = _rounds(words, pairs, max_filter_bytes)
+    for i, group in enumerate(groups):
         parts = []
         for order, df in ((1, words), (2, pairs)):
             own = [b for o, b in group if o == order]
             got = df.where(F.col("bucket").between(own[0], own[-1])).toArrow() if own else pa.table({"bucket": [], "segment": []})
-            parts.append(Filter(buckets, list(zip(got["bucket"].to_pylist(), got["segment"].to_pylist()))))
-        levelled = _read_levels(levelled, spark.sparkContext.broadcast(tuple(parts)))
-    levelled = shared(levelled.select("id", "h", "held", "words", "pairs"), "lm-levels")
+            parts.append(list(zip(got["bucket"].to_pylist(), got["segment"].to_pylist())))
+        filters = spark.sparkContext.broadcast((buckets, *parts))
+        found = _read_levels(levelled, filters)
+        before, levelled = levelled, shared(found if i < len(groups) - 1 else found.drop("text"), "lm-levels")
+        filters.destroy()
+        if i:
+            released(before)
     alone, every = _votes(levelled, n, start)
     weight = (alone + 1) / (every + 2)  # add-one: a level without votes is split evenly
 
