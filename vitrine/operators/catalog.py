@@ -26,15 +26,21 @@ def containing(needles: DataFrame, needle: str, texts: DataFrame, text: str) ->
     """Rows of ``needles`` joined to the rows of ``texts`` whose ``text`` contains ``needle``.
 
     An equi-join on one substring (of up to ``GRAM`` characters) per needle
-    finds the candidates, so neither side has to be small; the containment
-    itself is checked on them.  Both sides are joined on distinct values.
+    finds the candidates, so neither side has to be small: the substring of
+    the needle that the fewest texts hold, by a count over all texts of the
+    substrings that needles have.  The containment itself is checked on the
+    candidates.  Both sides are joined on distinct values.
     """
     n = F.least(F.length(needle), F.lit(GRAM))
-    wanted = (needles.select(needle).distinct().withColumn("_n", n)
-              .withColumn("_gram", F.element_at(F.array_sort(_grams(needle, F.col("_n"))), -1)))
+    own = needles.select(needle).distinct().withColumn("_n", n).withColumn("_gram", F.explode(_grams(needle, F.col("_n"))))
+    asked = own.select("_n", "_gram").distinct()
     sizes = F.explode(F.array(*[F.lit(i) for i in range(GRAM + 1)]))
-    found = (texts.select(text).distinct().select(text, sizes.alias("_n")).withColumn("_gram", F.explode(_grams(text, F.col("_n"))))
-             .join(wanted, ["_n", "_gram"]).where(F.contains(F.col(text), F.col(needle))).select(needle, text))
+    grams = texts.select(text).distinct().select(text, sizes.alias("_n")).withColumn("_gram", F.explode(_grams(text, F.col("_n"))))
+    held = grams.join(asked, ["_n", "_gram"], "left_semi").groupBy("_n", "_gram").agg(F.count(F.lit(1)).alias("_texts"))
+    # (a substring that no text holds ends its needle's search)
+    rarest = F.min_by("_gram", F.struct(F.coalesce("_texts", F.lit(0)).alias("t"), "_gram"))
+    wanted = own.join(held, ["_n", "_gram"], "left").groupBy(needle, "_n").agg(rarest.alias("_gram"))
+    found = grams.join(wanted, ["_n", "_gram"]).where(F.contains(F.col(text), F.col(needle))).select(needle, text)
     return needles.join(found, needle).join(texts, text)
 
 
@@ -74,9 +80,11 @@ def name_match(catalog: DataFrame, names: DataFrame, query_col: str = "query") -
     q = names.select(F.col(query_col).alias("q")).distinct().withColumn("needle", F.lower(strip(F.col("q"))))
     c = catalog.select("id", F.col(pos).alias("_pos"), F.lower(F.col("productDisplayName")).alias("lname"),
                        F.col("productDisplayName").alias("pname"))
-    m = containing(q, "needle", c, "lname")
-    return m.groupBy("q").agg(F.min_by(F.struct("id", "pname"), F.col("_pos")).alias("m")).select(
-        F.col("q").alias(query_col), F.col("m.id").alias("id"), F.col("m.pname").alias("productDisplayName"))
+    first = F.min_by(F.struct("id", "pname"), F.col("_pos")).alias("m")
+    m = containing(q.where("needle <> ''"), "needle", c, "lname").groupBy("q").agg(first)
+    # An empty text is in every name: the first product of all, found once.
+    every = q.where("needle = ''").select("q", c.where("lname IS NOT NULL").agg(first).scalar().alias("m")).where("m.id IS NOT NULL")
+    return m.unionByName(every).select(F.col("q").alias(query_col), F.col("m.id").alias("id"), F.col("m.pname").alias("productDisplayName"))
 
 
 def unmatched(names: DataFrame, matches: DataFrame, query_col: str = "query") -> DataFrame:

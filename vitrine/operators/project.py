@@ -47,6 +47,27 @@ def explained_variance(vectors: DataFrame, k: int = config.PCA_COMPONENTS, vec_c
     return vectors.sparkSession.createDataFrame(rows, "component BIGINT, share DOUBLE")
 
 
+def pca_checks(vectors: DataFrame, k: int = config.PCA_COMPONENTS, vec_col: str = "embedding", tolerance: float = 1e-8) -> DataFrame:
+    """One row of checks of the fitted components, from the rows themselves: ``dims``, ``total_variance`` (trace of the
+    covariance), and whether every component v has unit length and is orthogonal to the others, whether
+    ``|C v - lambda v|`` is below ``tolerance`` of the total (C v by covariances of every dimension with the projected
+    rows), and whether the stated shares are lambda / total."""
+    import numpy as np
+    from pyspark.ml.functions import vector_to_array
+
+    model, centred = principal_components(vectors.where(F.col(vec_col).isNotNull()).select(vec_col), k, vec_col)
+    v, share = model.pc.toArray(), model.explainedVariance.toArray()
+    rows = model.transform(centred).select(vector_to_array("c").alias("c"), vector_to_array("p").alias("p"))
+    tall = rows.select("p", F.posexplode("c").alias("dim", "x"))
+    found = tall.groupBy("dim").agg(F.var_samp("x").alias("var"), *[F.covar_samp("x", F.col("p")[i]).alias(f"c{i}") for i in range(v.shape[1])]).orderBy("dim").collect()  # D rows
+    total = sum(r["var"] for r in found)
+    cv = np.array([[r[f"c{i}"] for i in range(v.shape[1])] for r in found])
+    value = (v * cv).sum(axis=0)
+    checks = (len(found), float(total), bool(np.abs(v.T @ v - np.eye(v.shape[1])).max() < tolerance),
+              bool(np.abs(cv - v * value).max() < tolerance * total), bool(np.abs(share - value / total).max() < tolerance))
+    return vectors.sparkSession.createDataFrame([checks], "dims BIGINT, total_variance DOUBLE, orthonormal BOOLEAN, residual_small BOOLEAN, shares_hold BOOLEAN")
+
+
 def project_embeddings(catalog: DataFrame, n: int | None = None, label_col: str = "articleType",
                        vec_col: str = "embedding") -> DataFrame:
     """C4: centre -> PCA over all vectors -> (id, x, y, label, colour), of all rows or a display sample of ``n``."""

@@ -540,6 +540,22 @@ ORACLE["stream_history"] = """SELECT strftime(date_trunc('day', ts), '%Y-%m-%d %
        count(*) AS total_queries, round(avg(value), 2) AS avg_latency_ms, round(max(value), 2) AS max_latency_ms
 FROM events GROUP BY ALL"""
 
+ORACLE["stream_history_state"] = """SELECT event_type AS query, count(*) AS total_queries, round(avg(value), 2) AS avg_latency_ms,
+       round(max(value), 2) AS max_latency_ms, round(avg((event_id % 100) / 100.0), 4) AS avg_similarity FROM events GROUP BY event_type"""
+
+ORACLE["search_latency"] = f"""SELECT query, n_results, avg_similarity, true AS timed FROM ({ORACLE["search_metrics"]})"""
+
+ORACLE["history_similarity"] = f"""SELECT count(*) AS total_queries, round(avg(avg_similarity), 4) AS avg_similarity FROM ({ORACLE["search_metrics"]})"""
+
+ORACLE["projection_sample"] = f"""WITH {CATALOG}, colours AS ({ORACLE["label_colour"].replace("WITH " + CATALOG + ",", "WITH", 1)}),
+  s AS (SELECT id, articleType AS label FROM catalog WHERE embedding IS NOT NULL
+        ORDER BY md5(concat('{config.SAMPLE_SEED}:', CAST(id AS VARCHAR))), id LIMIT 200)
+SELECT s.id, s.label, colours.colour FROM s LEFT JOIN colours USING (label)"""
+
+ORACLE["pca_checks"] = """WITH t AS (SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d FROM embeddings)
+SELECT count(*) AS dims, round(sum(v), 6) AS total_variance, true AS orthonormal, true AS residual_small, true AS shares_hold
+FROM (SELECT d, var_samp(x) AS v FROM t GROUP BY d)"""
+
 ORACLE["mean_precision"] = f"""WITH {CATALOG}, {NAMEQ},
   hits AS (SELECT res.query, count(*) AS hits FROM res JOIN qv ON qv.query = res.query
            WHERE lower(res.base_colour) = lower(qv.relevant) GROUP BY res.query),

@@ -564,6 +564,42 @@ def q_stream_duplicates(spark, sf):
     return found.select("new_id", "existing_id", F.round("similarity", R6).alias("similarity"))
 
 
+def q_stream_history_state(spark, sf):
+    """The query log (events) through the stateful history; similarity stands for a figure of the log (event_id % 100 / 100)."""
+    from ..streaming import history, query_log as ql
+    log = ql.read_log(spark, f"{sf.rstrip('/')}/events*.parquet").select(
+        "ts", F.col("event_type").alias("query"), F.col("value").alias("latency"), ((F.col("event_id") % 100) / 100).alias("similarity"))
+    ck = ql.checkpoint_location(spark, "running")
+    history.run(spark, history.running_history(log, watermark="1 hour"), ck + "-sink", ck)
+    return history.summary(history.by_query(spark, ck + "-sink"), "query")
+
+
+def q_search_latency(spark, sf):
+    """Metrics of a timed batch of queries: similarity, and that every query has its share of the batch's time."""
+    c = _catalog(spark, sf)
+    _, m = srch.timed_search(_name_queries(spark, sf), srch.text_index(c), c, 5)
+    timed = (F.col("total_ms") > 0) & (F.abs(F.col("encode_ms") + F.col("search_ms") - F.col("total_ms")) < 0.01) & (F.col("batch_ms") >= F.col("total_ms"))
+    return m.select("query", "n_results", "avg_similarity", timed.alias("timed"))
+
+
+def q_history_similarity(spark, sf):
+    """Summary of a log of searches with its mean similarity."""
+    m = srch.search_metrics(_name_queries(spark, sf), _name_search(spark, sf), 5)
+    return srch.history_summary(m.withColumn("total_ms", F.lit(0.0)), sim_col="avg_similarity").select("total_queries", "avg_similarity")
+
+
+def q_projection_sample(spark, sf):
+    """The products of a display sample of the projection, with their colours."""
+    from ..operators.project import project_embeddings
+    return project_embeddings(_catalog(spark, sf), 200).select("id", "label", "colour")
+
+
+def q_pca_checks(spark, sf):
+    """Checks of the principal components on all vectors."""
+    from ..operators.project import pca_checks
+    return pca_checks(td.vectors(spark, sf), 10).withColumn("total_variance", F.round("total_variance", R6))
+
+
 def q_dup_pairs_pivots(spark, sf):
     """The pairs of ``dup_pairs_planted``, block pairs skipped by pivots."""
     _, vec, t = _planted(spark, sf)
