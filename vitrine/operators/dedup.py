@@ -48,13 +48,11 @@ def duplicate_links(vecs: DataFrame, threshold: float = config.DUPLICATE_SIMILAR
     of the rest emit spanning forests."""
     if threshold <= 0:
         raise ValueError("threshold must be > 0 (zero vectors are dropped before the join)")
-    v = (vecs.where(F.col(vec_col).isNotNull() & (sq_norm(vec_col) >= threshold))
-         .select(F.col(id_col).alias("id"), vec_col, F.xxhash64(vec_col).alias("_h"), F.xxhash64(vec_col, F.lit(1)).alias("_g")))
-    first = v.groupBy("_h", "_g").agg(F.min("id").alias("_first"))
-    tied = v.select("id", "_h", "_g").join(first, ["_h", "_g"]).where("id <> _first").select(F.col("_first").alias("id_a"), F.col("id").alias("id_b"))
-    rest = vecs.where(F.col(vec_col).isNotNull() & (sq_norm(vec_col) > 0)).select(F.col(id_col).alias("id"), vec_col).join(
-        tied.select(F.col("id_b").alias("id")), "id", "left_anti")
-    return threshold_self_join(rest, threshold, "id", vec_col, forest=True).unionByName(tied)
+    v = vecs.where(F.col(vec_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v"))
+    _, members = equal_vectors(v.where(sq_norm("v") >= threshold), "id", "v")
+    rest = v.where(sq_norm("v") > 0).join(members.select("id"), "id", "left_anti")
+    return threshold_self_join(rest, threshold, "id", "v", forest=True).unionByName(
+        members.select(F.col("first").alias("id_a"), F.col("id").alias("id_b")))
 
 
 LSH_TILE = 512      # rows of one bucket tile
@@ -260,12 +258,13 @@ def cluster_preview(members: DataFrame, cl: DataFrame, n_clusters: int = 4, n_me
 
 def deduplicate(catalog: DataFrame, threshold: float = config.DUPLICATE_SIMILARITY_THRESHOLD,
                 vec_col: str = "embedding", method: str = "exact") -> dict:
-    """Whole job (C6): returns the intermediate and final DataFrames."""
+    """Whole job (C6): returns the intermediate and final DataFrames.  The catalog and the members are stored once."""
+    catalog = stored(catalog, "dedup-catalog")
     vecs = catalog.select("id", vec_col)
     pairs = (lsh_pairs(vecs, threshold, vec_col=vec_col) if method == "lsh"
              else duplicate_pairs(vecs, threshold, vec_col=vec_col, method="pivots" if method == "pivots" else "blocks"))
     comps = connected_components(duplicate_links(vecs, threshold, vec_col=vec_col) if method == "exact" else pairs)
-    members = cluster_members(catalog, comps)
+    members = stored(cluster_members(catalog, comps), "dedup-members")
     cl = clusters(members, vecs, vec_col=vec_col)
     return {"pairs": pairs, "components": comps, "members": members, "clusters": cl,
             "report": duplicate_report(members, cl), "unique": unique_catalog(catalog, members, cl),

@@ -23,6 +23,7 @@ from ..operators import rules as rl
 from ..operators import search as srch
 from ..operators.components import connected_components
 from ..operators.ordinal import ordinal
+from ..session import stored
 from ..sources import testdata as td
 
 R6 = 6
@@ -247,8 +248,10 @@ def q_dup_components(spark, sf):
 
 
 def _dedup(spark, sf, which):
-    c, vec, t = _chain(spark, sf) if which == "chain" else _planted(spark, sf)
-    members = dd.cluster_members(c, connected_components(dd.duplicate_links(vec, t)))
+    c, _, t = _chain(spark, sf) if which == "chain" else _planted(spark, sf)
+    c = stored(c, "dedup-catalog")
+    vec = c.where(F.col("embedding").isNotNull()).select("id", "embedding")
+    members = stored(dd.cluster_members(c, connected_components(dd.duplicate_links(vec, t))), "dedup-members")
     clus = dd.clusters(members, vec)
     return c, members, clus
 
