@@ -2,12 +2,12 @@
 
 The lengths' histogram has at most ``capacity`` entries, however many documents there are; only it reaches the
 driver.  There a covering LP over configurations (multisets of lengths of at most ``capacity`` tokens) is
-approximated by multiplicative weights: a length's price is a power of its size times ``exp(eta * share not yet
-covered)``, an unbounded-knapsack dynamic program over the prices finds the best configuration for every forced
-length, and a fractional step goes to each whose price is near the best one's.  The weights' floors are kept; what
-is left is rounded in whole copies by the same rounds, and the rest by best fit.  Equal sequences are handled
-together everywhere, so time and memory depend on the number of distinct lengths and the rounds, not on that of
-pieces.  The LP is solved approximately (no bound on the gap is proved); the plan is never longer than best fit's.
+approximated by multiplicative weights: the lengths' weights lose a factor for every time that a round covers them,
+and an unbounded-knapsack dynamic program over the weights finds the best configurations of a round.  The weights of
+the best round, scaled, are a dual solution: a lower bound on any plan (``bounded_plan`` returns it).  At these prices
+configurations are then taken in fractional steps; the steps' floors are kept, what is left is rounded in whole copies
+by the same rounds, and the residual by best fit.  Equal sequences are handled together everywhere, so time and memory
+depend on the number of distinct lengths and the rounds, not on that of pieces.
 
 The pieces are then numbered within their length (salted counts, so no length meets in one task) and piece
 ``r`` of a length takes the ``r``-th slot of that length in the plan: its sequence and offset are arithmetic
@@ -33,9 +33,15 @@ from .common import shared, shuffle_partitions
 
 CAPACITY = 1024
 END_ID = 2
-ROUNDS = 60         # knapsack programs (multiplicative-weight rounds) of one cover
-ETA = 0.5           # weight of the uncovered share in a price
-POWER = 1.5         # prices start as size ** POWER: large pieces are worth more than small ones of the same total
+WEIGHT_ROUNDS = 400 # multiplicative-weight rounds for the prices, at most
+LEAST_ROUNDS = 40   # ... and at least, however close the bound is
+LEARNING = 0.1      # factor exp(-LEARNING) on the price of a length that a round covers once, falling with the rounds
+WIDTH = 4.0         # a configuration covers none of its lengths more than so often in a round
+NEAR = 0.01         # a round takes configurations whose price is that close to the best one's
+CLOSE = 0.0005      # the rounds end when the bound is that close to a known plan
+ROUNDS = 60         # knapsack programs of one cover
+ETA = 0.5           # weight of the uncovered share in a price while covering
+TILTS = (0.5, 0.0)  # covering favours large pieces by size ** tilt beside their price, each tried
 STEP = 0.1          # share of a forced length's pieces that a fractional round covers
 TOLERANCE = 0.001   # share of the best price that a configuration may lack at first
 LITTLE = 0.01       # share of the remaining tokens under which a round covers too little and the tolerance doubles
@@ -92,10 +98,52 @@ def _fill(space: int, item: np.ndarray, sizes: np.ndarray, left: np.ndarray, tak
         space -= int(sizes[i])
 
 
-def _cover(left: np.ndarray, sizes: np.ndarray, capacity: int, rounds: int, eta: float, power: float, step: float | None, widest: float) -> dict[tuple, float]:
+def _price(taken: dict[int, int], prices: np.ndarray) -> float:
+    return sum(prices[i] * a for i, a in taken.items())
+
+
+def dual_prices(demand: np.ndarray, sizes: np.ndarray, capacity: int, known: float, rounds: int = WEIGHT_ROUNDS) -> tuple[np.ndarray, float]:
+    """``(prices, bound)`` of the covering LP: no configuration costs more than 1, the whole demand costs ``bound``, so no
+    plan has fewer sequences.
+
+    Multiplicative weights.  A length's weight starts as its size (the volume bound) and loses a factor
+    ``exp(-rate * c)`` in a round that covers it c times; the factors accumulate, the rate falls.  A round is one
+    knapsack program over the weights: it prices the best configuration, which makes the weights a dual solution, and
+    it covers every length once by its best configuration, where that costs nearly as much as the best of all.  The
+    width (how far one configuration may cover any of its lengths) is bounded.  ``known``: sequences of some plan.
+    """
+    d, unlimited = demand.astype(float), np.full(len(sizes), np.inf)
+    log = np.log(sizes / capacity)
+    best, bound = sizes / capacity, float(d @ sizes) / capacity
+    for t in range(rounds):
+        if t >= LEAST_ROUNDS and (bound >= known * (1 - CLOSE) or bound > known - 1 + _TINY):  # (the latter: the plan is the best)
+            break
+        weight = np.exp(log - log.max())
+        item = _knapsack(weight, sizes, capacity)
+        first: dict[int, int] = {}
+        _fill(capacity, item, sizes, unlimited, first)
+        top = _price(first, weight)
+        if float(d @ weight) / top > bound:
+            best, bound = weight / top, float(d @ weight) / top
+        covered = np.zeros(len(sizes))
+        for k in range(len(sizes) - 1, -1, -1):
+            if covered[k] >= 1:
+                continue
+            taken = {k: 1}
+            _fill(int(capacity - sizes[k]), item, sizes, unlimited, taken)
+            if _price(taken, weight) < (1 - NEAR) * top:
+                continue
+            copies = min((1 - covered[k]) * d[k] / taken[k], *(WIDTH * d[i] / a for i, a in taken.items()))
+            for i, a in taken.items():
+                covered[i] += a * copies / d[i]
+        log -= LEARNING / (1 + t / 20) * (covered - np.average(covered, weights=d * weight))
+    return best, bound
+
+
+def _cover(left: np.ndarray, sizes: np.ndarray, capacity: int, base: np.ndarray, rounds: int, eta: float, step: float | None, widest: float) -> dict[tuple, float]:
     """Weights of configurations (tuples of ``(length's index, pieces)``); ``left`` loses what they hold.
 
-    Multiplicative-weight rounds.  In each, the best configuration of every forced length is taken if its price is
+    Prices are the dual ones (``base``) times ``exp(eta * share not yet covered)``.  In each round, the best configuration of every forced length is taken if its price is
     within a tolerance of the best of all; ``step`` bounds what a length gets in a round, as a share of its pieces.
     Without a ``step``, whole copies, as many as the scarcest length allows, of those nearly full.  The tolerance doubles, up to ``widest``, when a
     round covers little, so no configuration is shut out for its filling.
@@ -107,7 +155,7 @@ def _cover(left: np.ndarray, sizes: np.ndarray, capacity: int, rounds: int, eta:
         if not len(live):
             break
         own, rest = sizes[live], left[live]
-        prices = (own / capacity) ** power * np.exp(eta * (rest / demand[live] - left.sum() / demand.sum()))
+        prices = base[live] * np.exp(eta * (rest / demand[live] - left.sum() / demand.sum()))
         item = _knapsack(prices, own, capacity)
         most = rest if step is None else np.full(len(live), np.inf)
         worth, best = (own, float(capacity)) if step is None else (prices, 0.0)
@@ -171,36 +219,47 @@ def _best_fit(left: np.ndarray, sizes: np.ndarray, capacity: int) -> dict[tuple,
     return {tuple(sorted(c)): n for level in free[:capacity] for c, n in level.items()}
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, eta: float = ETA, step: float = STEP, power: float = POWER) -> Plan:
-    """Configurations ``(lengths, copies)`` that hold exactly the histogram's pieces.
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, eta: float = ETA, step: float = STEP) -> Plan:
+    """Configurations ``(lengths, copies)`` that hold exactly the histogram's pieces (``bounded_plan`` without the bound)."""
+    return bounded_plan(histogram, capacity, rounds, eta, step)[0]
 
-    The floors of the fractional weights, then whole copies and best fit for what is left.  A histogram of few
-    pieces a length loses much by the floors, so the same without them and best fit alone are tried as well; the
-    plan with the fewest sequences counts.
+
+def bounded_plan(histogram: dict[int, int], capacity: int = CAPACITY, rounds: int = ROUNDS, eta: float = ETA, step: float = STEP) -> tuple[Plan, float]:
+    """``(plan, bound)``: no plan has fewer sequences than the dual ``bound``.
+
+    The floors of the fractional weights, then whole copies, and best fit for the residual alone.  A histogram of few
+    pieces a length loses much by the floors, so the same without them is tried as well; plain best fit counts only
+    where it needs fewer sequences than all of these.
     """
     out = [((capacity,), int(histogram[capacity]))] if histogram.get(capacity) else []
     sizes = np.array(sorted(s for s, n in histogram.items() if n and s < capacity), np.int64)
+    full = float(histogram.get(capacity, 0))
     if not len(sizes):
-        return out
+        return out, full
     demand = np.array([histogram[int(s)] for s in sizes], np.int64)
-    floors, rest = {}, demand.copy()
-    for c, x in _cover(demand.astype(float), sizes, capacity, rounds, eta, power, step, 1.0).items():
-        copies = min(int(x + _TINY), *(int(rest[i]) // a for i, a in c))
-        if copies:
-            floors[c] = copies
-            for i, a in c:
-                rest[i] -= a * copies
-    found = [_best_fit(demand, sizes, capacity)]
-    for begun, remaining in ((floors, rest), ({}, demand)):
-        for widest in WIDEST:
-            left, total = remaining.copy(), dict(begun)
-            whole = _cover(left, sizes, capacity, rounds, eta, power, None, widest)
-            for part in (whole, _best_fit(left, sizes, capacity)):
-                for c, n in part.items():
-                    total[c] = total.get(c, 0) + n
-            found.append(total)
-    best = min(found, key=lambda p: sum(p.values()))
-    return out + [(tuple(sorted((int(sizes[i]) for i, a in c for _ in range(a)), reverse=True)), n) for c, n in best.items()]
+    plain = _best_fit(demand, sizes, capacity)
+    prices, bound = dual_prices(demand, sizes, capacity, sum(plain.values()))
+    found = []
+    for tilt in TILTS:
+        # (a length that costs nothing is to be covered, too; large pieces first, as small ones find a place later)
+        base = np.maximum(prices, 1e-6 * sizes / capacity) * (sizes / capacity) ** tilt
+        floors, rest = {}, demand.copy()
+        for c, x in _cover(demand.astype(float), sizes, capacity, base, rounds, eta, step, 1.0).items():
+            copies = min(int(x + _TINY), *(int(rest[i]) // a for i, a in c))
+            if copies:
+                floors[c] = copies
+                for i, a in c:
+                    rest[i] -= a * copies
+        for begun, remaining in ((floors, rest), ({}, demand)):
+            for widest in WIDEST:
+                left, total = remaining.copy(), dict(begun)
+                whole = _cover(left, sizes, capacity, base, rounds, eta, None, widest)
+                for part in (whole, _best_fit(left, sizes, capacity)):
+                    for c, n in part.items():
+                        total[c] = total.get(c, 0) + n
+                found.append(total)
+    best = min([*found, plain], key=lambda p: sum(p.values()))
+    return out + [(tuple(sorted((int(sizes[i]) for i, a in c for _ in range(a)), reverse=True)), n) for c, n in best.items()], bound + full
 
 
 def plan_slots(configurations: Plan) -> list[tuple[int, int, int, int, int, int]]:
