@@ -68,3 +68,27 @@ def colour_counts(df: DataFrame, top: int = config.TOP_COLOURS) -> DataFrame:
 def chart_article_types(df: DataFrame, top_n: int = config.CHART_TOP_TYPES) -> DataFrame:
     """Chart cut (A7): the first top_n of the top-20 article type table."""
     return article_type_counts(df).limit(top_n)
+
+
+PROFILE_COLUMNS = ("masterCategory", "articleType", "season", "usage", "baseColour")
+HLL_BITS = 14        # distinct counts within about 1 % (one standard error: 0.8 / 2 ** (bits / 2))
+TRACKED = 10_000     # values that a frequency sketch of one column follows
+
+
+def profile_sketches(df: DataFrame, columns=PROFILE_COLUMNS) -> DataFrame:
+    """One row per column of a batch: ``column, rows, present`` and mergeable sketches of its values (``distinct``: HLL,
+    ``frequent``: heavy hitters).  Sketches of batches are stored and merged later; no batch is read twice."""
+    present = [c for c in columns if c in df.columns]
+    tall = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in present])).alias("x")).select("x.*")
+    return tall.groupBy("column").agg(F.count(F.lit(1)).alias("rows"), F.count("value").alias("present"),
+                                      F.hll_sketch_agg("value", HLL_BITS).alias("distinct"),
+                                      F.expr(f"approx_top_k_accumulate(value, {TRACKED}) FILTER (WHERE value IS NOT NULL)").alias("frequent"))
+
+
+def merged_profile(sketches: DataFrame, top: int = config.TOP_ARTICLE_TYPES) -> DataFrame:
+    """Totals over the sketches of many batches (A2-A6): ``column, rows, present, distinct, top`` with ``top`` an array of
+    ``(item, count)``.  Distinct counts are within the HLL's error; counts are exact while a column has at most
+    ``TRACKED`` values, beyond that they are estimates (``scalars`` and ``frequency`` stay exact)."""
+    return sketches.groupBy("column").agg(
+        F.sum("rows").alias("rows"), F.sum("present").alias("present"), F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("distinct"),
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(frequent, {TRACKED}), {top})").alias("top"))

@@ -2,9 +2,9 @@
 
 Lookup order for a lower-cased, stripped article type: exact key, else the
 first key in declaration order with ``key in type or type in key``, else
-the default target list.  Resolution runs on the *distinct* types only and
-the rule table is a fixed-size broadcast, so its cost is independent of
-the catalog size.
+the default target list.  Resolution runs on the *distinct* types only, so
+its cost is independent of the catalog size; a rule table is broadcast
+only up to a counted size.
 """
 
 from __future__ import annotations
@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 
 from .. import config
 from ..functions.text import strip
+from .catalog import containing
+
+BROADCAST_RULES = 10_000
 
 
 def rule_table(spark: SparkSession, rules=config.COMPLEMENTARY_RULES) -> DataFrame:
@@ -27,6 +30,15 @@ def type_key(col="articleType"):
     return F.lower(strip(c))
 
 
+def _meeting(types: DataFrame, rules: DataFrame, type_col: str) -> DataFrame:
+    """Types with the rules whose key contains them or is contained in them.  Up to ``BROADCAST_RULES`` rules (counted) are
+    broadcast; more meet the types by substrings."""
+    if rules.limit(BROADCAST_RULES + 1).count() <= BROADCAST_RULES:
+        return types.join(F.broadcast(rules), F.contains(F.col(type_col), F.col("rule_key")) | F.contains(F.col("rule_key"), F.col(type_col)))
+    both = containing(rules, "rule_key", types, type_col).unionByName(containing(types, type_col, rules, "rule_key"))
+    return both.select(type_col, *rules.columns)
+
+
 def resolve_types(types: DataFrame, rules: DataFrame, type_col: str = "type_lower",
                   default=config.DEFAULT_COMPLEMENTARY) -> DataFrame:
     """``(type_col, targets, rule_key, branch)`` for each distinct type.
@@ -34,10 +46,7 @@ def resolve_types(types: DataFrame, rules: DataFrame, type_col: str = "type_lowe
     ``branch`` is 'exact', 'partial' or 'default'.
     """
     t = types.select(type_col).distinct()
-    r = F.broadcast(rules)  # fixed-size table (one row per rule)
-    cond = (F.col("rule_key") == F.col(type_col)) | F.contains(F.col(type_col), F.col("rule_key")) \
-        | F.contains(F.col("rule_key"), F.col(type_col))
-    matched = t.join(r, cond).groupBy(type_col).agg(
+    matched = _meeting(t, rules, type_col).groupBy(type_col).agg(
         F.min_by(F.struct("rule_key", "targets"),
                  F.struct(F.when(F.col("rule_key") == F.col(type_col), 0).otherwise(1), F.col("rule_pos"))).alias("m"))
     out = t.join(matched, type_col, "left")

@@ -552,6 +552,12 @@ ORACLE["projection_sample"] = f"""WITH {CATALOG}, colours AS ({ORACLE["label_col
         ORDER BY md5(concat('{config.SAMPLE_SEED}:', CAST(id AS VARCHAR))), id LIMIT 200)
 SELECT s.id, s.label, colours.colour FROM s LEFT JOIN colours USING (label)"""
 
+ORACLE["profile_merged"] = f"""WITH {CATALOG}, v AS (
+  {" UNION ALL ".join(f"SELECT '{c}' AS col, {c} AS value FROM catalog" for c in ("masterCategory", "articleType", "season", "usage", "baseColour"))}),
+  n AS (SELECT col, value, count(*) AS n FROM v GROUP BY col, value)
+SELECT col AS "column", CAST(sum(n) AS BIGINT) AS "rows", CAST(sum(n) FILTER (WHERE value IS NOT NULL) AS BIGINT) AS present, count(value) AS "distinct",
+       max(n) FILTER (WHERE value IS NOT NULL) AS most FROM n GROUP BY col"""
+
 ORACLE["pca_checks"] = """WITH t AS (SELECT unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS d FROM embeddings)
 SELECT count(*) AS dims, round(sum(v), 6) AS total_variance, true AS orthonormal, true AS residual_small, true AS shares_hold
 FROM (SELECT d, var_samp(x) AS v FROM t GROUP BY d)"""

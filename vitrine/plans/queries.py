@@ -603,6 +603,14 @@ def q_pca_checks(spark, sf):
     return pca_checks(td.vectors(spark, sf), 10).withColumn("total_variance", F.round("total_variance", R6))
 
 
+def q_profile_merged(spark, sf):
+    """Profile of the catalog from stored sketches of three batches."""
+    c = _catalog(spark, sf).drop("embedding")
+    batches = [stored(prof.profile_sketches(c.where(F.col("id") % 3 == n)), "profile-batch") for n in range(3)]
+    merged = prof.merged_profile(batches[0].unionByName(batches[1]).unionByName(batches[2]))
+    return merged.select("column", "rows", "present", "distinct", F.col("top")[0]["count"].alias("most"))
+
+
 def q_dup_pairs_pivots(spark, sf):
     """The pairs of ``dup_pairs_planted``, block pairs skipped by pivots."""
     _, vec, t = _planted(spark, sf)

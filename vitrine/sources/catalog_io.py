@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import config
 from ..operators.clean import inventory_from_files, null_tokens_to_null
+from ..session import stored
 from .split_csv import read_records
 
 EXTRA = "_extra_field"
@@ -120,22 +121,35 @@ def vectors_to_refresh(catalog: DataFrame, cache: DataFrame, text_col: str = "pr
             .join(cache.select("id", "content_hash"), ["id", "content_hash"], "left_anti").drop("content_hash"))
 
 
+#: Up to so many paths of distinct images are broadcast to the scan that reads them; more are joined by a shuffle.
+BROADCAST_PATHS = 200_000
+
+
 def embed_images(spark: SparkSession, image_dir: str, make_predict_fn, dim: int, batch_size: int = 32,
                  decode=None, on_error: str = "null") -> DataFrame:
     """Batch image embedding (E1): file content -> model -> unit vector, with
     the path of the file it came from.  Only files named ``<id><ext>`` with a
-    known extension are embedded; unreadable content (NULL) becomes a zero
-    vector.  Content is read and embedded in the scan's own tasks; only the
-    vectors are shuffled to keep the best extension per id.  A path of one
+    known extension count, the best extension per id; unreadable content
+    (NULL) becomes a zero vector.
+
+    Content-addressed: a first scan hashes the contents, and each distinct
+    image is embedded once, however many products show it; the vectors come
+    back by hash.  Contents stay in the tasks that read them.  A path of one
     file embeds that file (E2)."""
     from ..functions.encoder import model_encoder
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(image_dir)
     udf = model_encoder(make_predict_fn, dim, batch_size, "binary", decode=decode, on_error=on_error)
     pri = F.array_position(F.array(*[F.lit(e) for e in config.IMAGE_EXTENSIONS]), F.col("ext"))
     known = inventory_from_files(files, keep=("path", "content")).withColumn("_pri", pri).where("_pri > 0")
-    vectors = known.select("id", "_pri", "path", udf(F.col("content")).alias("embedding"))
-    best = vectors.groupBy("id").agg(F.min_by(F.struct("embedding", "path"), "_pri").alias("b"))
-    return best.select("id", F.col("b.embedding").alias("embedding"), F.col("b.path").alias("image_path"))
+    hashed = known.select("id", "_pri", "path", F.sha2("content", 256).alias("hash"))
+    best = stored(hashed.groupBy("id").agg(F.min_by(F.struct("hash", "path"), "_pri").alias("b")).select("id", "b.hash", "b.path"), "image-hashes")
+    first = best.groupBy("hash").agg(F.min("path").alias("path"))
+    wanted = first.select("path")
+    if best.count() <= BROADCAST_PATHS:  # (there are no more distinct images than products)
+        wanted = F.broadcast(wanted)
+    vectors = stored(known.join(wanted, "path", "left_semi").select("path", udf(F.col("content")).alias("embedding")), "image-vectors")
+    return (best.withColumnRenamed("path", "image_path").join(first.join(vectors, "path").select("hash", "embedding"), "hash")
+            .select("id", "embedding", "image_path"))
 
 
 def assert_images(products: DataFrame, images: DataFrame) -> DataFrame:
