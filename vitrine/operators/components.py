@@ -34,12 +34,16 @@ def _canon(e: DataFrame) -> DataFrame:
 
 
 def _least(rows: DataFrame, n: int) -> DataFrame:
-    """``rows (u, v)`` with ``m``, the smallest v of each u; ``n``: at least the number of rows."""
+    """``rows (u, v)`` with ``m``, the smallest v of each u; ``n``: at least the number of rows.
+
+    A hub's rows have their minimum from the broadcast and pass the join under keys of their own."""
     least = rows.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
     hub = F.col("n") * HUBS > n
-    hubs = F.broadcast(least.where(hub).select("u", "m"))
-    return rows.join(hubs, "u").unionByName(
-        rows.join(hubs.select("u"), "u", "left_anti").join(least.where(~hub).select("u", "m"), "u"))
+    hubs = F.broadcast(least.where(hub).select("u", F.col("m").alias("hub_m")))
+    key = F.when(F.col("hub_m").isNull(), F.col("u")).otherwise(F.xxhash64("u", "v"))
+    rest = least.where(~hub).select(F.col("u").alias("key"), "m")
+    return (rows.join(hubs, "u", "left").withColumn("key", key).join(rest, "key", "left")
+            .select("u", "v", F.coalesce("hub_m", "m").alias("m")))
 
 
 def _large_star(e: DataFrame, n: int) -> DataFrame:
@@ -53,9 +57,8 @@ def _large_star(e: DataFrame, n: int) -> DataFrame:
 
 def _small_star(e: DataFrame, n: int) -> DataFrame:
     o = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    out = _least(o, n).select(F.col("v").alias("a"), F.col("m").alias("b")).unionByName(
-        o.groupBy("u").agg(F.min("v").alias("b")).select(F.col("u").alias("a"), "b"))
-    return _canon(out)
+    pairs = F.array(F.struct(F.col("v").alias("a"), F.col("m").alias("b")), F.struct(F.col("u").alias("a"), F.col("m").alias("b")))
+    return _canon(_least(o, n).select(F.inline(pairs)))
 
 
 def connected_components(edges: DataFrame, src: str = "id_a", dst: str = "id_b", max_rounds: int = 64) -> DataFrame:
