@@ -32,6 +32,7 @@ from .common import shuffle_partitions
 
 DEFAULT = "allow"
 SAMPLE_PER_PART = 32    # sampled keys from which a cut is taken
+SALTS = 32              # parts over which the urls of one key are dealt
 _END = bytes([0xFF])    # after every UTF-8 byte
 
 
@@ -107,7 +108,10 @@ def judged(pages: DataFrame, rules: DataFrame, default: str = DEFAULT, parts: in
             .select("host", "path", F.octet_length("suffix").alias("__size"),
                     F.substring(key_of(F.col("suffix"), F.left("path", F.lit(reach))), F.lit(1), F.lit(reach)).alias("key")))
     tops = longest_rules(keys.select("key").distinct(), rules.select("key"), lengths, parts).where("top is not null")
-    best = (keys.join(tops, "key").groupBy("host", "path").agg(F.max_by("top", "__size").alias("key"))
+    # (urls whose keys begin alike share a cut key: dealt over salts)
+    keys = keys.withColumn("__salt", F.pmod(F.xxhash64("host", "path"), F.lit(SALTS)))
+    tops = tops.withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint"))))
+    best = (keys.join(tops, ["key", "__salt"]).groupBy("host", "path").agg(F.max_by("top", "__size").alias("key"))
             .join(rules.select("key", "rule", "verdict"), "key").drop("key"))
     return (pages.join(best, ["host", "path"], "left")
             .select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict")))
