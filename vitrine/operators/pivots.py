@@ -15,8 +15,9 @@ on rows of some hundred bytes, one for ``block_rows`` vectors.  Results equal th
 skipped depends on the data: rows without any clusters (independent directions in many dimensions) are all nearly
 orthogonal, no bound can tell them apart, and all block pairs are scored.  A ``report`` tells how many were.
 
-Skew: a cell that holds many rows gets as many blocks, equal rows are dealt by a hash of their id, and a block
-with many partners is dealt over salts, so no key gathers more than about ``FAN_IN`` partners.
+Skew: a cell that holds many rows gets as many blocks, thin cells share one, and equal rows are dealt by a hash of
+their id.  Blocks move by bands of about ``JOIN_BLOCK_ROWS`` rows: a block goes once to a band in which it has
+partners, so what is shuffled is bounded by (rows x bands) where nothing can be skipped.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from .. import config
 from ..functions.sampling import hash_sample
 from ..session import stored
-from .blocks import FAN_IN, PAIR_SCHEMA, TOPK_SCHEMA, _mat, _np, _pair_kernel, _topk_mask, rank_topk
+from .blocks import PAIR_SCHEMA, TOPK_SCHEMA, _mat, _np, _topk_mask, pair_rows, parallel_blocks, rank_topk, topk_rows
 
 MAX_PIVOTS = 64           # pivots sent to the tasks
 SAMPLE_ROWS = 4096        # distinct rows (those with the smallest hashes) among which pivots are chosen on the driver
@@ -97,21 +98,30 @@ def _summary_kernel(pivots: np.ndarray):
 
 
 def pivot_blocks(vecs: DataFrame, pivots: np.ndarray, id_col: str, vec_col: str, block_rows: int) -> tuple[DataFrame, DataFrame]:
-    """``(blocks, summaries)``, both stored: ``block, ids, vecs`` and the ranges of every block."""
+    """``(blocks, summaries)``, both stored: ``block, ids, vecs`` and the ranges of every block.
+
+    Cells and their rings, in order, fill blocks of about ``block_rows`` rows of one nearest pivot, so there are at
+    most (rows / ``block_rows`` * 2 + pivots) blocks, however thin the cells are."""
     rows = vecs.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).alias("v"))
     vector = rows.schema["v"].dataType.simpleString()
     near = 2 if len(pivots) >= MAX_PIVOTS else 1  # fewer blocks than pivots: the nearest alone tells them apart
     rows = rows.mapInArrow(_cell_kernel(pivots, near), f"id BIGINT, v {vector}, cell BIGINT, angle DOUBLE")
     shares = [i / _RINGS for i in range(1, _RINGS)]
-    cells = rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("angle", shares, 1000).alias("cuts"))
+    cuts = rows.groupBy("cell").agg(F.percentile_approx("angle", shares, 1000).alias("cuts"))
     ring = F.size(F.filter("cuts", lambda c: c <= F.col("angle")))
-    blocks_of_cell = F.ceil(F.col("n") / block_rows)
-    rows = rows.join(cells, "cell").select("id", "v", "cell", F.floor(ring * F.least(blocks_of_cell, F.lit(_RINGS)) / _RINGS).alias("ring"))
+    # (at most MAX_PIVOTS ** 2 cells, each of _RINGS rings: both tables are bounded)
+    rows = rows.join(F.broadcast(cuts), "cell").select("id", "v", "cell", ring.alias("ring"))
+    sizes = rows.groupBy("cell", "ring").agg(F.count(F.lit(1)).alias("n")).withColumn("pivot", F.floor(F.col("cell") / len(pivots)))
+    own = Window.partitionBy("pivot")
+    before = F.coalesce(F.sum("n").over(own.orderBy("cell", "ring").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    total = F.sum("n").over(own)
+    sizes = sizes.withColumn("fill", F.floor(before * F.ceil(total / block_rows) / total))
     # (equal angles share a ring however many they are: what is too large is dealt by a hash of the id)
-    sizes = rows.groupBy("cell", "ring").agg(F.ceil(F.count(F.lit(1)) / block_rows).alias("parts"))
-    rows = rows.join(sizes, ["cell", "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
-    packed = rows.groupBy("cell", "ring", "part").agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("r"))
-    number = (F.col("cell") * _RINGS + F.col("ring")) * (1 << 36) + F.col("part")
+    n = F.sum("n").over(Window.partitionBy("pivot", "fill"))
+    sizes = sizes.select("cell", "ring", "pivot", "fill", F.when(n > 1.5 * block_rows, F.ceil(n / block_rows)).otherwise(1).alias("parts"))
+    rows = rows.join(F.broadcast(sizes), ["cell", "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    packed = rows.groupBy("pivot", "fill", "part").agg(F.sort_array(F.collect_list(F.struct("id", "v"))).alias("r"))
+    number = F.col("pivot") * (1 << 48) + F.col("fill") * (1 << 24) + F.col("part")
     blocks = stored(packed.select(number.alias("block"), F.col("r.id").alias("ids"), F.flatten("r.v").alias("vecs")), "pivot-blocks")
     return blocks, stored(blocks.mapInArrow(_summary_kernel(pivots), _SUMMARY), "pivot-summaries")
 
@@ -168,16 +178,51 @@ def bounded_pairs(left: DataFrame, right: DataFrame | None, n_left: int, n_right
     return pairs.select("l", "r", (F.col("l_tile") == F.col("r_tile")).alias("same")).mapInArrow(_bound_kernel(right is None, first), "x BIGINT, y BIGINT, bound DOUBLE")
 
 
-def _meeting(pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
-    """Block pairs with their rows; a block with many partners is dealt over salts."""
-    def dealt(pairs: DataFrame, blocks: DataFrame, key: str, other: str, prefix: str) -> DataFrame:
-        salts = pairs.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / FAN_IN).alias("salts"))
-        spread = blocks.join(salts, blocks["block"] == salts[key]).select(
-            key, F.col("ids").alias(f"{prefix}_ids"), F.col("vecs").alias(f"{prefix}_vecs"), "salts", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("salts") - 1)).alias("salt"))
-        asked = pairs.join(salts, key).withColumn("salt", F.pmod(F.xxhash64(other), F.col("salts"))).drop("salts")
-        return asked.join(spread.drop("salts"), [key, "salt"]).drop("salt")
-    rows = dealt(dealt(pairs.select("x", "y"), left, "x", "y", "l"), right, "y", "x", "r")
-    return rows.withColumn("_same", F.col("x") == F.col("y"))
+def _met(pairs: DataFrame, left: DataFrame, right: DataFrame, bands: tuple[int, int], kernel, schema: str) -> DataFrame:
+    """The kernel's rows over the block pairs ``(x, y)``.
+
+    Blocks are dealt into ``bands``; the pairs of a left and a right band are a cell.  A block goes to each cell in which
+    it has a partner, once, so it is copied at most as often as the other side has bands.  A cell's right blocks come
+    before its left ones, each left one with the numbers of its partners."""
+    band = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).alias(f"{c}_band")
+    asked = pairs.select("x", "y", band("x", bands[0]), band("y", bands[1]))
+    cell = ["x_band", "y_band"]
+    lefts = asked.groupBy(*cell, F.col("x").alias("block")).agg(F.sort_array(F.collect_list("y")).alias("partners")).withColumn("is_left", F.lit(True))
+    rights = asked.select(*cell, F.col("y").alias("block")).distinct().withColumn("partners", F.lit(None).cast("array<bigint>")).withColumn("is_left", F.lit(False))
+    moved = lefts.join(left, "block").unionByName(rights.join(right, "block"))
+    moved = moved.repartition(*cell).sortWithinPartitions(*cell, "is_left", "block")
+    return moved.select(*cell, "is_left", "block", "partners", "ids", "vecs").mapInArrow(_cells(kernel), schema)
+
+
+def _cells(kernel):
+    """``kernel(block, ids, rows, partners)`` for every left block of a cell; ``partners``: (block, ids, rows) each."""
+    def run(batches):
+        at, held = None, {}
+        for b in batches:
+            for i in range(b.num_rows):
+                cell = b.column(0)[i].as_py(), b.column(1)[i].as_py()
+                if cell != at:
+                    at, held = cell, {}
+                block, ids = b.column(3)[i].as_py(), _np(b.column(5)[i]).astype(np.int64)
+                if not b.column(2)[i].as_py():
+                    flat = _np(b.column(6)[i])
+                    held[block] = ids, flat.reshape(len(ids), -1).copy()
+                    continue
+                x = _mat(ids, _np(b.column(6)[i]))
+                yield from kernel(block, ids, x, [(y, *held[y]) for y in b.column(4)[i].as_py()])
+    return run
+
+
+def _pairs_of_cell(threshold: float):
+    def run(block, ids, x, partners):
+        for other, r_ids, r in partners:
+            for found in pair_rows(x, r.astype(np.float64, copy=False), ids, r_ids, threshold, block == other):
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], names=["id_a", "id_b", "sim"])
+    return run
+
+
+def _bands(spark, n_blocks: int, block_rows: int, triangle: bool = False) -> int:
+    return max(parallel_blocks(spark, None, triangle), math.ceil(n_blocks * block_rows / config.JOIN_BLOCK_ROWS))
 
 
 def _report(report: dict | None, total: int, pairs: DataFrame) -> None:
@@ -202,22 +247,24 @@ def pruned_pairs(vecs: DataFrame, threshold: float, id_col: str = "id", vec_col:
     n = summaries.count()
     pairs = stored(bounded_pairs(summaries.withColumn("need", F.lit(float(threshold))), None, n, n), "pivot-pairs")
     _report(report, n * (n + 1) // 2, pairs)
-    return _meeting(pairs, blocks, blocks).select("l_ids", "l_vecs", "r_ids", "r_vecs", "_same").mapInArrow(_pair_kernel(threshold), PAIR_SCHEMA)
-
-
-def _topk_blocks(k: int, exclude_self: bool):
-    def run(batches):
-        for b in batches:
-            c = {name: b.column(j) for j, name in enumerate(b.schema.names)}
-            for i in range(b.num_rows):
-                l_ids, r_ids = (_np(c[x][i]).astype(np.int64) for x in ("l_ids", "r_ids"))
-                score = _mat(l_ids, _np(c["l_vecs"][i])) @ _mat(r_ids, _np(c["r_vecs"][i])).T
-                raw = score.copy()
-                if exclude_self:
-                    score[l_ids[:, None] == r_ids[None, :]] = -np.inf
-                x, y = _topk_mask(score, k)
-                yield pa.RecordBatch.from_arrays([pa.array(l_ids[x]), pa.array(r_ids[y]), pa.array(raw[x, y]), pa.array(score[x, y]),
-                                                  pa.array(np.full(len(x), c["x"][i].as_py(), np.int64))], names=["l_id", "r_id", "raw", "score", "block"])
+    bands = _bands(spark, n, block_rows, True)
+    return _met(pairs, blocks, blocks, (bands, bands), _pairs_of_cell(threshold), PAIR_SCHEMA)
+
+
+def _topk_of_cell(k: int, exclude_self: bool):
+    def run(block, ids, x, partners):
+        r_ids = np.concatenate([p[1] for p in partners])
+        order = np.argsort(r_ids, kind="stable")  # ties go to the smaller id
+        r_ids, r = r_ids[order], np.concatenate([p[2] for p in partners])[order].astype(np.float64, copy=False)
+
+        def scored(raw, a, b):
+            score = raw.copy()
+            if exclude_self:
+                score[ids[a: a + raw.shape[0], None] == r_ids[None, b: b + raw.shape[1]]] = -np.inf
+            return score
+        for i, j, raw, score in topk_rows(x, r, k, scored):
+            yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(r_ids[j]), pa.array(raw), pa.array(score), pa.array(np.full(len(i), block, np.int64))],
+                                             names=["l_id", "r_id", "raw", "score", "block"])
     return run
 
 
@@ -235,13 +282,13 @@ def pruned_topk(left: DataFrame, right: DataFrame, k: int, id_col: str = "id", v
     any_ = l_sums.withColumn("need", F.lit(float("-inf")))
     best = Window.partitionBy("x").orderBy(F.col("bound").desc(), "y")
     near = stored(bounded_pairs(any_, r_sums, n_l, n_r, _FIRST).withColumn("n", F.row_number().over(best)).where(F.col("n") <= _FIRST).select("x", "y"), "pivot-near")
-    fields = ["x", "l_ids", "l_vecs", "r_ids", "r_vecs"]
-    schema = TOPK_SCHEMA + ", block BIGINT"
-    found = stored(_meeting(near, l_blocks, r_blocks).select(*fields).mapInArrow(_topk_blocks(k, exclude_self), schema), "pivot-found")
+    schema, kernel = TOPK_SCHEMA + ", block BIGINT", _topk_of_cell(k, exclude_self)
+    bands = _bands(spark, n_l, block_rows), _bands(spark, n_r, block_rows)
+    found = stored(_met(near, l_blocks, r_blocks, bands, kernel, schema), "pivot-found")
     # What a row has as its k-th best; a block needs the least of them, nothing while a row has fewer than k.
     kth = rank_topk(found, k).where(F.col("rank") == k).groupBy("block").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("full"))
     needs = l_sums.join(kth, "block", "left").withColumn("need", F.when(F.col("full") == F.col("n"), F.col("least")).otherwise(F.lit(float("-inf"))))
     rest = stored(bounded_pairs(needs.select(*l_sums.columns, "need"), r_sums, n_l, n_r).select("x", "y").join(near, ["x", "y"], "left_anti"), "pivot-rest")
     _report(report, n_l * n_r, rest.unionByName(near))
-    more = _meeting(rest, l_blocks, r_blocks).select(*fields).mapInArrow(_topk_blocks(k, exclude_self), schema)
+    more = _met(rest, l_blocks, r_blocks, bands, kernel, schema)
     return rank_topk(found.unionByName(more).drop("block"), k)
