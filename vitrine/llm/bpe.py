@@ -46,6 +46,17 @@ def _byte_alphabet() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class _Cache(dict):
+    """Ids of fragments; notes the fragments that were asked for and are not there."""
+
+    def __init__(self):
+        super().__init__()
+        self.lacking: set[bytes] = set()
+
+    def __missing__(self, fragment: bytes) -> None:
+        self.lacking.add(fragment)
+
+
 class Bpe:
     """Vocabulary, merges and boundary table of one tokenizer file."""
 
@@ -70,7 +81,7 @@ class Bpe:
         self.cut = ~seen & (b & 0xC0 != 0x80) & ~W._SPACE[a] & ((b != 0x27) | word)
         self._merges(vocab, [m.split(" ") if isinstance(m, str) else m for m in spec["model"]["merges"]], alphabet)
         self.pattern = regex.compile(_PIECES)
-        self.cache: dict[bytes, bytes] = {}
+        self.cache = _Cache()
 
     def _merges(self, vocab: dict[bytes, int], merges: list, alphabet: dict[str, int]) -> None:
         to = lambda t: bytes(alphabet[c] for c in t)
@@ -200,9 +211,10 @@ class Bpe:
             fragments = [raw[a:b] for a, b in zip(place, place[1:])]
             if len(self.cache) > CACHE_FRAGMENTS:
                 self.cache.clear()
-            found = list(map(self.cache.get, fragments))
-            if None in found:
-                self._learn(list({f for f, known in zip(fragments, found) if known is None}))
+            found = list(map(self.cache.__getitem__, fragments))
+            if self.cache.lacking:
+                lacking, self.cache.lacking = self.cache.lacking, set()
+                self._learn(list(lacking))
                 found = list(map(self.cache.__getitem__, fragments))
             if fixed:
                 for i, a in enumerate(place[:-1]):

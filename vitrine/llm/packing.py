@@ -61,9 +61,9 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
         for b in batches:
             rows: list[tuple] = []
             for doc, ids in zip(b.column(0).to_pylist(), encoder.encode(b.column(1))):
-                ids = np.concatenate([ids, end])
+                ids = np.concatenate([ids, end], dtype="<u4")
                 cuts = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
-                rows += [(doc, k, a, e - a, zlib.crc32(ids[a:e].astype("<u4").tobytes()))
+                rows += [(doc, k, a, e - a, zlib.crc32(ids[a:e]))
                          for k, (a, e) in enumerate(zip(cuts, cuts[1:]))]
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
             columns = list(zip(*rows)) or [()] * 5
