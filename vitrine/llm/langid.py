@@ -30,6 +30,7 @@ from .common import crc32_of_id, with_computed
 PER_LANGUAGE = 800      # training documents of a language, at most
 DIMS = 2048             # hashed trigrams
 RIDGE = 1e-3
+FIT_ROWS = 256          # vectors that the fit holds in doubles at once
 AMBIGUITY = 0.03
 SHARPNESS = 4.0
 UNKNOWN = "und"
@@ -75,10 +76,17 @@ def fit(vectors: np.ndarray, languages: list[str], ridge: float = RIDGE) -> Mode
     codes = codewords(len(names)) if names else np.zeros((0, 0), np.float32)
     which = np.searchsorted(names, languages) if names else np.zeros(0, int)
     weight = (1 / np.bincount(which, minlength=len(names)))[which] if names else np.zeros(0)
-    x = np.concatenate([vectors, np.ones((len(vectors), 1), np.float32)], axis=1)
-    a = (x * weight[:, None]).T @ x + ridge * np.eye(x.shape[1])
-    return Model(names, codes, np.linalg.solve(a, (x * weight[:, None]).T @ codes[which]).astype(np.float32)
-                 if names and codes.shape[1] else np.zeros((x.shape[1], 0), np.float32))
+    n = vectors.shape[1] + 1
+    a, b = np.zeros((n, n)), np.zeros((n, codes.shape[1]))
+    for lo in range(0, len(vectors), FIT_ROWS):  # tiles: the driver holds the normal equations, no copy of all vectors
+        own = slice(lo, lo + FIT_ROWS)
+        x = np.concatenate([vectors[own], np.ones((len(vectors[own]), 1))], axis=1, dtype=np.float64)
+        weighted = x * weight[own, None]
+        b += weighted.T @ codes[which[own]]
+        for at in range(0, n, FIT_ROWS):
+            a[at: at + FIT_ROWS] += weighted[:, at: at + FIT_ROWS].T @ x
+    a.flat[:: n + 1] += ridge
+    return Model(names, codes, np.linalg.solve(a, b).astype(np.float32) if names and codes.shape[1] else np.zeros((n, 0), np.float32))
 
 
 def decode(model: Model, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,7 +118,8 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE) -> Model:
     picked = once.withColumn("rank", rank).where(F.col("rank") <= per_language)
     rows = with_computed(picked, "text", "vector binary", lambda t: [[v.tobytes() for v in trigram_vectors(t).astype(np.float16)]])
     chosen = sorted((r["lang"], r["rank"], r["vector"]) for r in rows.select("lang", "rank", "vector").toArrow().to_pylist())
-    return fit(np.array([np.frombuffer(v, np.float16) for _, _, v in chosen], np.float32).reshape(-1, DIMS), [lang for lang, _, _ in chosen])
+    vectors = np.frombuffer(b"".join(v for _, _, v in chosen), np.float16).reshape(-1, DIMS)
+    return fit(vectors, [lang for lang, _, _ in chosen])
 
 
 def predicted(docs: DataFrame, model: Model, prefix: str = "") -> DataFrame:
